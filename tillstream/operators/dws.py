@@ -110,6 +110,9 @@ def join_orders(
             & (F.col("event_time") <= F.col("_order_at") + span)
             & (apart < window_seconds // slide_seconds)
         )
+    if not left.isStreaming:
+        # Both sides are facts. The size of a file says little about its rows, so neither is broadcast.
+        right = right.hint("merge")
     return wide_row(left.join(right, on), *(["event_time"] if timed else []))
 
 

@@ -27,6 +27,15 @@ BLANK = r"^[\s\x1c-\x1f\p{Z}&&[^\u00a0\u2007\u202f]]*$"
 FAILFAST = {"mode": "FAILFAST"}
 
 
+def json_fields(df: DataFrame, schema: T.StructType | str, value: str = "value", options=FAILFAST) -> DataFrame:
+    """The fields of a JSON column, beside all columns of ``df``.
+
+    The generator makes sure that a text is parsed once: a filter on a field of a
+    projected ``from_json`` would be pushed down with the parse and repeat it.
+    """
+    return df.select("*", F.inline(F.array(F.from_json(value, schema, options))))
+
+
 def _typed(text: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.StringType):
         return text
@@ -41,19 +50,16 @@ def parse_records(df: DataFrame, schema: T.StructType, value: str = "value") ->
     An absent number is 0 and an absent text is null. Broken JSON and text in a
     number field stop the batch. Columns beside ``value`` are kept.
     """
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    record = df.where(F.col(value).isNotNull()).withColumn("_r", F.from_json(value, text, FAILFAST))
     rest = [c for c in df.columns if c != value and c not in schema.names]
-    return record.select(
-        *[_typed(F.col("_r").getField(f.name), f.dataType).alias(f.name) for f in schema], *rest
-    )
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+    record = json_fields(df.where(F.col(value).isNotNull()).select(value, *rest), text, value)
+    return record.select(*[_typed(F.col(f.name), f.dataType).alias(f.name) for f in schema], *rest)
 
 
 def parse_startup(df: DataFrame, value: str = "value") -> DataFrame:
     """Startup logs as flat rows: the fields of ``common`` and the epoch time."""
     schema = "common struct<mid:string,uid:string,ar:string,ch:string,vc:string>, ts bigint"
-    record = df.withColumn("_r", F.from_json(value, schema, FAILFAST))
-    return record.select("_r.common.*", "_r.ts", *[c for c in df.columns if c != value])
+    return json_fields(df, schema, value).select("common.*", "ts", *[c for c in df.columns if c != value])
 
 
 def route_logs(
@@ -63,10 +69,12 @@ def route_logs(
 
     A line that is no JSON object is refused, as the log endpoint refuses the request.
     """
-    log = F.from_json(value, "start string, _broken string", {"columnNameOfCorruptRecord": "_broken"})
-    lines = df.withColumn("_r", log).where(F.col("_r").isNotNull() & F.col("_r._broken").isNull())
-    blank = F.coalesce(F.col("_r.start").rlike(BLANK), F.lit(True))
-    return lines.select(F.when(blank, event).otherwise(startup).alias("topic"), F.col(value).alias("value"))
+    fields, options = "start string, _broken string", {"columnNameOfCorruptRecord": "_broken"}
+    lines = json_fields(df.where(F.col(value).isNotNull()).select(value), fields, value, options)
+    blank = F.coalesce(F.col("start").rlike(BLANK), F.lit(True))
+    return lines.where(F.col("_broken").isNull()).select(
+        F.when(blank, event).otherwise(startup).alias("topic"), F.col(value).alias("value")
+    )
 
 
 def route_maxwell(
@@ -76,7 +84,7 @@ def route_maxwell(
 
     Empty objects and tables that are not listed are dropped.
     """
-    record = df.select(F.from_json(value, "table string, data string", FAILFAST).alias("r")).select("r.*")
+    record = json_fields(df.select(F.col(value).alias("_change")), "table string, data string", "_change")
     is_object = F.when(F.col("data").startswith("{"), True).otherwise(
         F.raise_error(F.lit("change record: data is no object"))
     )
@@ -87,7 +95,7 @@ def route_maxwell(
 
 def route_canal(df: DataFrame, value: str = "value", prefix: str = ODS_PREFIX) -> DataFrame:
     """(topic, value) for change records whose ``data`` is an array: one message per element."""
-    record = df.select(F.from_json(value, "table string, data array<string>", FAILFAST).alias("r")).select("r.*")
+    record = json_fields(df.select(F.col(value).alias("_change")), "table string, data array<string>", "_change")
     return record.select(
         F.concat(F.lit(prefix), F.upper("table")).alias("topic"), F.explode("data").alias("value")
     )

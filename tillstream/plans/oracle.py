@@ -7,15 +7,32 @@ rows, running sums for the split, bucket arithmetic for windows.
 from __future__ import annotations
 
 from tillstream.operators.ads import STATS
+from tillstream.plans.entities import PRIMES, WEIGHTS
+
+LINE_VALUES = (
+    "l_orderkey",
+    "l_partkey",
+    "l_suppkey",
+    "l_linenumber::BIGINT",
+    "CAST(floor(l_quantity * 100 + 0.5) AS BIGINT)",
+    "CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT)",
+    "CAST(floor(l_discount * 100 + 0.5) AS BIGINT)",
+    "CAST(floor(l_tax * 100 + 0.5) AS BIGINT)",
+    "date_diff('day', DATE '1970-01-01', l_shipdate::DATE)",
+)
+
+
+def _hash(prime: int, weights: tuple[int, ...]) -> str:
+    return "(" + " + ".join(f"{v} % {prime} * {w}" for v, w in zip(LINE_VALUES, weights)) + f") % {prime}"
+
+
+LINE_ID = f"({_hash(PRIMES[0], WEIGHTS[0])}) * {2**29} + {_hash(PRIMES[1], WEIGHTS[1])}"
 
 PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     "details": (
         (),
-        """
-        SELECT ('0x' || substr(md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber,
-                 CAST(floor(l_quantity * 100 + 0.5) AS BIGINT), CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT),
-                 CAST(floor(l_discount * 100 + 0.5) AS BIGINT), CAST(floor(l_tax * 100 + 0.5) AS BIGINT),
-                 l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S'))), 1, 15))::BIGINT AS id,
+        f"""
+        SELECT {LINE_ID} AS id,
                l_orderkey * 10 + l_linenumber AS replay_id,
                l_orderkey AS order_id, l_partkey AS sku_id, l_extendedprice AS order_price,
                CAST(l_quantity AS BIGINT) AS sku_num, 'SKU_' || l_partkey AS sku_name,

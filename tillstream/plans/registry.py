@@ -6,6 +6,7 @@ job over them to the end, and return what the job stored.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ from tillstream.operators.dwd import enrich_detail, enrich_order, flag_first_ord
 from tillstream.operators.dws import first_seen, join_orders, split_amount
 from tillstream.operators.ods import (
     fan_out,
+    json_fields,
     parse_records,
     route_canal,
     route_logs,
@@ -28,7 +30,7 @@ from tillstream.operators.ods import (
     to_messages,
 )
 from tillstream.plans.entities import AS_OF, Entities
-from tillstream.session import work_dir
+from tillstream.session import tune, work_dir
 from tillstream.sources.keyed import KeyedTable, upsert_latest
 from tillstream.sources.readers import MESSAGE, read_dau, read_dim, read_log_lines, read_stream, read_wide
 from tillstream.sources.writers import append_daily, append_exactly_once, finish, send_messages, write_stream
@@ -56,8 +58,17 @@ ORDER_COLUMNS = [
 DETAIL_COLUMNS = ["id", "order_id", "sku_id", "order_price", "sku_num", "sku_name", "create_time"]
 
 
+def register(name: str, function: Query) -> None:
+    @functools.wraps(function)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        tune(spark)
+        return function(spark, folder)
+
+    QUERIES[name] = run
+
+
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    register(function.__name__, function)
     return function
 
 
@@ -67,24 +78,16 @@ def query(function: Query) -> Query:
 @query
 def route_log_lines(spark: SparkSession, folder: str) -> DataFrame:
     routed = route_logs(Entities(spark, folder).logs())
-    return routed.select(
-        "topic",
-        F.get_json_object("value", "$.common.mid").alias("mid"),
-        F.get_json_object("value", "$.common.ar").alias("ar"),
-        F.get_json_object("value", "$.ts").cast("bigint").alias("ts"),
+    return json_fields(routed, "common struct<mid:string,ar:string>, ts bigint").select(
+        "topic", "common.mid", "common.ar", "ts"
     )
 
 
 @query
 def route_maxwell_changes(spark: SparkSession, folder: str) -> DataFrame:
     routed = route_maxwell(Entities(spark, folder).changes())
-    amount = F.get_json_object("value", "$.final_total_amount").cast("double")
-    return routed.select(
-        "topic",
-        F.get_json_object("value", "$.id").cast("bigint").alias("id"),
-        F.get_json_object("value", "$.create_time").alias("create_time"),
-        cents(amount).alias("paid_cents"),
-    )
+    fields = json_fields(routed, "id bigint, create_time string, final_total_amount double")
+    return fields.select("topic", "id", "create_time", cents(F.col("final_total_amount")).alias("paid_cents"))
 
 
 @query
@@ -296,10 +299,10 @@ def _stat(name: str, as_coded: bool) -> Query:
 
 
 for _name, _one in ads.STATS.items():
-    QUERIES[f"stat_{_name}"] = _stat(_name, False)
+    register(f"stat_{_name}", _stat(_name, False))
     # The original trademark job already sums the shares.
     if _one.as_coded != "final_detail_amount":
-        QUERIES[f"stat_{_name}_as_coded"] = _stat(_name, True)
+        register(f"stat_{_name}_as_coded", _stat(_name, True))
 
 
 def _epoch(df: DataFrame) -> DataFrame:

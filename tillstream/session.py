@@ -17,13 +17,16 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
 
-# Nothing here sets shuffle.partitions or memory: those belong to the cluster.
-SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
+SKEW_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even where that costs one more shuffle afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+# Nothing here sets shuffle.partitions or memory: those belong to the cluster.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    **SKEW_SETTINGS,
     **STATE_SETTINGS,
 }
 
@@ -35,6 +38,12 @@ def build_session(name: str = "tillstream", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> None:
+    """Let a session that was built elsewhere split hot join keys."""
+    for key, value in SKEW_SETTINGS.items():
+        spark.conf.set(key, value)
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder for one run below the folder the cluster shares.
 

@@ -21,6 +21,12 @@ def upsert_latest(current: DataFrame, updates: DataFrame, keys: Sequence[str], v
     return first_seen(both, keys, [*_newest_first(version), F.col("_new").desc()]).drop("_new")
 
 
+def keys_of(facts: DataFrame, column: str, table: KeyedTable) -> DataFrame:
+    """The distinct keys by which a batch of facts refers to a table with one key column."""
+    key = table.keys[0]
+    return facts.select(F.col(column).cast(table.schema[key].dataType).alias(key)).distinct()
+
+
 class KeyedTable:
     """A keyed table kept as its changes, one folder per micro-batch, plus a compacted state now and then.
 
@@ -40,12 +46,18 @@ class KeyedTable:
         latest = first_seen(rows, self.keys, order).select(*self.schema.names)
         latest.write.mode("overwrite").parquet(f"{self.path}/changes/batch_id={batch_id}")
 
-    def read(self, before: int | None = None) -> DataFrame:
-        """The latest row of each key, of all batches or of those below ``before``."""
+    def read(self, before: int | None = None, only: DataFrame | None = None) -> DataFrame:
+        """The latest row of each key, of all batches or of those below ``before``.
+
+        ``only`` holds keys: other rows are dropped before the latest are looked for.
+        """
         parts = self._parts(before)
         if not parts:
             return self.spark.createDataFrame([], self.schema)
-        return first_seen(self._changes(parts), self.keys, _newest_first(["batch_id"])).drop("batch_id")
+        rows = self._changes(parts)
+        if only is not None:
+            rows = rows.join(only, self.keys, "left_semi")
+        return first_seen(rows, self.keys, _newest_first(["batch_id"])).select(*self.schema.names)
 
     def compact(self, before: int, keep: Column | None = None) -> None:
         """Store the table as of batch ``before``, so that later reads need only newer changes.

@@ -18,13 +18,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillstream import schemas
 from tillstream.functions.dates import add_create_parts
-from tillstream.operators.ads import amount_stat
+from tillstream.operators.ads import STATS, amount_stat
 from tillstream.operators.dau import DAU_KEYS, dau_document
-from tillstream.operators.dims import reduce_dim
 from tillstream.operators.dwd import enrich_detail, enrich_order, flag_first_order, user_state_updates
 from tillstream.operators.dws import first_arrived, join_orders, order_totals, split_amount
 from tillstream.operators.ods import parse_records, to_messages
-from tillstream.sources.keyed import KeyedTable
+from tillstream.sources.keyed import KeyedTable, keys_of
 from tillstream.sources.writers import append_daily, append_exactly_once, send_messages, write_stream
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -79,8 +78,9 @@ def order_info_job(
             return
         records = add_create_parts(parse_records(batch.select("value"), schemas.ORDER_RECORD))
         with _reused(records) as records:
-            with _reused(flag_first_order(records, user_state.read(before=n))) as flagged:
-                users = reduce_dim(user.read(), flagged, "id", "user_id")
+            seen = user_state.read(before=n, only=keys_of(records, "user_id", user_state))
+            with _reused(flag_first_order(records, seen)) as flagged:
+                users = user.read(only=keys_of(flagged, "user_id", user))
                 facts = enrich_order(flagged, province.read(), users).select(*schemas.ORDER_INFO.names)
                 orders.upsert(facts, n)
                 send_messages(to_messages(facts, key="id"), path, n)
@@ -98,7 +98,7 @@ def order_detail_job(
         if batch.isEmpty():
             return
         with _reused(parse_records(batch.select("value"), schemas.DETAIL_RECORD)) as lines:
-            skus = reduce_dim(sku.read(), lines, "id", "sku_id")
+            skus = sku.read(only=keys_of(lines, "sku_id", sku))
             facts = enrich_detail(lines, skus).select(*schemas.ORDER_DETAIL.names)
             details.upsert(facts, n)
             send_messages(to_messages(facts, key="id"), path, n)
@@ -141,7 +141,7 @@ def order_wide_job(
         with _reused(batch) as batch:
             if batch.isEmpty():
                 return
-            known = reduce_dim(totals.read(before=n), batch, "order_id", "order_id")
+            known = totals.read(before=n, only=keys_of(batch, "order_id", totals))
             since = batch.groupBy("order_id").agg(F.min("event_time").alias("_since"))
             alive = known.join(since, "order_id").where(
                 F.col("last_time") + F.expr(f"INTERVAL {life}") >= F.col("_since")
@@ -159,9 +159,11 @@ def stat_job(
     messages: DataFrame, stat: str, path: str, checkpoint: str, as_coded: bool = False, **run
 ) -> StreamingQuery:
     """One statistic per micro-batch of wide messages; rows and progress are stored together."""
+    used = {*STATS[stat].by.values(), STATS[stat].as_coded if as_coded else "final_detail_amount"}
+    fields = T.StructType([f for f in schemas.ORDER_WIDE if f.name in used])
 
     def each(batch: DataFrame, n: int) -> None:
-        wide = parse_records(batch.select("value"), schemas.ORDER_WIDE)
+        wide = parse_records(batch.select("value"), fields)
         append_exactly_once(amount_stat(wide, stat, as_coded), path, n)
 
     return write_stream(messages, each, checkpoint, **run)
