@@ -126,7 +126,7 @@ def first_seen(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
-def first_arrived(df: DataFrame, keys: Sequence[str], within_watermark: bool = True, salts: int = 8) -> DataFrame:
+def first_arrived(df: DataFrame, keys: Sequence[str], within_watermark: bool = True, salts: int = 4) -> DataFrame:
     """The first arrived row of each key, for streams.
 
     With ``within_watermark`` a key is forgotten after the watermark delay, else

@@ -51,11 +51,17 @@ def _line_id() -> Column:
 
 
 class Entities:
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
+    """``spread`` is for work that is heavy per row, such as JSON: a table with fewer splits than
+    there are cores is then dealt out to all cores. A large table has more splits and is left alone.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, spread: bool = False):
+        self.spark, self.folder, self.spread = spark, folder.rstrip("/"), spread
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if self.spread and df.rdd.getNumPartitions() < cores else df
 
     # Facts as the source database holds them.
 

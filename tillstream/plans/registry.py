@@ -77,7 +77,7 @@ def query(function: Query) -> Query:
 
 @query
 def route_log_lines(spark: SparkSession, folder: str) -> DataFrame:
-    routed = route_logs(Entities(spark, folder).logs())
+    routed = route_logs(Entities(spark, folder, spread=True).logs())
     return json_fields(routed, "common struct<mid:string,ar:string>, ts bigint").select(
         "topic", "common.mid", "common.ar", "ts"
     )
@@ -85,7 +85,7 @@ def route_log_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def route_maxwell_changes(spark: SparkSession, folder: str) -> DataFrame:
-    routed = route_maxwell(Entities(spark, folder).changes())
+    routed = route_maxwell(Entities(spark, folder, spread=True).changes())
     fields = json_fields(routed, "id bigint, create_time string, final_total_amount double")
     return fields.select("topic", "id", "create_time", cents(F.col("final_total_amount")).alias("paid_cents"))
 
@@ -93,32 +93,32 @@ def route_maxwell_changes(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def route_canal_changes(spark: SparkSession, folder: str) -> DataFrame:
     """The routed value is compared as text."""
-    return route_canal(Entities(spark, folder).array_changes())
+    return route_canal(Entities(spark, folder, spread=True).array_changes())
 
 
 @query
 def parse_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Numbers come quoted; the reduction and the fee are absent and become 0."""
-    messages = Entities(spark, folder).order_messages(quoted=True)
+    messages = Entities(spark, folder, spread=True).order_messages(quoted=True)
     return add_create_parts(parse_records(messages, schemas.ORDER_RECORD))
 
 
 @query
 def parse_details(spark: SparkSession, folder: str) -> DataFrame:
-    routed = route_maxwell(Entities(spark, folder).changes(), ["order_detail"])
+    routed = route_maxwell(Entities(spark, folder, spread=True).changes(), ["order_detail"])
     return parse_records(routed, schemas.DETAIL_RECORD).drop("topic")
 
 
 @query
 def order_messages(spark: SparkSession, folder: str) -> DataFrame:
-    orders = Entities(spark, folder).orders()
+    orders = Entities(spark, folder, spread=True).orders()
     columns = ["id", "province_id", "order_status", "user_id", "expire_time", "create_time"]
     return to_messages(orders, key="id", topic="DWD_ORDER_INFO", columns=columns)
 
 
 @query
 def fan_out_messages(spark: SparkSession, folder: str) -> DataFrame:
-    orders = Entities(spark, folder).orders()
+    orders = Entities(spark, folder, spread=True).orders()
     return fan_out(to_messages(orders, key="id", columns=["id", "order_status"]))
 
 
@@ -325,7 +325,7 @@ def stat_windowed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _dau(spark: SparkSession, folder: str, days: int = 0) -> DataFrame:
-    documents = dau_document(Entities(spark, folder).startups(days))
+    documents = dau_document(Entities(spark, folder, spread=True).startups(days))
     return first_seen(documents, DAU_KEYS, ["ts", "event_id"]).drop("event_id")
 
 
@@ -394,7 +394,7 @@ def _follow(spark: SparkSession, path: str, rows: DataFrame, files: int | None =
     return read_stream(spark, "parquet", options, path, rows.schema)
 
 
-def _run_wide(spark: SparkSession, folder: str, work: str) -> DataFrame:
+def _run_wide(spark: SparkSession, folder: str, work: str, salts: int = 4) -> DataFrame:
     e = Entities(spark, folder)
     lines = e.details()
     wide = jobs.wide_stream(
@@ -403,6 +403,7 @@ def _run_wide(spark: SparkSession, folder: str, work: str) -> DataFrame:
         "arrived",
         "arrived",
         delay=ARRIVAL_DELAY,
+        salts=salts,
     )
     totals = KeyedTable(spark, f"{work}/totals", schemas.ORDER_TOTALS, ["order_id"])
     # The test orders of seven years arrive within minutes: folders by day would hold a few rows each.
@@ -423,7 +424,7 @@ def stream_wide(spark: SparkSession, folder: str) -> DataFrame:
 def stream_routed_dau(spark: SparkSession, folder: str) -> DataFrame:
     """Log lines routed by one job; the first startup per device and day by the next, in several batches."""
     work = work_dir(spark, "stream_routed_dau")
-    logs = Entities(spark, folder).logs()
+    logs = Entities(spark, folder, spread=True).logs()
     logs.select("value").write.text(f"{work}/logs")
     finish(jobs.message_job(read_log_lines(spark, f"{work}/logs"), route_logs, f"{work}/topics", f"{work}/cp1"))
     started = read_stream(spark, "parquet", {}, f"{work}/topics/batch_id=*/topic=STARTUP_LOG", MESSAGE).select("value")
@@ -435,7 +436,7 @@ def stream_routed_dau(spark: SparkSession, folder: str) -> DataFrame:
 def stream_stat(spark: SparkSession, folder: str) -> DataFrame:
     """Per-batch category amounts of a message stream, added up."""
     work = work_dir(spark, "stream_stat")
-    wide = Entities(spark, folder).wide(sku=True)
+    wide = Entities(spark, folder, spread=True).wide(sku=True)
     messages = _follow(spark, f"{work}/messages", to_messages(wide, columns=schemas.ORDER_WIDE.names), files=2)
     finish(jobs.stat_job(messages, "category", f"{work}/stat", f"{work}/checkpoint", as_coded=True))
     stored = spark.read.parquet(f"{work}/stat")
@@ -464,7 +465,7 @@ def stream_stat_windowed(spark: SparkSession, folder: str) -> DataFrame:
 def stream_first_order(spark: SparkSession, folder: str) -> DataFrame:
     """Order facts over several batches with the user state carried along: orders and first orders per user."""
     work = work_dir(spark, "stream_first_order")
-    e = Entities(spark, folder)
+    e = Entities(spark, folder, spread=True)
 
     def table(name, schema, keys, rows=None):
         stored = KeyedTable(spark, f"{work}/{name}", schema, keys)
@@ -495,7 +496,7 @@ def stream_first_order(spark: SparkSession, folder: str) -> DataFrame:
 def stream_details(spark: SparkSession, folder: str) -> DataFrame:
     """Change records routed by one job, order lines enriched by the next, read back from its table."""
     work = work_dir(spark, "stream_details")
-    e = Entities(spark, folder)
+    e = Entities(spark, folder, spread=True)
     changes = _follow(spark, f"{work}/changes", e.changes())
     finish(jobs.message_job(changes, route_maxwell, f"{work}/topics", f"{work}/cp1"))
     records = read_stream(spark, "parquet", {}, f"{work}/topics/batch_id=*/topic=ODS_ORDER_DETAIL", MESSAGE)
@@ -529,7 +530,7 @@ def stream_dims(spark: SparkSession, folder: str) -> DataFrame:
 def resume(spark: SparkSession, folder: str) -> DataFrame:
     """A dedup job that ends and is started again on its checkpoint after more logs came in."""
     work = work_dir(spark, "resume")
-    logs = Entities(spark, folder).startups()
+    logs = Entities(spark, folder, spread=True).startups()
     for half in (F.col("event_id") % 2 == 0, F.col("event_id") % 2 != 0):
         source = _follow(spark, f"{work}/logs", logs.where(half).select("value"))
         finish(jobs.dau_job(source, f"{work}/dau", f"{work}/checkpoint", life=None))
@@ -540,6 +541,6 @@ def resume(spark: SparkSession, folder: str) -> DataFrame:
 def message_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines sent as messages, read back and parsed."""
     path = work_dir(spark, "message_round_trip")
-    lines = Entities(spark, folder).details().drop("arrived")
+    lines = Entities(spark, folder, spread=True).details().drop("arrived")
     send_messages(to_messages(lines, key="id", topic="DWD_ORDER_DETAIL"), path, 0)
     return parse_records(spark.read.parquet(path).select("key", "value", "topic"), schemas.DETAIL_RECORD)

@@ -113,7 +113,7 @@ def wide_stream(
     line_time: str,
     delay: str = "10 minutes",
     within_watermark: bool = True,
-    salts: int = 8,
+    salts: int = 4,
 ) -> DataFrame:
     """Orders joined with their lines, each line once."""
     joined = join_orders(orders, lines, order_time, line_time, delay=delay, salts=salts)
@@ -169,7 +169,7 @@ def stat_job(
     return write_stream(messages, each, checkpoint, **run)
 
 
-def dau_stream(logs: DataFrame, life: str | None = DEDUP_LIFE, zone: str = "UTC", salts: int = 8) -> DataFrame:
+def dau_stream(logs: DataFrame, life: str | None = DEDUP_LIFE, zone: str = "UTC", salts: int = 4) -> DataFrame:
     """The first startup of each device and day. Devices are remembered for ``life``, or for ever with None."""
     documents = dau_document(logs, zone=zone)
     if life is None:
@@ -179,7 +179,7 @@ def dau_stream(logs: DataFrame, life: str | None = DEDUP_LIFE, zone: str = "UTC"
 
 
 def dau_job(
-    logs: DataFrame, path: str, checkpoint: str, life: str | None = DEDUP_LIFE, zone: str = "UTC", salts: int = 8, **run
+    logs: DataFrame, path: str, checkpoint: str, life: str | None = DEDUP_LIFE, zone: str = "UTC", salts: int = 4, **run
 ) -> StreamingQuery:
     """Add the first startup of each device to the index of its day."""
     documents = dau_stream(logs, life, zone, salts).select(*schemas.DAU_INFO.names)
