@@ -33,12 +33,13 @@ def enrich(
         *[F.col(source).alias(f"_{target}") for target, source in columns.items()],
     ).where(F.col("_key").isNotNull())
     joined = df.join(picked, F.col(key) == F.col("_key"), "left")
-    own = {c: F.col(c) if c in df.columns else F.lit(None) for c in columns}
+    names = df.columns
+    own = {c: F.col(c) if c in names else F.lit(None) for c in columns}
     if keep_if_null:
         found = {c: F.coalesce(F.col(f"_{c}"), own[c]) for c in columns}
     else:
         found = {c: F.when(F.col("_hit"), F.col(f"_{c}")).otherwise(own[c]) for c in columns}
-    names = df.columns + [c for c in columns if c not in df.columns]
+    names = names + [c for c in columns if c not in names]
     return joined.select(*[found[c].alias(c) if c in found else F.col(c) for c in names])
 
 

@@ -45,14 +45,16 @@ FROM_LINE = {
 
 def _side(df: DataFrame, columns: dict[str, str], *extra: Column) -> DataFrame:
     """The wide columns that one side brings; a column it lacks is left for the defaults."""
-    return df.select(*[F.col(c).alias(w) for w, c in columns.items() if c in df.columns], *extra)
+    have = set(df.columns)
+    return df.select(*[F.col(c).alias(w) for w, c in columns.items() if c in have], *extra)
 
 
 def wide_row(joined: DataFrame, *keep: str) -> DataFrame:
     """All 26 wide columns: absent numbers are 0, absent texts null."""
+    have = set(joined.columns)
 
     def column(field):
-        own = F.col(field.name) if field.name in joined.columns else F.lit(None)
+        own = F.col(field.name) if field.name in have else F.lit(None)
         if field.dataType.typeName() == "string":
             return own.cast(field.dataType).alias(field.name)
         return F.coalesce(own.cast(field.dataType), F.lit(0).cast(field.dataType)).alias(field.name)

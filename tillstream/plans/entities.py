@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillstream.functions.money import cents
 from tillstream.operators.dims import user_info
@@ -33,21 +34,26 @@ WEIGHTS = (
 def _line_id() -> Column:
     """A 58-bit number made from a line's values; (order, line number) repeats in the test tables."""
     values = [
-        F.col("l_orderkey"),
-        F.col("l_partkey"),
-        F.col("l_suppkey"),
-        F.col("l_linenumber").cast("bigint"),
-        cents(F.col("l_quantity")),
-        cents(F.col("l_extendedprice")),
-        cents(F.col("l_discount")),
-        cents(F.col("l_tax")),
-        F.unix_date(F.col("l_shipdate").cast("date")).cast("bigint"),
+        "l_orderkey",
+        "l_partkey",
+        "l_suppkey",
+        "cast(l_linenumber as bigint)",
+        "floor(l_quantity * 100D + 0.5D)",
+        "floor(l_extendedprice * 100D + 0.5D)",
+        "floor(l_discount * 100D + 0.5D)",
+        "floor(l_tax * 100D + 0.5D)",
+        "cast(unix_date(cast(l_shipdate as date)) as bigint)",
     ]
-    halves = []
-    for prime, weights in zip(PRIMES, WEIGHTS):
-        terms = [value % prime * weight for value, weight in zip(values, weights)]
-        halves.append(sum(terms[1:], terms[0]) % prime)
-    return halves[0] * 2**29 + halves[1]
+
+    def half(prime: int, weights: tuple[int, ...]) -> str:
+        terms = " + ".join(f"{value} % {prime} * {weight}" for value, weight in zip(values, weights))
+        return f"({terms}) % {prime}"
+
+    return F.expr(f"{half(PRIMES[0], WEIGHTS[0])} * {2**29} + {half(PRIMES[1], WEIGHTS[1])}")
+
+
+# Schemas of the test tables, read from the files once.
+_SCHEMAS: dict[str, StructType] = {}
 
 
 class Entities:
@@ -59,7 +65,10 @@ class Entities:
         self.spark, self.folder, self.spread = spark, folder.rstrip("/"), spread
 
     def table(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        df = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
         cores = self.spark.sparkContext.defaultParallelism
         return df.repartition(cores) if self.spread and df.rdd.getNumPartitions() < cores else df
 

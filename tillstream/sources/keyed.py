@@ -44,7 +44,7 @@ class KeyedTable:
         """Write one batch; of several rows with one key the greatest ``version`` stays."""
         order = _newest_first(version) or [F.col(c) for c in self.schema.names]
         latest = first_seen(rows, self.keys, order).select(*self.schema.names)
-        latest.write.mode("overwrite").parquet(f"{self.path}/changes/batch_id={batch_id}")
+        _write(latest, f"{self.path}/changes/batch_id={batch_id}")
 
     def read(self, before: int | None = None, only: DataFrame | None = None) -> DataFrame:
         """The latest row of each key, of all batches or of those below ``before``.
@@ -66,7 +66,7 @@ class KeyedTable:
         """
         rows = self.read(before)
         rows = rows if keep is None else rows.where(keep)
-        rows.write.mode("overwrite").parquet(f"{self.path}/compacted/batch_id={before - 1}")
+        _write(rows, f"{self.path}/compacted/batch_id={before - 1}")
 
     def _parts(self, before: int | None) -> list[tuple[int, str]]:
         def finished(kind):
@@ -83,6 +83,12 @@ class KeyedTable:
         return rows.withColumn("batch_id", batch)
 
 
+def _write(rows: DataFrame, path: str) -> None:
+    """Replace a folder; its success file says that all of it is there."""
+    marked = rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+    marked.mode("overwrite").parquet(path)
+
+
 def _finished_batches(spark: SparkSession, folder: str) -> list[int]:
     """Numbers of the ``batch_id=N`` folders whose write was committed."""
     jvm = spark.sparkContext._jvm

@@ -92,10 +92,10 @@ def jdbc_read_options(url: str, query: str, properties: Mapping[str, str] | None
 
 def read_wide(spark: SparkSession, path: str) -> DataFrame:
     """The wide fact; a filter on ``dt`` prunes its folders."""
-    return spark.read.schema(ORDER_WIDE).parquet(path)
+    return spark.read.schema(ORDER_WIDE).parquet(path).select(*ORDER_WIDE.names)
 
 
 def read_dau(spark: SparkSession, path: str, dt: str | None = None) -> DataFrame:
     """The daily index, or one day of it."""
-    df = spark.read.schema(DAU_INFO).parquet(path)
+    df = spark.read.schema(DAU_INFO).parquet(path).select(*DAU_INFO.names)
     return df if dt is None else df.where(F.col("dt") == dt)
