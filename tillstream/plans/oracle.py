@@ -177,7 +177,7 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
-def _split(name: str, source: str) -> tuple[str, tuple[tuple[str, ...], str]]:
+def _split(name: str, source: str, order: str = "order_detail_id") -> tuple[str, tuple[tuple[str, ...], str]]:
     """Shares by running sums: the line at which an order reaches its original total takes the rest."""
     body = f"""
         SELECT * EXCLUDE (share, line, before, shared),
@@ -185,7 +185,7 @@ def _split(name: str, source: str) -> tuple[str, tuple[tuple[str, ...], str]]:
                     THEN paid - shared ELSE share END / 100 AS amount
         FROM (
           SELECT *, COALESCE(SUM(line) OVER w, 0) AS before, COALESCE(SUM(share) OVER w, 0) AS shared,
-                 row_number() OVER (PARTITION BY order_id ORDER BY order_detail_id) = 1 AS first_line
+                 row_number() OVER (PARTITION BY order_id ORDER BY {order}) = 1 AS first_line
           FROM (
             SELECT * EXCLUDE (final_detail_amount), CAST(floor(sku_num * sku_price * 100 + 0.5) AS BIGINT) AS line,
                    CAST(floor(original_total_amount * 100 + 0.5) AS BIGINT) AS original,
@@ -194,13 +194,19 @@ def _split(name: str, source: str) -> tuple[str, tuple[tuple[str, ...], str]]:
                      AS share
             FROM {source}
           )
-          WINDOW w AS (PARTITION BY order_id ORDER BY order_detail_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+          WINDOW w AS (PARTITION BY order_id ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
         )
         """
     return name, ((source,), body)
 
 
-PARTS.update([_split("shares", "wide"), _split("met_shares", "met")])
+PARTS.update(
+    [
+        _split("shares", "wide"),
+        _split("met_shares", "met"),
+        _split("shares_by_batch", "wide", "order_detail_id % 2, order_detail_id"),
+    ]
+)
 
 
 def _sql(body: str, *parts: str) -> str:
@@ -325,6 +331,15 @@ ORACLE: dict[str, str] = {
         """,
         "order_facts",
     ),
+    "first_order_over_batches": _sql(
+        """
+        SELECT id, user_id, create_time,
+               CASE WHEN row_number() OVER (PARTITION BY user_id ORDER BY id % 2, create_time, id) = 1
+                    THEN '1' ELSE '0' END AS if_first_order
+        FROM order_facts
+        """,
+        "order_facts",
+    ),
     "first_order_with_state": _sql("SELECT id, user_id, create_time, if_first_order FROM flagged", "flagged"),
     "first_order_state_updates": _sql(
         "SELECT user_id::VARCHAR AS user_id, '1' AS if_consumed FROM flagged WHERE if_first_order = '1'", "flagged"
@@ -362,6 +377,9 @@ ORACLE: dict[str, str] = {
     "split_paid_amount_partial": _sql(
         "SELECT order_id, order_detail_id, amount AS final_detail_amount FROM met_shares", "met_shares"
     ),
+    "split_paid_amount_two_batches": _sql(
+        "SELECT order_id, order_detail_id, amount AS final_detail_amount FROM shares_by_batch", "shares_by_batch"
+    ),
     "sliding_window_amount": _sql(
         f"""
         SELECT (event_time // 3 - back) * 3 AS window_start, tm_id, {_money("amount")}::DOUBLE AS amount

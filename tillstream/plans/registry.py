@@ -19,7 +19,7 @@ from tillstream.operators import ads, reports
 from tillstream.operators.dau import DAU_KEYS, dau_document
 from tillstream.operators.dims import reduce_dim, sku_info, spu_info
 from tillstream.operators.dwd import enrich_detail, enrich_order, flag_first_order, user_state_updates
-from tillstream.operators.dws import first_seen, join_orders, split_amount
+from tillstream.operators.dws import first_seen, join_orders, order_totals, split_amount
 from tillstream.operators.ods import (
     fan_out,
     json_fields,
@@ -217,6 +217,15 @@ def first_order_with_state(spark: SparkSession, folder: str) -> DataFrame:
     return flag_first_order(e.orders(), e.user_state()).select("id", "user_id", "create_time", "if_first_order")
 
 
+@query
+def first_order_over_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with odd ids come in a second batch, which sees the users of the first."""
+    orders = Entities(spark, folder).orders()
+    first = flag_first_order(orders.where(F.col("id") % 2 == 0))
+    second = flag_first_order(orders.where(F.col("id") % 2 != 0), user_state_updates(first))
+    return first.unionByName(second).select("id", "user_id", "create_time", "if_first_order")
+
+
 @query
 def first_order_state_updates(spark: SparkSession, folder: str) -> DataFrame:
     e = Entities(spark, folder)
@@ -276,6 +285,16 @@ def split_paid_amount_partial(spark: SparkSession, folder: str) -> DataFrame:
     return _shares(split_amount(Entities(spark, folder).wide(timed=True)))
 
 
+@query
+def split_paid_amount_two_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Odd lines come after even ones; the sums of the first batch are carried to the second."""
+    wide = Entities(spark, folder).wide()
+    even = split_amount(wide.where(F.col("order_detail_id") % 2 == 0))
+    prior = order_totals(even, time="create_time")
+    odd = split_amount(wide.where(F.col("order_detail_id") % 2 != 0), prior=prior)
+    return _shares(even).unionByName(_shares(odd))
+
+
 # ADS: statistics.
 
 STAT_NEEDS = {

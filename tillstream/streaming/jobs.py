@@ -76,15 +76,15 @@ def order_info_job(
     def each(batch: DataFrame, n: int) -> None:
         if batch.isEmpty():
             return
-        records = add_create_parts(parse_records(batch.select("value"), schemas.ORDER_RECORD))
-        with _reused(records) as records:
+        parsed = add_create_parts(parse_records(batch.select("value"), schemas.ORDER_RECORD))
+        with _reused(parsed) as records:
             seen = user_state.read(before=n, only=keys_of(records, "user_id", user_state))
-            with _reused(flag_first_order(records, seen)) as flagged:
-                users = user.read(only=keys_of(flagged, "user_id", user))
-                facts = enrich_order(flagged, province.read(), users).select(*schemas.ORDER_INFO.names)
+            users = user.read(only=keys_of(records, "user_id", user))
+            rich = enrich_order(flag_first_order(records, seen), province.read(), users)
+            with _reused(rich.select(*schemas.ORDER_INFO.names)) as facts:
                 orders.upsert(facts, n)
                 send_messages(to_messages(facts, key="id"), path, n)
-                user_state.upsert(user_state_updates(flagged), n)
+                user_state.upsert(user_state_updates(facts), n)
 
     return write_stream(messages, each, checkpoint, **run)
 
@@ -98,10 +98,10 @@ def order_detail_job(
         if batch.isEmpty():
             return
         with _reused(parse_records(batch.select("value"), schemas.DETAIL_RECORD)) as lines:
-            skus = sku.read(only=keys_of(lines, "sku_id", sku))
-            facts = enrich_detail(lines, skus).select(*schemas.ORDER_DETAIL.names)
-            details.upsert(facts, n)
-            send_messages(to_messages(facts, key="id"), path, n)
+            rich = enrich_detail(lines, sku.read(only=keys_of(lines, "sku_id", sku)))
+            with _reused(rich.select(*schemas.ORDER_DETAIL.names)) as facts:
+                details.upsert(facts, n)
+                send_messages(to_messages(facts, key="id"), path, n)
 
     return write_stream(messages, each, checkpoint, **run)
 
