@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tillstream import schemas
-from tillstream.operators.dws import first_seen, join_orders, order_totals, split_amount, wide_row
+from tillstream.operators.dws import first_seen, join_orders, order_totals, salt_of, split_amount, wide_row
 
 LINES = (
     "order_detail_id bigint, order_id bigint, sku_num bigint, sku_price double, "
@@ -189,6 +189,13 @@ def test_pairs_meet_when_their_batches_share_a_window(spark, salts):
     assert sorted((r.order_id, r.order_detail_id) for r in joined.collect()) == sorted(wanted)
 
 
+def test_salts_repeat_and_spread(spark):
+    df = spark.range(10_000).select("id", F.lit(7).alias("order_id"))
+    salted = df.select(salt_of(df, 4).alias("s"))
+    assert salted.exceptAll(df.repartition(13).select(salt_of(df, 4).alias("s"))).isEmpty()
+    assert min(r["count"] for r in salted.groupBy("s").count().collect()) > 2000
+
+
 def test_without_times_every_line_meets_its_order(spark):
     orders, details = spark.range(3), spark.createDataFrame([(7, 1), (8, 1), (9, 5)], "id bigint, order_id bigint")
     assert sorted(r.order_detail_id for r in join_orders(orders, details).collect()) == [7, 8]

@@ -94,8 +94,7 @@ def join_orders(
     on = F.col("order_id") == F.col("_of")
     if salts > 1:
         left = left.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        # Any salt gives the same pairs, so a random one is safe; copies of one line spread as well.
-        right = right.withColumn("_salt", F.floor(F.rand(1) * salts).cast("int"))
+        right = right.withColumn("_salt", salt_of(right, salts))
         on = on & (F.col("_copy") == F.col("_salt"))
     if timed:
         if left.isStreaming:
@@ -128,16 +127,26 @@ def first_seen(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
+def salt_of(df: DataFrame, salts: int) -> Column:
+    """A number below ``salts`` made from a row's values.
+
+    It must not be random: a task that is run again after a loss would send its rows
+    to other tasks than before, and some would be read twice or never.
+    """
+    return F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
+
+
 def first_arrived(df: DataFrame, keys: Sequence[str], within_watermark: bool = True, salts: int = 4) -> DataFrame:
     """The first arrived row of each key, for streams.
 
     With ``within_watermark`` a key is forgotten after the watermark delay, else
     never. A first pass by key and salt thins out a hot key before the second pass
-    by key; the salt decides only where a row is compared, not what is kept.
+    by key. The salt comes from all columns, so rows of one key spread when any of
+    them differs: a time, or the offset that a message source gives each copy.
     """
     drop = "dropDuplicatesWithinWatermark" if within_watermark else "dropDuplicates"
     if salts > 1:
-        salted = df.withColumn("_salt", F.floor(F.rand(1) * salts).cast("int"))
+        salted = df.withColumn("_salt", salt_of(df, salts))
         df = getattr(salted, drop)([*keys, "_salt"]).drop("_salt")
     return getattr(df, drop)(list(keys))
 

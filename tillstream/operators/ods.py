@@ -85,12 +85,13 @@ def route_maxwell(
     Empty objects and tables that are not listed are dropped.
     """
     record = json_fields(df.select(F.col(value).alias("_change")), "table string, data string", "_change")
-    is_object = F.when(F.col("data").startswith("{"), True).otherwise(
-        F.raise_error(F.lit("change record: data is no object"))
+    listed = F.coalesce(F.col("table").isin(*tables) & F.col("data").isNotNull(), F.lit(False))
+    wanted = (
+        F.when(~listed, False)
+        .when(F.col("data").startswith("{"), F.col("data") != "{}")
+        .otherwise(F.raise_error(F.lit("change record: data is no object")))
     )
-    return record.where(
-        F.col("table").isin(*tables) & F.col("data").isNotNull() & is_object & (F.col("data") != "{}")
-    ).select(F.concat(F.lit(prefix), F.upper("table")).alias("topic"), F.col("data").alias("value"))
+    return record.where(wanted).select(F.concat(F.lit(prefix), F.upper("table")).alias("topic"), F.col("data").alias("value"))
 
 
 def route_canal(df: DataFrame, value: str = "value", prefix: str = ODS_PREFIX) -> DataFrame:

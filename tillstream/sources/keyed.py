@@ -42,7 +42,8 @@ class KeyedTable:
 
     def upsert(self, rows: DataFrame, batch_id: int, version: Sequence[str] = ()) -> None:
         """Write one batch; of several rows with one key the greatest ``version`` stays."""
-        order = _newest_first(version) or [F.col(c) for c in self.schema.names]
+        # The other columns settle ties, so that a replay keeps the same row.
+        order = [*_newest_first(version), *[F.col(c) for c in self.schema.names]]
         latest = first_seen(rows, self.keys, order).select(*self.schema.names)
         _write(latest, f"{self.path}/changes/batch_id={batch_id}")
 
@@ -51,10 +52,10 @@ class KeyedTable:
 
         ``only`` holds keys: other rows are dropped before the latest are looked for.
         """
-        parts = self._parts(before)
-        if not parts:
-            return self.spark.createDataFrame([], self.schema)
-        rows = self._changes(parts)
+        base, changes = self._batches(before)
+        rows = self._rows("changes", changes)
+        if base:
+            rows = self._rows("compacted", base).unionByName(rows)
         if only is not None:
             rows = rows.join(only, self.keys, "left_semi")
         return first_seen(rows, self.keys, _newest_first(["batch_id"])).select(*self.schema.names)
@@ -68,19 +69,23 @@ class KeyedTable:
         rows = rows if keep is None else rows.where(keep)
         _write(rows, f"{self.path}/compacted/batch_id={before - 1}")
 
-    def _parts(self, before: int | None) -> list[tuple[int, str]]:
-        def finished(kind):
-            ids = _finished_batches(self.spark, f"{self.path}/{kind}")
-            return [(n, f"{self.path}/{kind}/batch_id={n}") for n in ids if before is None or n < before]
-
-        base = max(finished("compacted"), default=None)
-        return ([base] if base else []) + [p for p in finished("changes") if base is None or p[0] > base[0]]
+    def _batches(self, before: int | None) -> tuple[list[int], list[int]]:
+        """The newest compacted state below ``before``, and the changes since."""
 
-    def _changes(self, parts: list[tuple[int, str]]) -> DataFrame:
-        """One scan over the folders; the folder tells the batch."""
-        rows = self.spark.read.schema(self.schema).parquet(*[path for _, path in parts])
-        batch = F.regexp_extract(F.col("_metadata.file_path"), r"batch_id=(-?\d+)", 1).cast("bigint")
-        return rows.withColumn("batch_id", batch)
+        def finished(kind):
+            return [n for n in _finished_batches(self.spark, f"{self.path}/{kind}") if before is None or n < before]
+
+        base = finished("compacted")[-1:]
+        return base, [n for n in finished("changes") if not base or n > base[0]]
+
+    def _rows(self, kind: str, batches: list[int]) -> DataFrame:
+        """One scan over the folders of some batches; the folder's name gives ``batch_id``."""
+        schema = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
+        if not batches:
+            return self.spark.createDataFrame([], schema)
+        root = f"{self.path}/{kind}"
+        reader = self.spark.read.schema(schema).option("basePath", root)
+        return reader.parquet(*[f"{root}/batch_id={n}" for n in batches])
 
 
 def _write(rows: DataFrame, path: str) -> None:
