@@ -39,7 +39,7 @@ def test_logs_go_by_start(table, rows):
 
 
 def test_broken_log_lines_are_refused(table):
-    routed = route_logs(lines(table, "{broken", '{"start":"a"}', None))
+    routed = route_logs(lines(table, "{broken", '{"start":"a"}', None, "", " ", "[1]", "null", '"start"'))
     assert [r.value for r in routed.collect()] == ['{"start":"a"}']
 
 
@@ -107,7 +107,7 @@ def test_parse_takes_quoted_and_bare_numbers(table):
     ]
 
 
-@pytest.mark.parametrize("text", ["{broken", '{"id":"x1"}'])
+@pytest.mark.parametrize("text", ["{broken", '{"id":"x1"}', "", " ", "[1]", "null"])
 def test_parse_stops_at_broken_records(table, text):
     with pytest.raises(Exception):
         parse_records(lines(table, text), schemas.DETAIL_RECORD).collect()

@@ -33,7 +33,11 @@ def json_fields(df: DataFrame, schema: T.StructType | str, value: str = "value",
     The generator makes sure that a text is parsed once: a filter on a field of a
     projected ``from_json`` would be pushed down with the parse and repeat it.
     """
-    return df.select("*", F.inline(F.array(F.from_json(value, schema, options))))
+    text = F.col(value)
+    if options is FAILFAST:
+        # To from_json a blank text is no broken one, but a null.
+        text = F.when(F.trim(text) == "", F.raise_error(F.lit("record: blank text"))).otherwise(text)
+    return df.select("*", F.inline(F.array(F.from_json(text, schema, options))))
 
 
 def _typed(text: Column, kind: T.DataType) -> Column:
@@ -70,7 +74,7 @@ def route_logs(
     A line that is no JSON object is refused, as the log endpoint refuses the request.
     """
     fields, options = "start string, _broken string", {"columnNameOfCorruptRecord": "_broken"}
-    lines = json_fields(df.where(F.col(value).isNotNull()).select(value), fields, value, options)
+    lines = json_fields(df.where(F.trim(F.col(value)) != "").select(value), fields, value, options)
     blank = F.coalesce(F.col("start").rlike(BLANK), F.lit(True))
     return lines.where(F.col("_broken").isNull()).select(
         F.when(blank, event).otherwise(startup).alias("topic"), F.col(value).alias("value")
