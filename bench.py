@@ -16,32 +16,32 @@ from tillstream.plans.registry import QUERIES
 from tillstream.session import build_session
 
 HEADLINES = [
-    "route_log_lines",
-    "route_maxwell_changes",
+    "route_logs",
+    "route_maxwell",
     "parse_orders",
-    "user_info_dim",
-    "sku_info_dim",
-    "upsert_order_status",
+    "user_info",
+    "sku_info",
+    "upsert_latest",
     "order_detail_enriched",
     "first_order_with_state",
     "order_info_enriched",
     "order_wide",
     "order_join_batches",
-    "split_paid_amount",
+    "split_amount",
     "stat_trademark",
     "stat_category",
     "stat_spu",
     "stat_province",
     "stat_gender",
     "stat_age",
-    "sliding_window_amount",
+    "sliding_amount",
     "dau_first_seen",
     "dau_hour",
     "order_amount_hour",
     "realtime_total",
     "stream_wide",
-    "stream_routed_dau",
-    "stream_stat",
+    "stream_dau",
+    "stream_stats",
     "stream_first_order",
 ]
 

@@ -243,14 +243,14 @@ SKU_NAMES = """
 WIDE_FIELDS = "* EXCLUDE (order_arrived, event_time, replay_id)"
 
 ORACLE: dict[str, str] = {
-    "route_log_lines": _sql(
+    "route_logs": _sql(
         """
         SELECT CASE WHEN event_type IN ('signup', 'view') THEN 'STARTUP_LOG' ELSE 'EVENT_LOG' END AS topic,
                mid, event_type AS ar, ms AS ts FROM events_in
         """,
         "events_in",
     ),
-    "route_maxwell_changes": _sql(
+    "route_maxwell": _sql(
         """
         SELECT 'ODS_ORDER_INFO' AS topic, id, create_time,
                CAST(floor(final_total_amount * 100 + 0.5) AS BIGINT) AS paid_cents FROM order_facts
@@ -259,7 +259,7 @@ ORACLE: dict[str, str] = {
         "order_facts",
         "details",
     ),
-    "route_canal_changes": _sql(
+    "route_canal": _sql(
         """
         SELECT 'ODS_ORDER_DETAIL' AS topic,
                '{"id":"' || id || '","order_id":"' || order_id || '","sku_num":"' || (sku_num * times) || '"}' AS value
@@ -269,7 +269,7 @@ ORACLE: dict[str, str] = {
     ),
     "parse_orders": _sql(f"SELECT {ORDER_FIELDS}, create_date, create_hour FROM order_facts", "order_facts"),
     "parse_details": _sql(f"SELECT {DETAIL_FIELDS} FROM details", "details"),
-    "order_messages": _sql(
+    "to_messages": _sql(
         """
         SELECT 'DWD_ORDER_INFO' AS topic, id::VARCHAR AS key,
                '{"id":' || id || ',"province_id":' || province_id || ',"order_status":"' || order_status
@@ -278,7 +278,7 @@ ORACLE: dict[str, str] = {
         """,
         "order_facts",
     ),
-    "fan_out_messages": _sql(
+    "fan_out": _sql(
         """
         SELECT topic, id::VARCHAR AS key, '{"id":' || id || ',"order_status":"' || order_status || '"}' AS value
         FROM order_facts, (VALUES ('DWD_ORDER_WIDE_TM'), ('DWD_ORDER_WIDE_SPU'), ('DWD_ORDER_WIDE_CATE'),
@@ -286,11 +286,11 @@ ORACLE: dict[str, str] = {
         """,
         "order_facts",
     ),
-    "user_info_dim": _sql("SELECT id, user_level, user_age, user_age_group, user_gender FROM users", "users"),
-    "user_lifetime": _sql(
+    "user_info": _sql("SELECT id, user_level, user_age, user_age_group, user_gender FROM users", "users"),
+    "diff_ms": _sql(
         "SELECT id, date_diff('day', born, DATE '2026-01-01') * 86400000 AS lived_ms FROM user_records", "user_records"
     ),
-    "spu_info_dim": _sql(
+    "spu_info": _sql(
         """
         SELECT s.id, s.spu_name, s.description, s.category3_id, k.name AS category3_name, s.tm_id,
                COALESCE(b.tm_name, 'unnamed') AS tm_name
@@ -300,12 +300,12 @@ ORACLE: dict[str, str] = {
         "brands",
         "kinds",
     ),
-    "sku_info_dim": _sql(SKU_NAMES.format(key="p.p_size::VARCHAR"), "parts", "spus", "brands", "kinds"),
+    "sku_info": _sql(SKU_NAMES.format(key="p.p_size::VARCHAR"), "parts", "spus", "brands", "kinds"),
     "sku_info_as_coded": _sql(SKU_NAMES.format(key="p.brand_id"), "parts", "spus", "brands", "kinds"),
-    "reduce_sku_dim": _sql(
+    "reduce_dim": _sql(
         "SELECT id, spu_name, tm_name FROM skus WHERE p_partkey IN (SELECT l_partkey FROM lineitem)", "skus"
     ),
-    "upsert_order_status": _sql(
+    "upsert_latest": _sql(
         """
         SELECT id, status, changed, seq FROM (
           SELECT o_orderkey AS id, o_orderstatus AS status, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS changed,
@@ -322,7 +322,7 @@ ORACLE: dict[str, str] = {
         """,
         "order_facts",
     ),
-    "read_dim_rows": "SELECT p_partkey, p_name FROM part WHERE p_size IN (1, 5, 9)",
+    "read_dim": "SELECT p_partkey, p_name FROM part WHERE p_size IN (1, 5, 9)",
     "order_detail_enriched": _sql("SELECT * EXCLUDE (replay_id, arrived) FROM rich_details", "rich_details"),
     "first_order_flag": _sql(
         """
@@ -341,7 +341,7 @@ ORACLE: dict[str, str] = {
         "order_facts",
     ),
     "first_order_with_state": _sql("SELECT id, user_id, create_time, if_first_order FROM flagged", "flagged"),
-    "first_order_state_updates": _sql(
+    "user_state_updates": _sql(
         "SELECT user_id::VARCHAR AS user_id, '1' AS if_consumed FROM flagged WHERE if_first_order = '1'", "flagged"
     ),
     "order_info_enriched": _sql(
@@ -362,10 +362,10 @@ ORACLE: dict[str, str] = {
     "order_join_salted": _sql(
         "SELECT order_detail_id, order_id, user_id, sku_id, sku_price, sku_num, dt FROM met", "met"
     ),
-    "split_paid_amount": _sql(
+    "split_amount": _sql(
         "SELECT order_id, order_detail_id, amount AS final_detail_amount FROM shares", "shares"
     ),
-    "split_paid_amount_as_coded": _sql(
+    "split_amount_as_coded": _sql(
         """
         SELECT order_id, order_detail_id,
                CAST(floor(sku_num * sku_price / final_total_amount * original_total_amount * 100 + 0.5) AS BIGINT) / 100
@@ -374,13 +374,13 @@ ORACLE: dict[str, str] = {
         """,
         "wide",
     ),
-    "split_paid_amount_partial": _sql(
+    "split_amount_partial": _sql(
         "SELECT order_id, order_detail_id, amount AS final_detail_amount FROM met_shares", "met_shares"
     ),
-    "split_paid_amount_two_batches": _sql(
+    "split_amount_two_batches": _sql(
         "SELECT order_id, order_detail_id, amount AS final_detail_amount FROM shares_by_batch", "shares_by_batch"
     ),
-    "sliding_window_amount": _sql(
+    "sliding_amount": _sql(
         f"""
         SELECT (event_time // 3 - back) * 3 AS window_start, tm_id, {_money("amount")}::DOUBLE AS amount
         FROM met_shares, (VALUES (0), (1)) t(back) GROUP BY ALL
@@ -394,6 +394,13 @@ ORACLE: dict[str, str] = {
         """,
         "met_shares",
     ),
+    "dau_document": _sql(
+        """
+        SELECT mid, uid, event_type AS ar, 'app' AS ch, 'v1' AS vc, dt, hr, '00' AS mi, ms AS ts
+        FROM events_in WHERE event_type IN ('signup', 'view')
+        """,
+        "events_in",
+    ),
     "dau_first_seen": _sql("SELECT * FROM dau", "dau"),
     "dau_total": _sql("SELECT COUNT(*) AS total FROM dau WHERE dt = '2024-01-15'", "dau"),
     "dau_hour": _sql(
@@ -421,12 +428,12 @@ ORACLE: dict[str, str] = {
         "dau",
         "shares",
     ),
-    "daily_index": _sql("SELECT dt, COUNT(*) AS total FROM dau GROUP BY dt", "dau"),
+    "append_daily": _sql("SELECT dt, COUNT(*) AS total FROM dau GROUP BY dt", "dau"),
     "stream_wide": _sql(
         f"SELECT order_id, COUNT(*) AS lines, {_money('amount')}::DOUBLE AS paid FROM met_shares GROUP BY order_id",
         "met_shares",
     ),
-    "stream_routed_dau": _sql("SELECT dt, mid, uid FROM dau", "dau"),
+    "stream_dau": _sql("SELECT dt, mid, uid FROM dau", "dau"),
     "resume": _sql("SELECT dt, mid, uid FROM dau", "dau"),
     "stream_stat_windowed": _sql(
         f"""
@@ -457,8 +464,8 @@ _CATEGORY_TOTALS = _sql(
     """,
     "wide",
 )
-ORACLE["replayed_append"] = _CATEGORY_TOTALS
-ORACLE["stream_stat"] = _CATEGORY_TOTALS
+ORACLE["append_exactly_once"] = _CATEGORY_TOTALS
+ORACLE["stream_stats"] = _CATEGORY_TOTALS
 
 for _name, _stat in STATS.items():
     _keys = ", ".join(f"{column}::VARCHAR AS {name}" for name, column in _stat.by.items())

@@ -67,15 +67,18 @@ def register(name: str, function: Query) -> None:
     QUERIES[name] = run
 
 
-def query(function: Query) -> Query:
-    register(function.__name__, function)
-    return function
+def query(name: str) -> Callable[[Query], Query]:
+    def add(function: Query) -> Query:
+        register(name, function)
+        return function
+
+    return add
 
 
 # ODS: route and parse.
 
 
-@query
+@query("route_logs")
 def route_log_lines(spark: SparkSession, folder: str) -> DataFrame:
     routed = route_logs(Entities(spark, folder, spread=True).logs())
     return json_fields(routed, "common struct<mid:string,ar:string>, ts bigint").select(
@@ -83,40 +86,40 @@ def route_log_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
+@query("route_maxwell")
 def route_maxwell_changes(spark: SparkSession, folder: str) -> DataFrame:
     routed = route_maxwell(Entities(spark, folder, spread=True).changes())
     fields = json_fields(routed, "id bigint, create_time string, final_total_amount double")
     return fields.select("topic", "id", "create_time", cents(F.col("final_total_amount")).alias("paid_cents"))
 
 
-@query
+@query("route_canal")
 def route_canal_changes(spark: SparkSession, folder: str) -> DataFrame:
     """The routed value is compared as text."""
     return route_canal(Entities(spark, folder, spread=True).array_changes())
 
 
-@query
+@query("parse_orders")
 def parse_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Numbers come quoted; the reduction and the fee are absent and become 0."""
     messages = Entities(spark, folder, spread=True).order_messages(quoted=True)
     return add_create_parts(parse_records(messages, schemas.ORDER_RECORD))
 
 
-@query
+@query("parse_details")
 def parse_details(spark: SparkSession, folder: str) -> DataFrame:
     routed = route_maxwell(Entities(spark, folder, spread=True).changes(), ["order_detail"])
     return parse_records(routed, schemas.DETAIL_RECORD).drop("topic")
 
 
-@query
+@query("to_messages")
 def order_messages(spark: SparkSession, folder: str) -> DataFrame:
     orders = Entities(spark, folder, spread=True).orders()
     columns = ["id", "province_id", "order_status", "user_id", "expire_time", "create_time"]
     return to_messages(orders, key="id", topic="DWD_ORDER_INFO", columns=columns)
 
 
-@query
+@query("fan_out")
 def fan_out_messages(spark: SparkSession, folder: str) -> DataFrame:
     orders = Entities(spark, folder, spread=True).orders()
     return fan_out(to_messages(orders, key="id", columns=["id", "order_status"]))
@@ -125,42 +128,42 @@ def fan_out_messages(spark: SparkSession, folder: str) -> DataFrame:
 # Dimensions.
 
 
-@query
+@query("user_info")
 def user_info_dim(spark: SparkSession, folder: str) -> DataFrame:
     return Entities(spark, folder).users()
 
 
-@query
+@query("diff_ms")
 def user_lifetime(spark: SparkSession, folder: str) -> DataFrame:
     records = Entities(spark, folder).user_records()
     return records.select("id", diff_ms(F.col("birthday"), F.lit(AS_OF)).alias("lived_ms"))
 
 
-@query
+@query("spu_info")
 def spu_info_dim(spark: SparkSession, folder: str) -> DataFrame:
     e = Entities(spark, folder)
     return spu_info(e.spus(), e.trademarks(), e.categories())
 
 
-@query
+@query("sku_info")
 def sku_info_dim(spark: SparkSession, folder: str) -> DataFrame:
     e = Entities(spark, folder)
     return sku_info(e.bare_skus(), e.spus(), e.trademarks(), e.categories())
 
 
-@query
+@query("sku_info_as_coded")
 def sku_info_as_coded(spark: SparkSession, folder: str) -> DataFrame:
     e = Entities(spark, folder)
     return sku_info(e.bare_skus(), e.spus(), e.trademarks(), e.categories(), as_coded=True)
 
 
-@query
+@query("reduce_dim")
 def reduce_sku_dim(spark: SparkSession, folder: str) -> DataFrame:
     e = Entities(spark, folder)
     return reduce_dim(e.skus(), e.details(), "id", "sku_id").select("id", "spu_name", "tm_name")
 
 
-@query
+@query("upsert_latest")
 def upsert_order_status(spark: SparkSession, folder: str) -> DataFrame:
     """Orders overwritten by the status of their lines: the line shipped last wins, then the higher id."""
     e = Entities(spark, folder)
@@ -177,7 +180,7 @@ def upsert_order_status(spark: SparkSession, folder: str) -> DataFrame:
     return upsert_latest(current, updates, ["id"], ["changed", "seq"])
 
 
-@query
+@query("keyed_table")
 def keyed_table(spark: SparkSession, folder: str) -> DataFrame:
     """Three batches of upserts with a compaction between them; the last batch is run twice."""
     rows = Entities(spark, folder).orders().select("id", "order_status", "create_time")
@@ -191,7 +194,7 @@ def keyed_table(spark: SparkSession, folder: str) -> DataFrame:
     return table.read()
 
 
-@query
+@query("read_dim")
 def read_dim_rows(spark: SparkSession, folder: str) -> DataFrame:
     return read_dim(spark, f"{folder}/part.parquet", ["p_partkey", "p_name"], F.col("p_size").isin(1, 5, 9))
 
@@ -199,25 +202,25 @@ def read_dim_rows(spark: SparkSession, folder: str) -> DataFrame:
 # DWD: order facts.
 
 
-@query
+@query("order_detail_enriched")
 def order_detail_enriched(spark: SparkSession, folder: str) -> DataFrame:
     e = Entities(spark, folder)
     return enrich_detail(e.details(), e.skus()).drop("arrived")
 
 
-@query
+@query("first_order_flag")
 def first_order_flag(spark: SparkSession, folder: str) -> DataFrame:
     flagged = flag_first_order(Entities(spark, folder).orders())
     return flagged.select("id", "user_id", "create_time", "if_first_order")
 
 
-@query
+@query("first_order_with_state")
 def first_order_with_state(spark: SparkSession, folder: str) -> DataFrame:
     e = Entities(spark, folder)
     return flag_first_order(e.orders(), e.user_state()).select("id", "user_id", "create_time", "if_first_order")
 
 
-@query
+@query("first_order_over_batches")
 def first_order_over_batches(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with odd ids come in a second batch, which sees the users of the first."""
     orders = Entities(spark, folder).orders()
@@ -226,13 +229,13 @@ def first_order_over_batches(spark: SparkSession, folder: str) -> DataFrame:
     return first.unionByName(second).select("id", "user_id", "create_time", "if_first_order")
 
 
-@query
+@query("user_state_updates")
 def first_order_state_updates(spark: SparkSession, folder: str) -> DataFrame:
     e = Entities(spark, folder)
     return user_state_updates(flag_first_order(e.orders(), e.user_state()))
 
 
-@query
+@query("order_info_enriched")
 def order_info_enriched(spark: SparkSession, folder: str) -> DataFrame:
     e = Entities(spark, folder)
     orders = flag_first_order(e.orders(), e.user_state())
@@ -242,13 +245,13 @@ def order_info_enriched(spark: SparkSession, folder: str) -> DataFrame:
 # DWS: the wide fact.
 
 
-@query
+@query("order_wide")
 def order_wide(spark: SparkSession, folder: str) -> DataFrame:
     """All 26 columns, with every lookup."""
     return Entities(spark, folder).wide(sku=True, province=True, user=True, first=True)
 
 
-@query
+@query("order_join_batches")
 def order_join_batches(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs whose arrival shares a window; line numbers repeat and are kept once."""
     e = Entities(spark, folder)
@@ -257,7 +260,7 @@ def order_join_batches(spark: SparkSession, folder: str) -> DataFrame:
     return once.select("order_detail_id", "order_id", "user_id", "sku_id", "sku_price", "sku_num", "dt")
 
 
-@query
+@query("order_join_salted")
 def order_join_salted(spark: SparkSession, folder: str) -> DataFrame:
     """The join with each order spread over several tasks."""
     e = Entities(spark, folder)
@@ -269,23 +272,23 @@ def _shares(wide: DataFrame) -> DataFrame:
     return wide.select("order_id", "order_detail_id", "final_detail_amount")
 
 
-@query
+@query("split_amount")
 def split_paid_amount(spark: SparkSession, folder: str) -> DataFrame:
     return _shares(split_amount(Entities(spark, folder).wide()))
 
 
-@query
+@query("split_amount_as_coded")
 def split_paid_amount_as_coded(spark: SparkSession, folder: str) -> DataFrame:
     return _shares(split_amount(Entities(spark, folder).wide(), as_coded=True))
 
 
-@query
+@query("split_amount_partial")
 def split_paid_amount_partial(spark: SparkSession, folder: str) -> DataFrame:
     """After the join by arrival many orders lack lines, and nobody takes their remainder."""
     return _shares(split_amount(Entities(spark, folder).wide(timed=True)))
 
 
-@query
+@query("split_amount_two_batches")
 def split_paid_amount_two_batches(spark: SparkSession, folder: str) -> DataFrame:
     """Odd lines come after even ones; the sums of the first batch are carried to the second."""
     wide = Entities(spark, folder).wide()
@@ -328,13 +331,13 @@ def _epoch(df: DataFrame) -> DataFrame:
     return df.withColumn("window_start", F.unix_seconds("window_start"))
 
 
-@query
+@query("sliding_amount")
 def sliding_window_amount(spark: SparkSession, folder: str) -> DataFrame:
     wide = split_amount(Entities(spark, folder).wide(sku=True, timed=True))
     return _epoch(ads.sliding_amount(wide, ["tm_id"]))
 
 
-@query
+@query("stat_windowed")
 def stat_windowed(spark: SparkSession, folder: str) -> DataFrame:
     wide = split_amount(Entities(spark, folder).wide(province=True, timed=True))
     return _epoch(ads.amount_stat_windowed(wide, ["province_name"]))
@@ -348,32 +351,37 @@ def _dau(spark: SparkSession, folder: str, days: int = 0) -> DataFrame:
     return first_seen(documents, DAU_KEYS, ["ts", "event_id"]).drop("event_id")
 
 
-@query
+@query("dau_document")
+def startup_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return dau_document(Entities(spark, folder, spread=True).startups()).drop("event_id")
+
+
+@query("dau_first_seen")
 def dau_first_seen(spark: SparkSession, folder: str) -> DataFrame:
     return _dau(spark, folder)
 
 
-@query
+@query("dau_total")
 def dau_total(spark: SparkSession, folder: str) -> DataFrame:
     return reports.dau_total(_dau(spark, folder), ACTIVE_DAY)
 
 
-@query
+@query("dau_hour")
 def dau_hour(spark: SparkSession, folder: str) -> DataFrame:
     return reports.dau_hour(_dau(spark, folder), ACTIVE_DAY)
 
 
-@query
+@query("order_amount")
 def order_amount(spark: SparkSession, folder: str) -> DataFrame:
     return reports.order_amount(split_amount(Entities(spark, folder).wide()), SALES_DAY)
 
 
-@query
+@query("order_amount_hour")
 def order_amount_hour(spark: SparkSession, folder: str) -> DataFrame:
     return reports.order_amount_hour(split_amount(Entities(spark, folder).wide()), SALES_DAY)
 
 
-@query
+@query("realtime_total")
 def realtime_total(spark: SparkSession, folder: str) -> DataFrame:
     wide = split_amount(Entities(spark, folder).wide())
     return reports.realtime_total(_dau(spark, folder, EVENTS_TO_SALES), wide, SALES_DAY)
@@ -382,7 +390,7 @@ def realtime_total(spark: SparkSession, folder: str) -> DataFrame:
 # Sinks.
 
 
-@query
+@query("append_daily")
 def daily_index(spark: SparkSession, folder: str) -> DataFrame:
     """Documents stored by day and read back, per day."""
     path = work_dir(spark, "daily_index")
@@ -390,7 +398,7 @@ def daily_index(spark: SparkSession, folder: str) -> DataFrame:
     return read_dau(spark, path).groupBy("dt").agg(F.count("*").alias("total"))
 
 
-@query
+@query("append_exactly_once")
 def replayed_append(spark: SparkSession, folder: str) -> DataFrame:
     """Statistics of two batches; the second is stored twice and counts once."""
     path = work_dir(spark, "replayed_append")
@@ -430,7 +438,7 @@ def _run_wide(spark: SparkSession, folder: str, work: str, salts: int = 4) -> Da
     return read_wide(spark, f"{work}/wide")
 
 
-@query
+@query("stream_wide")
 def stream_wide(spark: SparkSession, folder: str) -> DataFrame:
     """Orders joined with their lines as streams; each line is sent twice. Paid shares are summed per order."""
     wide = _run_wide(spark, folder, work_dir(spark, "stream_wide"))
@@ -439,7 +447,7 @@ def stream_wide(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
+@query("stream_dau")
 def stream_routed_dau(spark: SparkSession, folder: str) -> DataFrame:
     """Log lines routed by one job; the first startup per device and day by the next, in several batches."""
     work = work_dir(spark, "stream_routed_dau")
@@ -451,7 +459,7 @@ def stream_routed_dau(spark: SparkSession, folder: str) -> DataFrame:
     return read_dau(spark, f"{work}/dau").select("dt", "mid", "uid")
 
 
-@query
+@query("stream_stats")
 def stream_stat(spark: SparkSession, folder: str) -> DataFrame:
     """Per-batch category amounts of a message stream, added up."""
     work = work_dir(spark, "stream_stat")
@@ -462,7 +470,7 @@ def stream_stat(spark: SparkSession, folder: str) -> DataFrame:
     return stored.groupBy("id", "name").agg(money_sum(F.col("amount")).cast("double").alias("amount"))
 
 
-@query
+@query("stream_stat_windowed")
 def stream_stat_windowed(spark: SparkSession, folder: str) -> DataFrame:
     """Amounts per window of arrival time on a stream: each window is written when the watermark has passed it."""
     work = work_dir(spark, "stream_stat_windowed")
@@ -480,7 +488,7 @@ def stream_stat_windowed(spark: SparkSession, folder: str) -> DataFrame:
     return _epoch(spark.read.parquet(f"{work}/stat").where(F.col("province_name").isNotNull()))
 
 
-@query
+@query("stream_first_order")
 def stream_first_order(spark: SparkSession, folder: str) -> DataFrame:
     """Order facts over several batches with the user state carried along: orders and first orders per user."""
     work = work_dir(spark, "stream_first_order")
@@ -511,7 +519,7 @@ def stream_first_order(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
+@query("stream_details")
 def stream_details(spark: SparkSession, folder: str) -> DataFrame:
     """Change records routed by one job, order lines enriched by the next, read back from its table."""
     work = work_dir(spark, "stream_details")
@@ -526,7 +534,7 @@ def stream_details(spark: SparkSession, folder: str) -> DataFrame:
     return details.read()
 
 
-@query
+@query("stream_dims")
 def stream_dims(spark: SparkSession, folder: str) -> DataFrame:
     """SKU records to the SKU table, with SPU, trademark and category looked up in tables that jobs filled."""
     work = work_dir(spark, "stream_dims")
@@ -545,7 +553,7 @@ def stream_dims(spark: SparkSession, folder: str) -> DataFrame:
     return sku.read()
 
 
-@query
+@query("resume")
 def resume(spark: SparkSession, folder: str) -> DataFrame:
     """A dedup job that ends and is started again on its checkpoint after more logs came in."""
     work = work_dir(spark, "resume")
@@ -556,7 +564,7 @@ def resume(spark: SparkSession, folder: str) -> DataFrame:
     return read_dau(spark, f"{work}/dau").select("dt", "mid", "uid")
 
 
-@query
+@query("message_round_trip")
 def message_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines sent as messages, read back and parsed."""
     path = work_dir(spark, "message_round_trip")
