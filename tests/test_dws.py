@@ -189,6 +189,15 @@ def test_pairs_meet_when_their_batches_share_a_window(spark, salts):
     assert sorted((r.order_id, r.order_detail_id) for r in joined.collect()) == sorted(wanted)
 
 
+def test_repeated_orders_meet_their_lines_once_per_batch(spark):
+    """Copies in one batch of arrival are one; a copy in a later batch still meets later lines."""
+    orders = timed(spark, ORDER_SIDE, (1, 300)).union(timed(spark, ORDER_SIDE, (1, 301)))
+    orders = orders.union(orders).union(timed(spark, ORDER_SIDE, (1, 330)))
+    details = timed(spark, LINE_SIDE, (10, 1, 302), (11, 1, 331), (12, 1, 315))
+    joined = join_orders(orders, details, "at", "at", repeats=True)
+    assert sorted(r.order_detail_id for r in joined.collect()) == [10, 11]
+
+
 def test_salts_repeat_and_spread(spark):
     df = spark.range(10_000).select("id", F.lit(7).alias("order_id"))
     salted = df.select(salt_of(df, 4).alias("s"))

@@ -62,7 +62,9 @@ def wide_setup(spark, work, files, n=12):
     for part in range(files):
         orders.send(*[r for r in order_rows(n) if r[0] * files // n == part])
         lines.send(*[r for r in line_rows(n) if r[1] * files // n == part])
-        lines.send(*[r for r in line_rows(n) if r[1] * files // n == part and r[0] % 10 == 1])  # sent again
+        # Some are sent again.
+        orders.send(*[r for r in order_rows(n) if r[0] * files // n == part and r[0] % 2 == 0])
+        lines.send(*[r for r in line_rows(n) if r[1] * files // n == part and r[0] % 10 == 1])
     return orders, lines
 
 

@@ -75,6 +75,7 @@ def join_orders(
     slide_seconds: int = 3,
     delay: str = "10 minutes",
     salts: int = 1,
+    repeats: bool = False,
 ) -> DataFrame:
     """Wide rows of the orders and lines that share a sliding window.
 
@@ -85,22 +86,33 @@ def join_orders(
 
     ``salts`` spreads the lines of one order over that many tasks (the order is
     copied to each), for joins that adaptive execution cannot split: streams.
+
+    ``repeats`` is for orders that may have been sent more than once. One copy per
+    arrival batch meets the same lines as all of them do, so the others are dropped
+    before the join, where many copies of an order would meet many of its lines.
     """
     timed = order_time is not None and line_time is not None
     left = _side(orders, FROM_ORDER, *([F.col(order_time).alias("_order_at")] if timed else []))
     right = _side(
         lines, FROM_LINE, F.col("order_id").alias("_of"), *([F.col(line_time).alias("event_time")] if timed else [])
     )
+    if timed and left.isStreaming:
+        left = left.withWatermark("_order_at", delay)
+    if timed and right.isStreaming:
+        right = right.withWatermark("event_time", delay)
+    if repeats:
+        keys, columns = ["order_id"], left.columns
+        if timed:
+            left = left.withColumn("_arrival", batch_number(F.col("_order_at"), slide_seconds))
+            keys.append("_arrival")
+        left = first_arrived(left, keys, True, salts) if left.isStreaming else first_seen(left, keys, columns)
+        left = left.select(*columns)
     on = F.col("order_id") == F.col("_of")
     if salts > 1:
         left = left.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         right = right.withColumn("_salt", salt_of(right, salts))
         on = on & (F.col("_copy") == F.col("_salt"))
     if timed:
-        if left.isStreaming:
-            left = left.withWatermark("_order_at", delay)
-        if right.isStreaming:
-            right = right.withWatermark("event_time", delay)
         span = F.expr(f"INTERVAL {window_seconds} SECONDS")
         apart = F.abs(
             batch_number(F.col("_order_at"), slide_seconds) - batch_number(F.col("event_time"), slide_seconds)

@@ -253,9 +253,10 @@ def order_wide(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("order_join_batches")
 def order_join_batches(spark: SparkSession, folder: str) -> DataFrame:
-    """Pairs whose arrival shares a window; line numbers repeat and are kept once."""
+    """Pairs whose arrival shares a window; orders come twice, line numbers repeat and are kept once."""
     e = Entities(spark, folder)
-    joined = join_orders(e.orders(), e.details(replayed=True), "arrived", "arrived")
+    orders = e.orders()
+    joined = join_orders(orders.union(orders), e.details(replayed=True), "arrived", "arrived", repeats=True)
     once = first_seen(joined, ["order_detail_id"], ["event_time", "sku_id", "sku_price", "sku_num"])
     return once.select("order_detail_id", "order_id", "user_id", "sku_id", "sku_price", "sku_num", "dt")
 
@@ -423,9 +424,9 @@ def _follow(spark: SparkSession, path: str, rows: DataFrame, files: int | None =
 
 def _run_wide(spark: SparkSession, folder: str, work: str, salts: int = 4) -> DataFrame:
     e = Entities(spark, folder)
-    lines = e.details()
+    orders, lines = e.orders(), e.details()
     wide = jobs.wide_stream(
-        _follow(spark, f"{work}/orders", e.orders()),
+        _follow(spark, f"{work}/orders", orders.union(orders)),
         _follow(spark, f"{work}/lines", lines.union(lines)),
         "arrived",
         "arrived",
@@ -440,7 +441,7 @@ def _run_wide(spark: SparkSession, folder: str, work: str, salts: int = 4) -> Da
 
 @query("stream_wide")
 def stream_wide(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders joined with their lines as streams; each line is sent twice. Paid shares are summed per order."""
+    """Orders joined with their lines as streams, all sent twice. Paid shares are summed per order."""
     wide = _run_wide(spark, folder, work_dir(spark, "stream_wide"))
     return wide.groupBy("order_id").agg(
         F.count("*").alias("lines"), money_sum(F.col("final_detail_amount")).cast("double").alias("paid")

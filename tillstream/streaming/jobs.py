@@ -114,9 +114,10 @@ def wide_stream(
     delay: str = "10 minutes",
     within_watermark: bool = True,
     salts: int = 4,
+    repeats: bool = True,
 ) -> DataFrame:
-    """Orders joined with their lines, each line once."""
-    joined = join_orders(orders, lines, order_time, line_time, delay=delay, salts=salts)
+    """Orders joined with their lines, each line once. Either may be sent more than once."""
+    joined = join_orders(orders, lines, order_time, line_time, delay=delay, salts=salts, repeats=repeats)
     return first_arrived(joined, ["order_detail_id"], within_watermark, salts)
 
 
