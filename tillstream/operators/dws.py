@@ -175,7 +175,9 @@ def _share_cents(as_coded: bool) -> Column:
     return F.coalesce(cents(ratio), F.lit(0).cast("bigint"))
 
 
-def split_amount(wide: DataFrame, as_coded: bool = False, prior: DataFrame | None = None) -> DataFrame:
+def split_amount(
+    wide: DataFrame, as_coded: bool = False, prior: DataFrame | None = None, sums_from: DataFrame | None = None
+) -> DataFrame:
     """Set ``final_detail_amount``: each line's share of what was paid for its order.
 
     A share is line amount / original total * paid total, rounded to cents. When
@@ -189,6 +191,9 @@ def split_amount(wide: DataFrame, as_coded: bool = False, prior: DataFrame | Non
     an order with very many lines needs no single task. Line ids are unique in
     ``wide`` (see ``first_seen``).
 
+    The sums read the rows a second time. Where ``wide`` comes out of lookups that the
+    sums do not need, ``sums_from`` gives the same lines without them.
+
     ``as_coded`` is the formula with the ratio the other way round and without a
     remainder, as the original job computes it.
     """
@@ -197,8 +202,9 @@ def split_amount(wide: DataFrame, as_coded: bool = False, prior: DataFrame | Non
         return shared.withColumn("final_detail_amount", F.col("_share") / 100).drop("_share")
 
     amount = F.col("_amount")
+    summed = shared if sums_from is None else sums_from.withColumn("_share", _share_cents(as_coded))
     totals = (
-        shared.withColumn("_amount", _line_cents())
+        summed.withColumn("_amount", _line_cents())
         .groupBy("order_id")
         .agg(
             F.sum(amount).alias("_amount"),

@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from tillstream.functions.money import cents
 from tillstream.operators.dims import user_info
 from tillstream.operators.dwd import enrich_detail, enrich_order, flag_first_order
-from tillstream.operators.dws import join_orders
+from tillstream.operators.dws import join_orders, split_amount
 
 AS_OF = "2026-01-01"
 # Start of the ten minutes in which the messages arrive (2024-01-01, a whole number of 3 s batches).
@@ -88,22 +88,24 @@ class Entities:
             F.timestamp_seconds(F.lit(ARRIVAL) + F.col("l_orderkey") % 600 + F.col("l_linenumber") * 2).alias("arrived"),
         )
 
-    def orders(self) -> DataFrame:
-        """Orders; the original total is the sum over the order's lines."""
+    def orders(self, located: bool = True) -> DataFrame:
+        """Orders; the original total is the sum over the order's lines. ``located`` looks the province up."""
         lines = self.table("lineitem").select(
             F.col("l_orderkey").alias("_of"),
             (cents(F.col("l_extendedprice")) * F.col("l_quantity").cast("bigint")).alias("_cents"),
         )
         totals = lines.groupBy("_of").agg((F.sum("_cents") / 100).alias("original_total_amount"))
-        customer = self.table("customer").select("c_custkey", F.col("c_nationkey").cast("bigint").alias("province_id"))
-        orders = self.table("orders")
-        joined = orders.join(totals, F.col("o_orderkey") == F.col("_of"), "left").join(
-            customer, F.col("o_custkey") == F.col("c_custkey"), "left"
-        )
+        joined = self.table("orders").join(totals, F.col("o_orderkey") == F.col("_of"), "left")
+        province = F.lit(0).cast("bigint")
+        if located:
+            nation = F.col("c_nationkey").cast("bigint").alias("_nation")
+            customer = self.table("customer").select("c_custkey", nation)
+            joined = joined.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+            province = F.coalesce("_nation", province)
         created = F.expr("timestampadd(SECOND, cast(o_orderkey * 37 % 86400 as int), o_orderdate)")
         return joined.select(
             F.col("o_orderkey").alias("id"),
-            F.coalesce("province_id", F.lit(0)).alias("province_id"),
+            province.alias("province_id"),
             F.col("o_orderstatus").alias("order_status"),
             F.col("o_custkey").alias("user_id"),
             F.col("o_totalprice").alias("final_total_amount"),
@@ -206,7 +208,7 @@ class Entities:
         self, sku: bool = False, province: bool = False, user: bool = False, first: bool = False, timed: bool = False
     ) -> DataFrame:
         """Wide rows with the attributes that are asked for; ``timed`` joins by arrival."""
-        orders, details = self.orders(), self.details()
+        orders, details = self.orders(located=province), self.details()
         if first:
             orders = flag_first_order(orders, self.user_state())
         orders = enrich_order(orders, self.provinces() if province else None, self.users() if user else None)
@@ -215,6 +217,11 @@ class Entities:
         times = {"order_time": "arrived", "line_time": "arrived"} if timed else {}
         return join_orders(orders, details, **times)
 
+    def split_wide(self, timed: bool = False, **attributes: bool) -> DataFrame:
+        """Wide rows with paid shares; the sums over an order's lines need none of the attributes."""
+        bare = self.wide(timed=timed) if any(attributes.values()) else None
+        return split_amount(self.wide(timed=timed, **attributes), sums_from=bare)
+
     # Messages.
 
     def logs(self, days: int = 0, kinds: tuple[str, ...] = ()) -> DataFrame:

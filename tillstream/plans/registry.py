@@ -275,7 +275,7 @@ def _shares(wide: DataFrame) -> DataFrame:
 
 @query("split_amount")
 def split_paid_amount(spark: SparkSession, folder: str) -> DataFrame:
-    return _shares(split_amount(Entities(spark, folder).wide()))
+    return _shares(Entities(spark, folder).split_wide())
 
 
 @query("split_amount_as_coded")
@@ -286,7 +286,7 @@ def split_paid_amount_as_coded(spark: SparkSession, folder: str) -> DataFrame:
 @query("split_amount_partial")
 def split_paid_amount_partial(spark: SparkSession, folder: str) -> DataFrame:
     """After the join by arrival many orders lack lines, and nobody takes their remainder."""
-    return _shares(split_amount(Entities(spark, folder).wide(timed=True)))
+    return _shares(Entities(spark, folder).split_wide(timed=True))
 
 
 @query("split_amount_two_batches")
@@ -313,9 +313,8 @@ STAT_NEEDS = {
 
 def _stat(name: str, as_coded: bool) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        wide = Entities(spark, folder).wide(**STAT_NEEDS[name])
-        if not as_coded:
-            wide = split_amount(wide)
+        e = Entities(spark, folder)
+        wide = e.wide(**STAT_NEEDS[name]) if as_coded else e.split_wide(**STAT_NEEDS[name])
         return ads.amount_stat(wide, name, as_coded, STAT_TIME)
 
     return run
@@ -334,13 +333,13 @@ def _epoch(df: DataFrame) -> DataFrame:
 
 @query("sliding_amount")
 def sliding_window_amount(spark: SparkSession, folder: str) -> DataFrame:
-    wide = split_amount(Entities(spark, folder).wide(sku=True, timed=True))
+    wide = Entities(spark, folder).split_wide(sku=True, timed=True)
     return _epoch(ads.sliding_amount(wide, ["tm_id"]))
 
 
 @query("stat_windowed")
 def stat_windowed(spark: SparkSession, folder: str) -> DataFrame:
-    wide = split_amount(Entities(spark, folder).wide(province=True, timed=True))
+    wide = Entities(spark, folder).split_wide(province=True, timed=True)
     return _epoch(ads.amount_stat_windowed(wide, ["province_name"]))
 
 
@@ -374,17 +373,17 @@ def dau_hour(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("order_amount")
 def order_amount(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.order_amount(split_amount(Entities(spark, folder).wide()), SALES_DAY)
+    return reports.order_amount(Entities(spark, folder).split_wide(), SALES_DAY)
 
 
 @query("order_amount_hour")
 def order_amount_hour(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.order_amount_hour(split_amount(Entities(spark, folder).wide()), SALES_DAY)
+    return reports.order_amount_hour(Entities(spark, folder).split_wide(), SALES_DAY)
 
 
 @query("realtime_total")
 def realtime_total(spark: SparkSession, folder: str) -> DataFrame:
-    wide = split_amount(Entities(spark, folder).wide())
+    wide = Entities(spark, folder).split_wide()
     return reports.realtime_total(_dau(spark, folder, EVENTS_TO_SALES), wide, SALES_DAY)
 
 
