@@ -1,0 +1,80 @@
+"""Token counts against a dynamic programme per word, and against all segmentations of short words."""
+
+import re
+
+import public_tokenizers
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from tillstream.llm.tokencounts import SPACE, Trie, op6_token_counts, pieces, token_counts
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def exhaustive(word, scores, byte):
+    """The best (score, -tokens) over all segmentations."""
+    if not word:
+        return 0.0, 0
+    score, tokens = exhaustive(word[1:], scores, byte)
+    n = len(word[0].encode())
+    best = (score + n * byte, tokens - n)
+    for end in range(1, len(word) + 1):
+        if word[:end] in scores:
+            score, tokens = exhaustive(word[end:], scores, byte)
+            best = max(best, (score + scores[word[:end]], tokens - 1))
+    return best
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("abc", max_size=9), max_size=8))
+def test_trie_equals_all_segmentations(words):
+    scores = {"a": -2.0, "b": -2.5, "ab": -3.0, "abc": -3.5, "ca": -3.25, "bca": -4.0, "cc": -6.0}
+    trie = Trie(scores)
+    for word in words:
+        assert trie.count(word) == -exhaustive(word, scores, trie.byte)[1]
+
+
+def plain(text, scores, byte, longest):
+    total = words = 0
+    for word in re.findall(r"[^\x20\x09-\x0D]+", text or ""):
+        word, words = SPACE + word, words + 1
+        best = [(0.0, 0)]
+        for end in range(1, len(word) + 1):
+            width = len(word[end - 1].encode())
+            options = [(best[-1][0] + width * byte, best[-1][1] - width)]
+            options += [
+                (best[i][0] + scores[word[i:end]], best[i][1] - 1)
+                for i in range(max(0, end - longest), end)
+                if word[i:end] in scores
+            ]
+            best.append(max(options))
+        total -= best[-1][1]
+    return words, total
+
+
+def test_whole_table(spark):
+    folder = "/root/testdata/sf0.001"
+    scores = pieces(PATH)
+    trie = Trie(scores)
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    found = op6_token_counts(spark, folder).collect()
+    assert len(found) == len(texts)
+    for r in found:
+        assert (r.n_words, r.n_tokens) == plain(texts[r.doc_id], scores, trie.byte, trie.longest)
+
+
+def test_odd_rows(spark):
+    scores, texts = pieces(PATH), ["the end", None, "", " \t\x0b\x0c", "a" * 5000, "\U0001f600 é\x85x", "the end"]
+    trie = Trie(scores)
+    df = spark.createDataFrame([(i % 6, t, i) for i, t in enumerate(texts)], "doc_id long, text string, n_tokens int")
+    found = sorted(map(tuple, token_counts(df, lot_bytes=8).collect()))
+    assert found == sorted((i % 6, *plain(t, scores, trie.byte, trie.longest)) for i, t in enumerate(texts))
+    assert token_counts(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("words", [["x"], ["ab", "abc", "abd", "b"]])
+def test_paths_are_dropped(words):
+    trie = Trie({"a": -1.0, "b": -1.0})
+    for w in words:
+        trie.count(w)
+    assert len(trie.forward) == len(words[-1]) + 1
