@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import re
 import tempfile
 import uuid
 
@@ -47,12 +48,12 @@ def tune(spark: SparkSession) -> None:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder for one run below the folder the cluster shares.
 
-    The shared folder is ``spark.checkpoint.dir``. Only a local session may go
-    without it, because there every executor sees the machine's own disk.
+    The shared folder is ``spark.checkpoint.dir``. Only a session in one process
+    may go without it, as tests do; executors of their own need a shared folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tillstream-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
