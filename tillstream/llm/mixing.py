@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillstream.llm.ranks import hash_bucket, ranked, running_total
-from tillstream.llm.tables import kept, read_table
+from tillstream.llm.tables import joined_small, kept, read_table
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -81,17 +81,17 @@ def cuts(sized: DataFrame, goals: DataFrame, bits: int = 12) -> DataFrame:
     goals = goals.withColumn("epochs", epochs).withColumn(
         "left", F.floor(F.col("target") - F.col("epochs") * F.col("total")).cast("long")
     )
+    goals = kept(goals, "goals")
     spread = sized.withColumn("bucket", hash_bucket(F.col("place.key"), bits))
     summed = running_total(spread, ["src"], "bucket", ["place", "size"], "size", "before")
-    inside = summed.join(goals.select("src", "left"), "src").where(F.col("before") < F.col("left"))
+    inside = joined_small(summed, goals.select("src", "left"), "src").where(F.col("before") < F.col("left"))
     ends = inside.groupBy("src", "place").agg(
         F.min("before").alias("before"), F.count("*").alias("n"), F.first("left").alias("left")
     )
     last = ends.groupBy("src").agg(F.max(F.struct("place", "before", "n", "left")).alias("end"))
     at_cut = F.floor((F.col("end.left") - F.col("end.before")) / F.col("end.n")).cast("long")
-    return goals.join(last.select("src", F.col("end.place").alias("cut"), at_cut.alias("at_cut")), "src", "left").drop(
-        "left"
-    )
+    last = last.select("src", F.col("end.place").alias("cut"), at_cut.alias("at_cut"))
+    return kept(goals.join(last, "src", "left").drop("left"), "cuts")
 
 
 def taken() -> Column:
@@ -122,7 +122,7 @@ def allocate(
     """
     sized = kept(placed(docs, seed, F.col("doc_id")), "sized")
     plan = cuts(sized, targets(sized, weights, share, most, least))
-    return sized.join(plan, "src").select(
+    return joined_small(sized, plan, "src").select(
         "doc_id", "size", F.col("total").alias("source_size"), "target", taken().alias("taken")
     )
 
@@ -145,7 +145,8 @@ def mix(
     columns = docs.columns
     sized = kept(placed(docs, seed), "sized")
     plan = cuts(sized, targets(sized, weights, share, most, least))
-    rows = placed(docs, seed, F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")).join(plan, "src")
+    rows = placed(docs, seed, F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
+    rows = joined_small(rows, plan, "src")
     part = taken() - F.col("epochs") * F.col("size")
     copies = (
         F.when(F.col("size") == 0, F.lit(1))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillstream.session import work_dir
 
@@ -21,3 +21,11 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     path = work_dir(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def joined_small(df: DataFrame, small: DataFrame, on: str, most: int = 100_000) -> DataFrame:
+    """Inner join with a written table of one narrow row per ``on``: by broadcast up to ``most`` rows, else by shuffle.
+
+    Without a broadcast a key with a third of all rows would be read by one task.
+    """
+    return df.join(F.broadcast(small) if small.count() <= most else small, on)
