@@ -1,7 +1,7 @@
 """Operator 10: encode texts with a byte-pair vocabulary and decode them again.
 
 White space ends a word, so the words of a text are encoded one by one, each
-distinct one once per lot of texts. Long texts are cut into pieces that are
+distinct one once as long as it is remembered. Long texts are cut into pieces that are
 encoded in parallel, in any number of tasks: at white space, where a cut
 changes nothing, and within a long run without white space anywhere. There the
 encodings are put together as a tree: at each join a window around it is
@@ -15,12 +15,14 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
-from functools import lru_cache
+from array import array
+from collections.abc import Callable, Iterator
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
@@ -30,6 +32,11 @@ from tillstream.llm.tokencounts import lots
 #: White space of the vocabulary's normalizer: Unicode's, without the four separators that Python adds.
 SPACES = re.compile(r"[^\S\x1c-\x1f]+")
 SEPARATORS = re.compile(r"[\x1c-\x1f]")
+#: Fixed value: how the vocabulary splits text without white space.
+PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+#: Below this letter no character is composed anew by normal form C, and classes and cases are the same in all Unicode
+#: versions; words with others go to the library whole.
+PLAIN = "\u0250"
 
 
 def words_of(text: str) -> list[str]:
@@ -38,48 +45,102 @@ def words_of(text: str) -> list[str]:
     return text.split()
 
 
+class Remembered:
+    """Values by word in two generations of at most ``room`` each: the older one is dropped, what is in use stays."""
+
+    def __init__(self, make: Callable[[str], tuple], room: int):
+        self.make, self.room, self.new, self.old = make, room, {}, {}
+
+    def add(self, word: str) -> tuple:
+        value = self.old.get(word)
+        if value is None:
+            value = self.make(word)
+        self.new[word] = value
+        return value
+
+    def trim(self) -> None:
+        if len(self.new) > self.room:
+            self.old, self.new = self.new, {}
+
+
 class Codec:
     """A vocabulary file, whole and in parts. ``room`` bounds the words whose tokens are remembered."""
 
-    def __init__(self, path: str, room: int = 250_000):
-        with open(path, encoding="utf-8") as file:
-            data = json.load(file)
-        self.whole = Tokenizer.from_str(json.dumps(data))
-        self.suffix = data["model"]["end_of_word_suffix"] or ""
-        data["model"]["end_of_word_suffix"] = None
-        self.inner = Tokenizer.from_str(json.dumps(data)).model
+    def __init__(self, path: str, room: int = 200_000):
+        self.path = path
+        self.whole = Tokenizer.from_file(path)
         self.whole.no_truncation()
         self.whole.no_padding()
+        self.model = self.whole.model
+        self.suffix = self.model.end_of_word_suffix or ""
         size = self.whole.get_vocab_size()
         self.tokens = [self.whole.id_to_token(i) or "" for i in range(size)]
-        self.special = [t["content"] for t in data["added_tokens"]]
-        self.room, self.known = room, {}
+        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        #: What stands for each byte in the vocabulary's letters, for the bytes of a text read as Latin-1.
+        self.bytes = {b: self.letter(b) for b in range(256)}
+        self.known, self.parts = Remembered(self.word, room), Remembered(self.part_of_word, room // 2)
+
+    def letter(self, byte: int) -> str:
+        """Fixed rule of byte-level vocabularies: printable bytes stand for themselves, others for letters from U+0100 on."""
+        printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        return chr(byte) if byte in printable else chr(0x100 + sum(b not in printable for b in range(byte)))
+
+    @cached_property
+    def inner(self):
+        """The model without the ending of words, for parts that a word does not end with."""
+        with open(self.path, encoding="utf-8") as file:
+            data = json.load(file)
+        data["model"]["end_of_word_suffix"] = None
+        return Tokenizer.from_str(json.dumps(data)).model
 
-    def encoded(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.whole.encode_batch_fast(words, add_special_tokens=False)]
+    def entry(self, ids: list[int]) -> tuple[int, bytes, str]:
+        return len(ids), array("I", ids).tobytes(), " ".join([self.tokens[i] for i in ids])
 
     def decoded(self, ids: list[int]) -> str:
         """As the library's decode does without a decoder: the tokens, set apart by spaces."""
         return " ".join([self.tokens[i] for i in ids])
 
+    def word(self, word: str) -> tuple[int, bytes, str]:
+        """(number of tokens, ids as little-endian uint32, decoded text) of text without white space.
+
+        Words of plain letters are split here and their parts looked up: in
+        "end," and "End" the part is the same. Others go to the library.
+        """
+        lower = word.lower()
+        if max(lower) >= PLAIN or "<|" in word or SEPARATORS.search(word):
+            return self.entry(self.whole.encode(word, add_special_tokens=False).ids)
+        parts = self.parts.new
+        found = [parts[part] if part in parts else self.parts.add(part) for part in PARTS.findall(lower)]
+        if len(found) == 1:
+            return found[0]
+        counts, ids, decoded = zip(*found)
+        return sum(counts), b"".join(ids), " ".join(decoded)
+
+    def part_of_word(self, part: str) -> tuple[int, bytes, str]:
+        letters = part if part.isascii() and part.isalnum() else part.encode().decode("latin-1").translate(self.bytes)
+        return self.entry([t.id for t in self.model.tokenize(letters)])
+
     def texts(self, texts: list[str]) -> Iterator[tuple[int, bytes, str]]:
         """(number of tokens, ids as little-endian uint32, decoded text) of each text."""
-        lists = [words_of(t) for t in texts]
-        if len(self.known) > self.room:
-            self.known.clear()
-        new = list({w for words in lists for w in words}.difference(self.known))
-        for word, ids in zip(new, self.encoded(new)):
-            self.known[word] = (len(ids), np.array(ids, "<u4").tobytes(), self.decoded(ids))
-        for words in lists:
-            if words:
-                counts, ids, decoded = zip(*map(self.known.__getitem__, words))
+        for text in texts:
+            words = words_of(text)
+            try:
+                found = list(map(self.known.new.__getitem__, words))
+            except KeyError:
+                self.known.trim()
+                self.parts.trim()
+                for word in set(words).difference(self.known.new):
+                    self.known.add(word)
+                found = list(map(self.known.new.__getitem__, words))
+            if found:
+                counts, ids, decoded = zip(*found)
                 yield sum(counts), b"".join(ids), " ".join(filter(None, decoded) if 0 in counts else decoded)
             else:
                 yield 0, b"", ""
 
     def part(self, text: str, ends: bool) -> list[int]:
         """The tokens of a part of a word, given in the vocabulary's letters; ``ends`` if the word ends with it."""
-        return [t.id for t in (self.whole.model if ends else self.inner).tokenize(text)]
+        return [t.id for t in (self.model if ends else self.inner).tokenize(text)]
 
     def letters(self, ids: list[int]) -> str:
         return "".join([self.tokens[i].removesuffix(self.suffix) if self.suffix else self.tokens[i] for i in ids])
