@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -71,35 +73,40 @@ def fit(texts: list[str], labels: list[int], size: int = 1 << 18, rounds: int =
     y = np.array(labels, float)
     if not len(y) or y.min() == y.max():
         return model
-    numbers: dict[str, int] = {}
-    words, sentence_of, doc_of = [], [], []
+    numbers: defaultdict[str, int] = defaultdict()
+    numbers.default_factory = numbers.__len__
+    tokens, lengths, bags = array("i"), array("i"), array("i")
     for d, text in enumerate(texts):
         for sentence in SENTENCE.split(text):
-            own = [numbers.setdefault(w, len(numbers)) for w in sentence.split()]
-            if own:
-                words += own
-                sentence_of += [len(doc_of)] * len(own)
-                doc_of.append(d)
-    words, sentence_of, doc_of = np.array(words, int), np.array(sentence_of, int), np.array(doc_of, int)
-    lists = [features(w, size) for w in numbers]
-    flat = np.array([f for own in lists for f in own], int)
-    word_of = np.repeat(np.arange(len(lists)), [len(own) for own in lists])
+            if own := sentence.split():
+                tokens.extend(map(numbers.__getitem__, own))
+                lengths.append(len(own))
+                bags.append(d)
+    words, doc_of = np.frombuffer(tokens, np.int32), np.frombuffer(bags, np.int32)
+    sentence_of = np.repeat(np.arange(len(bags), dtype=np.int32), np.frombuffer(lengths, np.int32))
+    hashed, counts = array("i"), array("i")
+    for word in numbers:
+        own = features(word, size)
+        hashed.extend(own)
+        counts.append(len(own))
+    flat = np.frombuffer(hashed, np.int32)
+    word_of = np.repeat(np.arange(len(counts), dtype=np.int32), np.frombuffer(counts, np.int32))
     # Documents per feature, over distinct (document, word) pairs: an upper bound that only spares rare features.
-    pairs = np.unique(doc_of[sentence_of].astype(np.int64) * max(1, len(lists)) + words) % max(1, len(lists))
-    seen = np.bincount(flat, weights=np.bincount(pairs, minlength=len(lists))[word_of], minlength=size)
+    pairs = np.unique(doc_of[sentence_of].astype(np.int64) * max(1, len(numbers)) + words) % max(1, len(numbers))
+    seen = np.bincount(flat, weights=np.bincount(pairs, minlength=len(numbers))[word_of], minlength=size)
     common = seen >= rare
     use = common[flat]
     flat, word_of = flat[use], word_of[use]
     w, bias = np.zeros(size), -6.0
     first, second = np.zeros(size + 1), np.zeros(size + 1)
     for step in range(1, rounds + 1):
-        value = np.bincount(word_of, weights=w[flat], minlength=len(lists))
+        value = np.bincount(word_of, weights=w[flat], minlength=len(numbers))
         logits = bias + np.bincount(sentence_of, weights=value[words], minlength=len(doc_of))
         total = np.bincount(doc_of, weights=np.logaddexp(0.0, logits), minlength=len(y))
         # d(-log likelihood)/d total: 1 for clean documents, -1 / (e^total - 1) for toxic ones.
         slope = np.where(y > 0, -1 / np.expm1(np.clip(total, 1e-6, 50)), 1.0)
         push = slope[doc_of] * np.exp(-np.logaddexp(0.0, -logits))
-        by_word = np.bincount(words, weights=push[sentence_of], minlength=len(lists))
+        by_word = np.bincount(words, weights=push[sentence_of], minlength=len(numbers))
         gradient = np.bincount(flat, weights=by_word[word_of], minlength=size) / len(y) + decay * w
         gradient = np.append(gradient, push.sum() / len(y))
         first = 0.9 * first + 0.1 * gradient
