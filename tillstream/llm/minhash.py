@@ -224,12 +224,14 @@ def rare_pairs(sets: DataFrame, members: DataFrame, threshold: int) -> DataFrame
     ranked = rows.join(often, "element").groupBy("node", "component", "n").agg(F.sort_array(F.collect_list(order)).alias("order"))
     # An intersection of at least t/100 of the union is at least t/100 of either set.
     show = F.col("n") - F.ceil(F.col("n") * threshold / 100).cast("int") + 1
-    first = ranked.select("node", "component", "n", F.explode(F.slice("order", F.lit(1), show)).alias("e"))
+    first = ranked.select("node", "component", "n", F.posexplode(F.slice("order", F.lit(1), show)).alias("i", "e"))
     # A shingle that is in one component alone makes no pair.
-    first = kept(first.where("e.shared").select("node", "component", "n", F.col("e.element").alias("element")), "prefixes")
-    a, b = first.toDF("a", "ca", "na", "element"), first.toDF("b", "cb", "nb", "element")
+    first = first.where("e.shared").select("node", "component", (F.col("n") - F.col("i")).alias("rest"), "n", "e.element")
+    first = kept(first, "prefixes")
+    a, b = first.toDF("a", "ca", "ra", "na", "element"), first.toDF("b", "cb", "rb", "nb", "element")
+    # At the first shingle that two sets share, in this order, the intersection lies in what is left of both.
     near = (F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b"))
-    near &= 100 * F.least("na", "nb") >= threshold * F.greatest("na", "nb")
+    near &= (100 + threshold) * F.least("ra", "rb") >= threshold * (F.col("na") + F.col("nb"))
     return a.join(b, "element").where(near).select("a", "b").distinct()
 
 
