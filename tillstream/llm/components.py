@@ -10,18 +10,17 @@ from tillstream.llm.tables import kept
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the node's least neighbour."""
     both = edges.union(edges.select("v", "u").toDF("u", "v"))
-    least = kept(both.groupBy("u").agg(F.min("v").alias("m")), "least")
+    least = both.groupBy("u").agg(F.min("v").alias("m"))
     return (
         both.join(least, "u")
         .where("v > u")
         .select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
-        .distinct()
     )
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are tied to the least of them."""
-    least = kept(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
     onward = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return onward.union(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -30,9 +29,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(u, v) pairs of ids -> (node, component) for every node but the least of its component.
 
     Alternates the large-star and small-star steps until the edges stay the
-    same. A step takes partial minima, so a node with very many links is summed
-    up before the shuffle, and writes them, so that both sides of the join are
-    plain shuffles, which adaptive execution splits where a node has very many. Loops, repeated and reversed pairs do no harm; pairs
+    same. A step takes partial minima and joins them back by the node; the
+    larger end of a link has few of them, as every step ties it to least nodes. Loops, repeated and reversed pairs do no harm; pairs
     with a null are left out. An empty input gives an empty result. Only two
     numbers per round reach the driver.
     """
