@@ -10,6 +10,8 @@ the radius that the windows stand for.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -32,27 +34,39 @@ class Lines:
         self.sorted = np.take_along_axis(spots, self.order, axis=1)
         self.norms = np.sqrt((matrix * matrix).sum(1))
 
+    def windows(self, queries: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
+        """(begin, end) in the sorted arrays of each query's window on each line; rows are queries."""
+        spots = (unit(queries) @ self.directions).T
+        low = [np.searchsorted(s, p - HALF * radius) for s, p in zip(self.sorted, spots)]
+        high = [np.searchsorted(s, p + HALF * radius, "right") for s, p in zip(self.sorted, spots)]
+        return np.array(low).T, np.array(high).T
+
     def search(
-        self, query: np.ndarray, k: int, barred: np.ndarray, ids: np.ndarray, radius: float, growth: float, collide: float
-    ) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and cosines of the k nearest found, nearest first, ties to smaller ids; ``barred`` rows take no part."""
+        self, query: np.ndarray, k: int, barred: np.ndarray, ids: np.ndarray, collide: float,
+        steps: Iterator[tuple[float, np.ndarray, np.ndarray]],
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and cosines of the k nearest found, nearest first, ties to smaller ids; ``barred`` rows take no part.
+
+        ``steps`` gives ever larger radii with the query's windows, and at last one that holds everything.
+        """
         lines, n = self.order.shape
-        spots = unit(query[None, :])[0] @ self.directions
-        low = np.array([np.searchsorted(s, p) for s, p in zip(self.sorted, spots)])
-        high, counts = low.copy(), np.zeros(n, np.int32)
+        counts = np.zeros(n, np.int64)
         checked, need = barred.copy(), int(np.ceil(collide * lines))
         rows, scores = np.zeros(0, int), np.zeros(0)
         norm = np.sqrt((query * query).sum())
-        while True:
-            for line in range(lines):
-                own, order = self.sorted[line], self.order[line]
-                a = np.searchsorted(own, spots[line] - HALF * radius)
-                b = np.searchsorted(own, spots[line] + HALF * radius, "right")
-                a, b = min(a, low[line]), max(b, high[line])
-                counts[order[a : low[line]]] += 1
-                counts[order[high[line] : b]] += 1
-                low[line], high[line] = a, b
+        low: list[int] | None = None
+        high: list[int] | None = None
+        for radius, begin, end in steps:
             everything = radius > 2.0
+            if not everything:
+                begin, end = begin.tolist(), end.tolist()
+                if low is None or high is None:
+                    spans = [o[a:b] for o, a, b in zip(self.order, begin, end)]
+                else:
+                    spans = [o[a:b] for o, a, b in zip(self.order, begin, low)]
+                    spans += [o[a:b] for o, a, b in zip(self.order, high, end)]
+                low, high = begin, end
+                counts += np.bincount(np.concatenate(spans), minlength=n)
             new = np.flatnonzero(~checked if everything else (counts >= need) & ~checked)
             if len(new):
                 checked[new] = True
@@ -61,9 +75,9 @@ class Lines:
                 rows, scores = np.concatenate([rows, new]), np.concatenate([scores, cosine])
                 best = np.lexsort((ids[rows], -scores))[:k]
                 rows, scores = rows[best], scores[best]
-            if everything or len(rows) == k and 2 - 2 * scores[-1] <= radius * radius:
-                return rows, scores
-            radius *= growth
+            if len(rows) == k and 2 - 2 * scores[-1] <= radius * radius:
+                break
+        return rows, scores
 
 
 def nearest(
@@ -120,9 +134,13 @@ def nearest(
         if asks.any() and not asks.all():
             matrix = unpack(group.column("vec"))
             own = ids[~asks]
-            index = Lines(matrix[~asks], lines, seed)
-            for query_id, query in zip(ids[asks], matrix[asks]):
-                rows, scores = index.search(query, k, own == query_id, own, radius, growth, collide)
+            index, radii = Lines(matrix[~asks], lines, seed), [radius]
+            while radii[-1] <= 2.0:
+                radii.append(radii[-1] * growth)
+            windows = [index.windows(matrix[asks], r) if r <= 2.0 else None for r in radii]
+            for i, (query_id, query) in enumerate(zip(ids[asks], matrix[asks])):
+                steps = ((r, *(w[0][i], w[1][i]) if w else (None, None)) for r, w in zip(radii, windows))
+                rows, scores = index.search(query, k, own == query_id, own, collide, steps)
                 found += zip([query_id] * len(rows), own[rows], scores)
         columns = list(zip(*found)) or [[], [], []]
         return pa.table(
