@@ -139,7 +139,7 @@ def nearest(
                 radii.append(radii[-1] * growth)
             windows = [index.windows(matrix[asks], r) if r <= 2.0 else None for r in radii]
             for i, (query_id, query) in enumerate(zip(ids[asks], matrix[asks])):
-                steps = ((r, *(w[0][i], w[1][i]) if w else (None, None)) for r, w in zip(radii, windows))
+                steps = ((r, w and w[0][i], w and w[1][i]) for r, w in zip(radii, windows))
                 rows, scores = index.search(query, k, own == query_id, own, collide, steps)
                 found += zip([query_id] * len(rows), own[rows], scores)
         columns = list(zip(*found)) or [[], [], []]
