@@ -11,7 +11,7 @@ import re
 import zlib
 from array import array
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -63,7 +63,7 @@ def noisy_or(logits: np.ndarray) -> np.ndarray | float:
     return -np.expm1(-np.logaddexp(0.0, logits).sum())
 
 
-def fit(texts: list[str], labels: list[int], size: int = 1 << 18, rounds: int = 80, rare: int = 8, decay: float = 2e-4) -> Model:
+def fit(texts: Iterable[str], labels: list[int], size: int = 1 << 18, rounds: int = 80, rare: int = 8, decay: float = 2e-4) -> Model:
     """Gradient descent on the noisy-or likelihood of document labels.
 
     Features of fewer than ``rare`` documents keep the weight 0. Without a
@@ -75,15 +75,23 @@ def fit(texts: list[str], labels: list[int], size: int = 1 << 18, rounds: int =
         return model
     numbers: defaultdict[str, int] = defaultdict()
     numbers.default_factory = numbers.__len__
-    tokens, lengths, bags = array("i"), array("i"), array("i")
+    tokens, lengths, bags, distinct = array("i"), array("i"), array("i"), array("i")
     for d, text in enumerate(texts):
+        begin = len(tokens)
         for sentence in SENTENCE.split(text):
             if own := sentence.split():
                 tokens.extend(map(numbers.__getitem__, own))
                 lengths.append(len(own))
                 bags.append(d)
+        distinct.extend(set(tokens[begin:]))
+    if not tokens:
+        return model
     words, doc_of = np.frombuffer(tokens, np.int32), np.frombuffer(bags, np.int32)
-    sentence_of = np.repeat(np.arange(len(bags), dtype=np.int32), np.frombuffer(lengths, np.int32))
+    in_sentence = np.frombuffer(lengths, np.int32)
+    starts = np.cumsum(in_sentence) - in_sentence
+    docs_of_word = np.bincount(np.frombuffer(distinct, np.int32), minlength=len(numbers))
+    # Sentences in lots: a gradient over all tokens at once would take several times the memory of the tokens.
+    lots_ = [*range(0, len(bags), 20_000), len(bags)]
     hashed, counts = array("i"), array("i")
     for word in numbers:
         own = features(word, size)
@@ -91,9 +99,8 @@ def fit(texts: list[str], labels: list[int], size: int = 1 << 18, rounds: int =
         counts.append(len(own))
     flat = np.frombuffer(hashed, np.int32)
     word_of = np.repeat(np.arange(len(counts), dtype=np.int32), np.frombuffer(counts, np.int32))
-    # Documents per feature, over distinct (document, word) pairs: an upper bound that only spares rare features.
-    pairs = np.unique(doc_of[sentence_of].astype(np.int64) * max(1, len(numbers)) + words) % max(1, len(numbers))
-    seen = np.bincount(flat, weights=np.bincount(pairs, minlength=len(numbers))[word_of], minlength=size)
+    # The documents of a feature's words, added up: it is at least the number of the feature's documents.
+    seen = np.bincount(flat, weights=docs_of_word[word_of], minlength=size)
     common = seen >= rare
     use = common[flat]
     flat, word_of = flat[use], word_of[use]
@@ -101,12 +108,15 @@ def fit(texts: list[str], labels: list[int], size: int = 1 << 18, rounds: int =
     first, second = np.zeros(size + 1), np.zeros(size + 1)
     for step in range(1, rounds + 1):
         value = np.bincount(word_of, weights=w[flat], minlength=len(numbers))
-        logits = bias + np.bincount(sentence_of, weights=value[words], minlength=len(doc_of))
+        logits = bias + np.add.reduceat(value.astype(np.float32)[words], starts).astype(float)
         total = np.bincount(doc_of, weights=np.logaddexp(0.0, logits), minlength=len(y))
         # d(-log likelihood)/d total: 1 for clean documents, -1 / (e^total - 1) for toxic ones.
         slope = np.where(y > 0, -1 / np.expm1(np.clip(total, 1e-6, 50)), 1.0)
         push = slope[doc_of] * np.exp(-np.logaddexp(0.0, -logits))
-        by_word = np.bincount(words, weights=push[sentence_of], minlength=len(numbers))
+        by_word = np.zeros(len(numbers))
+        for a, b in zip(lots_, lots_[1:]):
+            part = words[starts[a] : starts[b] if b < len(starts) else None]
+            by_word += np.bincount(part, weights=np.repeat(push[a:b], in_sentence[a:b]), minlength=len(numbers))
         gradient = np.bincount(flat, weights=by_word[word_of], minlength=size) / len(y) + decay * w
         gradient = np.append(gradient, push.sum() / len(y))
         first = 0.9 * first + 0.1 * gradient
@@ -121,7 +131,7 @@ def is_held_out(doc_id, folds: int = 4, fold: int = 2):
     return F.coalesce(F.crc32(doc_id.cast("long").cast("string")) % folds == fold, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = 10_000, folds: int = 4, fold: int = 2) -> Model:
+def train(docs: DataFrame, labels: DataFrame, most: int = 8_000, folds: int = 4, fold: int = 2) -> Model:
     """Fits the model on labelled documents outside the held-out fold.
 
     At most ``most`` label rows are used, those of the least hash of the id, so
@@ -138,7 +148,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 10_000, folds: int = 4
     chosen = kept(present.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most), "sample")
     rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic"))
     sample = rows.orderBy("doc_id").toArrow()
-    return fit(sample.column("text").to_pylist(), sample.column("toxic").to_pylist())
+    return fit((text.as_py() for text in sample.column("text")), sample.column("toxic").to_pylist())
 
 
 def scores(texts: list[bytes], weights: Weights) -> list[float]:
