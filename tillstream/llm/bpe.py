@@ -66,7 +66,7 @@ class Remembered:
 class Codec:
     """A vocabulary file, whole and in parts. ``room`` bounds the words whose tokens are remembered."""
 
-    def __init__(self, path: str, room: int = 200_000):
+    def __init__(self, path: str, room: int = 80_000):
         self.path = path
         self.whole = Tokenizer.from_file(path)
         self.whole.no_truncation()

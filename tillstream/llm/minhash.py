@@ -114,9 +114,9 @@ def sketched(docs: DataFrame) -> DataFrame:
         for batch in batches:
             sizes, prints, registers, keys = [], [], [], []
             for text in batch.column(1).cast(pa.binary()):
-                if len(words) > 300_000:
+                if len(words) > 100_000:
                     words.clear()
-                if len(done) > 20_000:
+                if len(done) > 5_000:
                     done.clear()
                 elements = shingles(text.as_py() or b"", known=words)
                 sizes.append(len(elements))
@@ -185,7 +185,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             made = []
             for text in batch.column(1).cast(pa.binary()):
-                if len(words) > 300_000:
+                if len(words) > 100_000:
                     words.clear()
                 made.append(shingles(text.as_py() or b"", known=words).tobytes())
             # A repeated id may stand for several texts: the one whose set is wanted counts.

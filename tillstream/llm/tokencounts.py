@@ -72,7 +72,7 @@ class Trie:
 class Counts(dict):
     """Token counts of the words met, at most ``room`` of them."""
 
-    def __init__(self, path: str, room: int = 300_000):
+    def __init__(self, path: str, room: int = 100_000):
         super().__init__()
         self.trie, self.room = Trie(pieces(path)), room
 

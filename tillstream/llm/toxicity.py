@@ -45,7 +45,7 @@ class Model:
 class Weights(dict):
     """Word -> weight, with at most ``room`` words remembered."""
 
-    def __init__(self, model: Model, room: int = 300_000):
+    def __init__(self, model: Model, room: int = 100_000):
         super().__init__()
         self.model, self.room = model, room
 
