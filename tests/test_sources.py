@@ -30,8 +30,8 @@ def keyed(spark):
 
 def test_keyed_table_reads_the_latest(keyed, table, rows):
     assert rows(keyed.read()) == []
-    keyed.upsert(table("id bigint, status string", (1, "a"), (2, "b")), 0)
-    keyed.upsert(table("id bigint, status string", (2, "c"), (3, "d")), 1)
+    keyed.upsert(table("id bigint, status string", (1, "a"), (2, "b")), 0, [])
+    keyed.upsert(table("id bigint, status string", (2, "c"), (3, "d")), 1, [])
     assert rows(keyed.read()) == [(1, "a"), (2, "c"), (3, "d")]
     assert rows(keyed.read(before=1)) == [(1, "a"), (2, "b")]
     assert rows(keyed.read(before=0)) == []
@@ -39,9 +39,9 @@ def test_keyed_table_reads_the_latest(keyed, table, rows):
 
 
 def test_a_replayed_batch_replaces_itself(keyed, table, rows):
-    keyed.upsert(table("id bigint, status string", (1, "a")), 0)
-    keyed.upsert(table("id bigint, status string", (1, "half"), (7, "lost")), 1)
-    keyed.upsert(table("id bigint, status string", (1, "whole")), 1)
+    keyed.upsert(table("id bigint, status string", (1, "a")), 0, [])
+    keyed.upsert(table("id bigint, status string", (1, "half"), (7, "lost")), 1, [])
+    keyed.upsert(table("id bigint, status string", (1, "whole")), 1, [])
     assert rows(keyed.read()) == [(1, "whole")]
 
 
@@ -53,7 +53,7 @@ def test_versions_within_a_batch(spark, table, rows):
 
 def test_compaction_changes_nothing_but_the_files_read(keyed, table, rows):
     for n in range(4):
-        keyed.upsert(table("id bigint, status string", (n, "new"), (0, f"v{n}")), n)
+        keyed.upsert(table("id bigint, status string", (n, "new"), (0, f"v{n}")), n, [])
     before = rows(keyed.read())
     keyed.compact(before=3)
     assert rows(keyed.read()) == before
@@ -64,7 +64,7 @@ def test_compaction_changes_nothing_but_the_files_read(keyed, table, rows):
 
 
 def test_an_unfinished_write_is_not_read(keyed, table, rows, spark):
-    keyed.upsert(table("id bigint, status string", (1, "a")), 0)
+    keyed.upsert(table("id bigint, status string", (1, "a")), 0, [])
     option = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
     half = table("id bigint, status string", (1, "half")).write.option(option, "false")
     half.parquet(f"{keyed.path}/changes/batch_id=1")
@@ -139,7 +139,7 @@ def test_jdbc_options():
     assert jdbc_read_options("jdbc:x", "select 1") == {"url": "jdbc:x", "query": "select 1"}
     split = {"partitionColumn": "id", "lowerBound": "0", "upperBound": "9", "numPartitions": "3"}
     assert jdbc_read_options("jdbc:x", "select 1", split)["dbtable"] == "(select 1) t"
-    assert JDBC_WRITE == {"batchsize": "100", "isolationLevel": "NONE", "numPartitions": "4"}
+    assert JDBC_WRITE == {"batchsize": "100", "isolationLevel": "NONE"}
 
 
 def test_jdbc_needs_a_driver(spark, table):

@@ -173,8 +173,8 @@ def order_message(i, user, time, **more):
 def order_tables(spark, work, table):
     make = lambda name, schema, key: KeyedTable(spark, f"{work}/{name}", schema, [key])
     province, user = make("province", schemas.PROVINCE_INFO, "id"), make("user", schemas.USER_INFO, "id")
-    province.upsert(table("id string, name string, area_code string, iso_code string", ("1", "北京", "11", "CN")), 0)
-    user.upsert(table(schemas.USER_INFO, (5, "1", 40, "30岁以上", "女")), 0)
+    province.upsert(table("id string, name string, area_code string, iso_code string", ("1", "北京", "11", "CN")), 0, [])
+    user.upsert(table(schemas.USER_INFO, (5, "1", 40, "30岁以上", "女")), 0, [])
     return {
         "user_state": make("state", schemas.USER_STATE, "user_id"),
         "orders": make("orders", schemas.ORDER_INFO, "id"),
@@ -220,7 +220,7 @@ def test_details_see_the_dimension_of_their_batch(spark, work, table, rows):
     run = lambda: finish(jobs.order_detail_job(messages.stream(), sku, details, f"{work}/out", f"{work}/cp"), 300)
     messages.send(('{"id":1,"sku_id":7}',))
     run()
-    sku.upsert(table(schemas.SKU_INFO, ("7", "s", "2", "spu", "3", "cat", "4", "tm")), 0)
+    sku.upsert(table(schemas.SKU_INFO, ("7", "s", "2", "spu", "3", "cat", "4", "tm")), 0, [])
     messages.send(('{"id":2,"sku_id":7}',))
     run()
     assert rows(details.read(), "id", "spu_id", "spu_name") == [(1, 0, None), (2, 2, "spu")]
@@ -293,3 +293,42 @@ def test_micro_batches_run_adaptively(spark, work):
 
     finish(write_stream(topic.stream().dropDuplicates(["k"]), sink, f"{work}/cp"), 300)
     assert set(seen) == {"true"}
+
+
+def test_last_write_wins_in_a_batch(spark, work, table, rows):
+    """The message that arrived last stays, whatever its values; an order and its change are one first order."""
+
+    def topic(name, *messages):
+        topic = Topic(spark, f"{work}/{name}")
+        topic.send(*messages)
+        schema = spark.createDataFrame([], "value string").schema
+        return read_stream(spark, "parquet", {}, f"{work}/{name}", schema, ordered=True)
+
+    brand = lambda i, name: (json.dumps({"tm_id": i, "tm_name": name}),)
+    brands = KeyedTable(spark, f"{work}/brands", schemas.BASE_TRADEMARK, ["tm_id"])
+    sent = topic("tm", brand("1", "Alpha"), brand("2", "Zeta"), brand("1", "Zeta"), brand("2", "Alpha"))
+    finish(jobs.dim_job(sent, schemas.BASE_TRADEMARK, brands, f"{work}/cp_tm"), 300)
+    assert rows(brands.read()) == [("1", "Zeta"), ("2", "Alpha")]
+
+    tables = order_tables(spark, work, table)
+    when = "2024-01-01 10:00:00"
+    orders = topic("orders", order_message(1, 5, when, order_status="1001"), order_message(1, 5, when, order_status="1002"))
+    finish(jobs.order_info_job(orders, **tables, path=f"{work}/out", checkpoint=f"{work}/cp"), 300)
+    assert rows(tables["orders"].read(), "id", "order_status", "if_first_order") == [(1, "1002", "1")]
+    flags = [json.loads(r.value)["if_first_order"] for r in spark.read.parquet(f"{work}/out").collect()]
+    assert flags == ["1"]
+
+
+def test_a_wrong_device_clock_loses_no_other_device(spark, work, rows):
+    logs = Topic(spark, f"{work}/logs")
+    for mid, seconds in (("a", 5), ("future", 400 * 86_400), ("b", 6), ("c", 7)):
+        logs.send(log(mid, seconds))
+    finish(jobs.dau_job(logs.stream(), f"{work}/dau", f"{work}/cp"), 300)
+    assert {r.mid for r in read_dau(spark, f"{work}/dau").collect()} == {"a", "future", "b", "c"}
+
+
+def test_an_empty_statistics_batch_writes_nothing(spark, work):
+    topic = Topic(spark, f"{work}/in")
+    topic.send((None,))
+    finish(jobs.stat_job(topic.stream(), "category", f"{work}/stat", f"{work}/cp"), 300)
+    assert not spark._jvm.java.io.File(f"{work}/stat".removeprefix("file:")).exists()

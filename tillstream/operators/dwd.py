@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.operators.dims import enrich
+from tillstream.operators.dws import first_seen
 
 # An order line without a SKU keeps these numbers at 0.
 DETAIL_IDS = ("spu_id", "tm_id", "category3_id")
@@ -17,7 +18,8 @@ def flag_first_order(orders: DataFrame, user_state: DataFrame | None = None) ->
     ``user_state`` (user_id, if_consumed) tells who has ordered; equal times are
     told apart by the order id. The earliest order is found by an aggregate that
     combines before the shuffle, and comes back by the order id, so that no task
-    ever holds all orders of one user. Order ids are unique in ``orders``.
+    ever holds all orders of one user. Order ids are unique in ``orders``; see
+    ``latest_orders``.
     """
     first = (
         orders.groupBy("user_id")
@@ -35,6 +37,11 @@ def flag_first_order(orders: DataFrame, user_state: DataFrame | None = None) ->
     )
 
 
+def latest_orders(orders: DataFrame, version: str) -> DataFrame:
+    """One row per order id: that with the greatest ``version``. An order and its changes are one order."""
+    return first_seen(orders, ["id"], [F.col(version).desc_nulls_last()])
+
+
 def user_state_updates(orders: DataFrame) -> DataFrame:
     """State rows of the users whose first order is among ``orders``."""
     return orders.where(F.col("if_first_order") == "1").select(

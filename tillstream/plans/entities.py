@@ -57,9 +57,7 @@ _SCHEMAS: dict[str, StructType] = {}
 
 
 class Entities:
-    """``spread`` is for work that is heavy per row, such as JSON: a table with fewer splits than
-    there are cores is then dealt out to all cores. A large table has more splits and is left alone.
-    """
+    """``spread`` is for work that is heavy per row, such as JSON: rows are then dealt out to all cores first."""
 
     def __init__(self, spark: SparkSession, folder: str, spread: bool = False):
         self.spark, self.folder, self.spread = spark, folder.rstrip("/"), spread
@@ -70,7 +68,7 @@ class Entities:
             _SCHEMAS[path] = self.spark.read.parquet(path).schema
         df = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
         cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if self.spread and df.rdd.getNumPartitions() < cores else df
+        return df.repartition(cores) if self.spread else df
 
     # Facts as the source database holds them.
 

@@ -186,11 +186,11 @@ def keyed_table(spark: SparkSession, folder: str) -> DataFrame:
     rows = Entities(spark, folder).orders().select("id", "order_status", "create_time")
     schema = schemas.rows("id bigint, order_status string, create_time string")
     table = KeyedTable(spark, work_dir(spark, "keyed_table"), schema, ["id"])
-    table.upsert(rows, 0)
-    table.upsert(rows.where(F.col("id") % 2 == 0).withColumn("order_status", F.lit("paid")), 1)
+    table.upsert(rows, 0, [])
+    table.upsert(rows.where(F.col("id") % 2 == 0).withColumn("order_status", F.lit("paid")), 1, [])
     table.compact(before=2)
     for _ in range(2):
-        table.upsert(rows.where(F.col("id") % 3 == 0).withColumn("order_status", F.lit("sent")), 2)
+        table.upsert(rows.where(F.col("id") % 3 == 0).withColumn("order_status", F.lit("sent")), 2, [])
     return table.read()
 
 
@@ -414,11 +414,13 @@ def replayed_append(spark: SparkSession, folder: str) -> DataFrame:
 # Streams.
 
 
-def _follow(spark: SparkSession, path: str, rows: DataFrame, files: int | None = None) -> DataFrame:
+def _follow(
+    spark: SparkSession, path: str, rows: DataFrame, files: int | None = None, ordered: bool = False
+) -> DataFrame:
     """Write ``rows`` below ``path`` and follow the folder as a stream, ``files`` files per batch."""
     rows.write.mode("append").parquet(path)
     options = {"maxFilesPerTrigger": str(files)} if files else {}
-    return read_stream(spark, "parquet", options, path, rows.schema)
+    return read_stream(spark, "parquet", options, path, rows.schema, ordered)
 
 
 def _run_wide(spark: SparkSession, folder: str, work: str, salts: int = 4) -> DataFrame:
@@ -455,7 +457,7 @@ def stream_routed_dau(spark: SparkSession, folder: str) -> DataFrame:
     logs.select("value").write.text(f"{work}/logs")
     finish(jobs.message_job(read_log_lines(spark, f"{work}/logs"), route_logs, f"{work}/topics", f"{work}/cp1"))
     started = read_stream(spark, "parquet", {}, f"{work}/topics/batch_id=*/topic=STARTUP_LOG", MESSAGE).select("value")
-    finish(jobs.dau_job(started, f"{work}/dau", f"{work}/cp2", life=None))
+    finish(jobs.dau_job(started, f"{work}/dau", f"{work}/cp2"))
     return read_dau(spark, f"{work}/dau").select("dt", "mid", "uid")
 
 
@@ -475,17 +477,17 @@ def stream_stat_windowed(spark: SparkSession, folder: str) -> DataFrame:
     """Amounts per window of arrival time on a stream: each window is written when the watermark has passed it."""
     work = work_dir(spark, "stream_stat_windowed")
     wide = Entities(spark, folder).wide(province=True, timed=True)
-    rows = wide.select("event_time", "province_name", "final_total_amount")
+    rows = wide.select("event_time", "province_name", "final_total_amount", F.lit(False).alias("ends"))
     # One late row without an amount moves the watermark past all windows, so that all are written.
     end = rows.agg(F.max("event_time") + F.expr("INTERVAL 1 HOUR")).select(
-        F.col("*"), F.lit(None).cast("string"), F.lit(0.0)
+        F.col("*"), F.lit(None).cast("string"), F.lit(0.0), F.lit(True)
     )
     source = _follow(spark, f"{work}/rows", rows.union(end.toDF(*rows.columns)))
     stats = ads.amount_stat_windowed(
-        source.withWatermark("event_time", "10 minutes"), ["province_name"], "final_total_amount"
+        source.withWatermark("event_time", "10 minutes"), ["ends", "province_name"], "final_total_amount"
     )
     finish(write_stream(stats, "parquet", f"{work}/checkpoint", {"path": f"{work}/stat"}))
-    return _epoch(spark.read.parquet(f"{work}/stat").where(F.col("province_name").isNotNull()))
+    return _epoch(spark.read.parquet(f"{work}/stat").where(~F.col("ends")).drop("ends"))
 
 
 @query("stream_first_order")
@@ -497,11 +499,11 @@ def stream_first_order(spark: SparkSession, folder: str) -> DataFrame:
     def table(name, schema, keys, rows=None):
         stored = KeyedTable(spark, f"{work}/{name}", schema, keys)
         if rows is not None:
-            stored.upsert(rows, 0)
+            stored.upsert(rows, 0, [])
         return stored
 
     orders = table("order_info", schemas.ORDER_INFO, ["id"])
-    messages = _follow(spark, f"{work}/messages", e.order_messages(quoted=True), files=3)
+    messages = _follow(spark, f"{work}/messages", e.order_messages(quoted=True), files=3, ordered=True)
     finish(
         jobs.order_info_job(
             messages,
@@ -526,9 +528,9 @@ def stream_details(spark: SparkSession, folder: str) -> DataFrame:
     e = Entities(spark, folder, spread=True)
     changes = _follow(spark, f"{work}/changes", e.changes())
     finish(jobs.message_job(changes, route_maxwell, f"{work}/topics", f"{work}/cp1"))
-    records = read_stream(spark, "parquet", {}, f"{work}/topics/batch_id=*/topic=ODS_ORDER_DETAIL", MESSAGE)
+    records = read_stream(spark, "parquet", {}, f"{work}/topics/batch_id=*/topic=ODS_ORDER_DETAIL", MESSAGE, True)
     sku = KeyedTable(spark, f"{work}/sku", schemas.SKU_INFO, ["id"])
-    sku.upsert(e.skus(), 0)
+    sku.upsert(e.skus(), 0, [])
     details = KeyedTable(spark, f"{work}/details", schemas.ORDER_DETAIL, ["id"])
     finish(jobs.order_detail_job(records, sku, details, f"{work}/facts", f"{work}/cp2"))
     return details.read()
@@ -542,7 +544,7 @@ def stream_dims(spark: SparkSession, folder: str) -> DataFrame:
 
     def run(name, rows, schema, key, build=None):
         table = KeyedTable(spark, f"{work}/{name}", schema, [key])
-        messages = _follow(spark, f"{work}/{name}_messages", to_messages(rows))
+        messages = _follow(spark, f"{work}/{name}_messages", to_messages(rows), ordered=True)
         finish(jobs.dim_job(messages, schema, table, f"{work}/{name}_checkpoint", build))
         return table
 
@@ -560,7 +562,7 @@ def resume(spark: SparkSession, folder: str) -> DataFrame:
     logs = Entities(spark, folder, spread=True).startups()
     for half in (F.col("event_id") % 2 == 0, F.col("event_id") % 2 != 0):
         source = _follow(spark, f"{work}/logs", logs.where(half).select("value"))
-        finish(jobs.dau_job(source, f"{work}/dau", f"{work}/checkpoint", life=None))
+        finish(jobs.dau_job(source, f"{work}/dau", f"{work}/checkpoint"))
     return read_dau(spark, f"{work}/dau").select("dt", "mid", "uid")
 
 

@@ -40,8 +40,11 @@ class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]):
         self.spark, self.path, self.schema, self.keys = spark, path.rstrip("/"), schema, list(keys)
 
-    def upsert(self, rows: DataFrame, batch_id: int, version: Sequence[str] = ()) -> None:
-        """Write one batch; of several rows with one key the greatest ``version`` stays."""
+    def upsert(self, rows: DataFrame, batch_id: int, version: Sequence[str]) -> None:
+        """Write one batch; of several rows with one key the greatest ``version`` stays: the last write wins.
+
+        ``version`` may be empty only for rows whose keys are unique.
+        """
         # The other columns settle ties, so that a replay keeps the same row.
         order = [*_newest_first(version), *[F.col(c) for c in self.schema.names]]
         latest = first_seen(rows, self.keys, order).select(*self.schema.names)

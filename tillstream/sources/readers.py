@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 
 from tillstream.schemas import DAU_INFO, ORDER_WIDE
 
+# The column that tells the order of messages.
+ARRIVAL = "arrival"
+
 # A file of messages: the columns that a message topic has.
 MESSAGE = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
 
@@ -50,12 +53,23 @@ def read_stream(
     options: Mapping[str, str],
     path: str | None = None,
     schema: T.StructType | None = None,
+    ordered: bool = False,
 ) -> DataFrame:
-    """A stream of messages; binary keys and values come as text."""
+    """A stream of messages; binary keys and values come as text.
+
+    ``ordered`` adds the column ``arrival``, by which later messages are greater:
+    the offset in a topic, where the messages of one key share a partition; the
+    time, name and row number of a file.
+    """
     reader = spark.readStream.format(source).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.load(path) if path else reader.load()
+    if ordered and "offset" in df.columns:
+        df = df.withColumn(ARRIVAL, F.struct("offset", "partition"))
+    elif ordered:
+        file = [F.col(f"_metadata.{c}").alias(c) for c in ("file_modification_time", "file_path", "row_index")]
+        df = df.select("*", F.struct(*file).alias(ARRIVAL))
     binary = [f.name for f in df.schema if isinstance(f.dataType, T.BinaryType)]
     return df.withColumns({c: F.col(c).cast("string") for c in binary})
 

@@ -11,8 +11,8 @@ from tillstream.session import rocksdb_state
 
 ADAPTIVE = "spark.sql.adaptive.enabled"
 
-# Settings of the bulk insert of wide rows.
-JDBC_WRITE = {"batchsize": "100", "isolationLevel": "NONE", "numPartitions": "4"}
+# Settings of the bulk insert of wide rows. How many tasks insert is the caller's choice.
+JDBC_WRITE = {"batchsize": "100", "isolationLevel": "NONE"}
 
 
 def append_exactly_once(df: DataFrame, path: str, batch_id: int, by: Sequence[str] = ()) -> None:
@@ -104,9 +104,11 @@ def write_stream(
         return writer.start()
 
 
-def finish(query: StreamingQuery, seconds: int = 3600) -> StreamingQuery:
-    """Wait for a query that ends by itself; stop it and fail when it takes too long."""
-    if not query.awaitTermination(seconds):
+def finish(query: StreamingQuery, seconds: int | None = None) -> StreamingQuery:
+    """Wait for a query that ends by itself, as long as it takes; with ``seconds``, stop it and fail after them."""
+    if seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(seconds):
         query.stop()
         raise TimeoutError(f"stream {query.name or query.id} did not end in {seconds} s")
     return query

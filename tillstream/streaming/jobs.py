@@ -20,10 +20,17 @@ from tillstream import schemas
 from tillstream.functions.dates import add_create_parts
 from tillstream.operators.ads import STATS, amount_stat
 from tillstream.operators.dau import DAU_KEYS, dau_document
-from tillstream.operators.dwd import enrich_detail, enrich_order, flag_first_order, user_state_updates
-from tillstream.operators.dws import first_arrived, join_orders, order_totals, split_amount
+from tillstream.operators.dwd import (
+    enrich_detail,
+    enrich_order,
+    flag_first_order,
+    latest_orders,
+    user_state_updates,
+)
+from tillstream.operators.dws import first_arrived, first_seen, join_orders, order_totals, split_amount
 from tillstream.operators.ods import parse_records, to_messages
 from tillstream.sources.keyed import KeyedTable, keys_of
+from tillstream.sources.readers import ARRIVAL
 from tillstream.sources.writers import append_daily, append_exactly_once, send_messages, write_stream
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -42,6 +49,11 @@ def _reused(df: DataFrame):
         df.unpersist()
 
 
+def _arrived(batch: DataFrame) -> DataFrame:
+    """The messages of a batch with their order; without one of the source, that in which the batch's tasks read them."""
+    return batch if ARRIVAL in batch.columns else batch.withColumn(ARRIVAL, F.monotonically_increasing_id())
+
+
 def message_job(messages: DataFrame, route: Transform, path: str, checkpoint: str, **run) -> StreamingQuery:
     """Route or reshape messages and write them to ``path`` by topic: the log and change-record routers."""
     return write_stream(route(messages), lambda df, n: send_messages(df, path, n), checkpoint, **run)
@@ -53,10 +65,12 @@ def dim_job(
     """Keep a dimension table up to date; ``build`` looks other tables up again in each batch."""
 
     def each(batch: DataFrame, n: int) -> None:
-        if batch.isEmpty():
-            return
-        records = parse_records(batch.select("value"), schema)
-        table.upsert(records if build is None else build(records), n)
+        with _reused(_arrived(batch).select("value", ARRIVAL)) as messages:
+            if messages.isEmpty():
+                return
+            records = parse_records(messages, schema)
+            last = first_seen(records, table.keys, [F.col(ARRIVAL).desc()]).drop(ARRIVAL)
+            table.upsert(last if build is None else build(last), n, [])
 
     return write_stream(messages, each, checkpoint, **run)
 
@@ -74,17 +88,17 @@ def order_info_job(
     """Order facts: first-order flag against the users seen in earlier batches, province and user attributes."""
 
     def each(batch: DataFrame, n: int) -> None:
-        if batch.isEmpty():
-            return
-        parsed = add_create_parts(parse_records(batch.select("value"), schemas.ORDER_RECORD))
-        with _reused(parsed) as records:
+        parsed = parse_records(_arrived(batch).select("value", ARRIVAL), schemas.ORDER_RECORD)
+        with _reused(add_create_parts(latest_orders(parsed, ARRIVAL).drop(ARRIVAL))) as records:
+            if records.isEmpty():
+                return
             seen = user_state.read(before=n, only=keys_of(records, "user_id", user_state))
             users = user.read(only=keys_of(records, "user_id", user))
             rich = enrich_order(flag_first_order(records, seen), province.read(), users)
             with _reused(rich.select(*schemas.ORDER_INFO.names)) as facts:
-                orders.upsert(facts, n)
+                orders.upsert(facts, n, [])
                 send_messages(to_messages(facts, key="id"), path, n)
-                user_state.upsert(user_state_updates(facts), n)
+                user_state.upsert(user_state_updates(facts), n, [])
 
     return write_stream(messages, each, checkpoint, **run)
 
@@ -95,12 +109,13 @@ def order_detail_job(
     """Order-line facts with the attributes of their SKU."""
 
     def each(batch: DataFrame, n: int) -> None:
-        if batch.isEmpty():
-            return
-        with _reused(parse_records(batch.select("value"), schemas.DETAIL_RECORD)) as lines:
+        parsed = parse_records(_arrived(batch).select("value", ARRIVAL), schemas.DETAIL_RECORD)
+        with _reused(first_seen(parsed, ["id"], [F.col(ARRIVAL).desc()]).drop(ARRIVAL)) as lines:
+            if lines.isEmpty():
+                return
             rich = enrich_detail(lines, sku.read(only=keys_of(lines, "sku_id", sku)))
             with _reused(rich.select(*schemas.ORDER_DETAIL.names)) as facts:
-                details.upsert(facts, n)
+                details.upsert(facts, n, [])
                 send_messages(to_messages(facts, key="id"), path, n)
 
     return write_stream(messages, each, checkpoint, **run)
@@ -151,7 +166,7 @@ def order_wide_job(
                 store(rows.drop("event_time"), path, n)
                 if messages:
                     send_messages(to_messages(rows, columns=schemas.ORDER_WIDE.names), messages, n)
-                totals.upsert(order_totals(rows, prior), n)
+                totals.upsert(order_totals(rows, prior), n, [])
 
     return write_stream(wide, each, checkpoint, **run)
 
@@ -164,18 +179,25 @@ def stat_job(
     fields = T.StructType([f for f in schemas.ORDER_WIDE if f.name in used])
 
     def each(batch: DataFrame, n: int) -> None:
-        wide = parse_records(batch.select("value"), fields)
-        append_exactly_once(amount_stat(wide, stat, as_coded), path, n)
+        with _reused(parse_records(batch.select("value"), fields)) as wide:
+            if not wide.isEmpty():
+                append_exactly_once(amount_stat(wide, stat, as_coded), path, n)
 
     return write_stream(messages, each, checkpoint, **run)
 
 
 def dau_stream(logs: DataFrame, life: str | None = DEDUP_LIFE, zone: str = "UTC", salts: int = 4) -> DataFrame:
-    """The first startup of each device and day. Devices are remembered for ``life``, or for ever with None."""
-    documents = dau_document(logs, zone=zone)
+    """The first startup of each device and day. Devices are remembered for ``life``, or for ever with None.
+
+    The time that counts is that of arrival: the topic's ``timestamp`` if ``logs``
+    has it, else the clock when the batch is read. A device's own clock only
+    gives the day, so a wrong one loses no other device.
+    """
+    at = F.col("timestamp") if "timestamp" in logs.columns else F.current_timestamp()
+    documents = dau_document(logs.withColumn("_at", at), zone=zone)
     if life is None:
-        return first_arrived(documents, DAU_KEYS, False, salts)
-    timed = documents.withColumn("_at", F.timestamp_millis("ts")).withWatermark("_at", life)
+        return first_arrived(documents.drop("_at"), DAU_KEYS, False, salts)
+    timed = documents.withWatermark("_at", life)
     return first_arrived(timed, DAU_KEYS, True, salts).drop("_at")
 
 
