@@ -38,9 +38,10 @@ def test_logs_go_by_start(table, rows):
     assert {r.value: r.topic for r in routed.collect()} == texts
 
 
-def test_broken_log_lines_are_refused(table):
+def test_broken_log_lines_are_rejected(table, rows):
     routed = route_logs(lines(table, "{broken", '{"start":"a"}', None, "", " ", "[1]", "null", '"start"'))
-    assert [r.value for r in routed.collect()] == ['{"start":"a"}']
+    broken = [("REJECTED_LOG", t) for t in ("{broken", "[1]", "null", '"start"')]
+    assert rows(routed) == sorted([*broken, ("STARTUP_LOG", '{"start":"a"}')])
 
 
 def test_maxwell_routes_listed_tables_with_data(table, rows):
@@ -58,10 +59,22 @@ def test_maxwell_routes_listed_tables_with_data(table, rows):
     )
     assert rows(routed) == [
         ("ODS_ORDER_DETAIL", '{"id":"2"}'),
-        ("ODS_ORDER_INFO", '{"id":1,"x":null,"n":{"a":[1]}}'),
+        ("ODS_ORDER_INFO", '{"id":1,"n":{"a":[1]},"x":null}'),
     ]
 
 
+def test_payloads_keep_the_digits_of_numbers(table, rows):
+    data = '{"a":12345678901234567.89,"b":100000000000.00,"c":1.10,"d":"1.10"}'
+    kept = '{"a":12345678901234567.89,"b":100000000000,"c":1.1,"d":"1.10"}'
+    head = '{"table":"order_info","data":'
+    assert rows(route_maxwell(lines(table, f"{head}{data}}}"))) == [("ODS_ORDER_INFO", kept)]
+    assert rows(route_canal(lines(table, f"{head}[{data}]}}"))) == [("ODS_ORDER_INFO", kept)]
+
+
+def test_change_records_are_parsed_once(table, plan):
+    assert plan(route_maxwell(lines(table, "{}"))).count("parseJson") == 1
+
+
 def test_maxwell_takes_other_tables_when_told(table, rows):
     routed = route_maxwell(lines(table, '{"table":"user_info","data":{"id":3}}'), ["user_info"])
     assert rows(routed) == [("ODS_USER_INFO", '{"id":3}')]
@@ -113,6 +126,17 @@ def test_parse_stops_at_broken_records(table, text):
         parse_records(lines(table, text), schemas.DETAIL_RECORD).collect()
 
 
+@pytest.mark.parametrize("number", ["5", "5.0", '"5"', '"5.00"', "5E0"])
+def test_whole_numbers_may_have_a_point(table, number):
+    parsed = parse_records(lines(table, f'{{"id":1,"sku_num":{number}}}'), schemas.DETAIL_RECORD)
+    assert parsed.collect()[0].sku_num == 5
+
+
+def test_parse_stops_at_a_fraction_in_a_whole_number(table):
+    with pytest.raises(Exception):
+        parse_records(lines(table, '{"id":1,"sku_num":5.7}'), schemas.DETAIL_RECORD).collect()
+
+
 def test_parse_keeps_other_columns(table):
     df = table("key string, value string", ("k", '{"tm_id":"1","tm_name":"a"}'))
     assert parse_records(df, schemas.BASE_TRADEMARK).collect()[0].asDict() == {"tm_id": "1", "tm_name": "a", "key": "k"}
@@ -141,7 +165,8 @@ def test_fan_out_sends_to_every_topic(table, rows):
     assert out == sorted((t, v) for t in WIDE_TOPICS for v in "xy")
 
 
-def test_dau_document(table):
-    text = '{"common":{"mid":"m","uid":"u","ar":"110","ch":"web","vc":"v2"},"start":{},"ts":1592409600000}'
+@pytest.mark.parametrize("ts", ["1592409600000", '"1592409600000"'])
+def test_dau_document(table, ts):
+    text = f'{{"common":{{"mid":"m","uid":"u","ar":"110","ch":"web","vc":"v2"}},"start":{{}},"ts":{ts}}}'
     row = dau_document(lines(table, text)).collect()[0]
     assert tuple(row) == ("m", "u", "110", "web", "v2", "2020-06-17", "16", "00", 1592409600000)

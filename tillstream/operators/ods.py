@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 # Topics and the tables that are passed on.
 STARTUP_TOPIC = "STARTUP_LOG"
 EVENT_TOPIC = "EVENT_LOG"
+REJECTED_TOPIC = "REJECTED_LOG"
 ODS_PREFIX = "ODS_"
 ROUTED_TABLES = ("order_info", "order_detail")
 WIDE_TOPICS = (
@@ -44,7 +45,25 @@ def _typed(text: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.StringType):
         return text
     given = F.when(~text.isin("", "null"), text)
-    return F.coalesce(given.cast(kind), F.lit(0).cast(kind))
+    return F.coalesce(_number(given, kind), F.lit(0).cast(kind))
+
+
+def _number(text: Column, kind: T.DataType) -> Column:
+    """Text as a number; a whole number may be written as 5.0 or 5E0, another one in a whole-number field stops the batch."""
+    if not isinstance(kind, T.IntegralType):
+        return text.cast(kind)
+    exact = text.cast(T.DecimalType(38, 9))
+    return F.when(text.rlike("[.eE]") & (exact == F.floor(exact)), exact.cast(kind)).otherwise(text.cast(kind))
+
+
+def _changes(df: DataFrame, value: str) -> DataFrame:
+    """(_change, table) of change records, parsed once to a variant, which keeps all digits of the numbers in them."""
+    text = F.col(value)
+    whole = F.when(text.isNull() | text.rlike(r"^\s*\{"), text).otherwise(
+        F.raise_error(F.lit("change record: no object"))
+    )
+    parsed = df.select(F.explode(F.array(F.parse_json(whole))).alias("_change"))
+    return parsed.select("_change", F.variant_get("_change", "$.table", "string").alias("table"))
 
 
 def parse_records(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
@@ -61,24 +80,29 @@ def parse_records(df: DataFrame, schema: T.StructType, value: str = "value") ->
 
 
 def parse_startup(df: DataFrame, value: str = "value") -> DataFrame:
-    """Startup logs as flat rows: the fields of ``common`` and the epoch time."""
-    schema = "common struct<mid:string,uid:string,ar:string,ch:string,vc:string>, ts bigint"
-    return json_fields(df, schema, value).select("common.*", "ts", *[c for c in df.columns if c != value])
+    """Startup logs as flat rows: the fields of ``common`` and the epoch time, quoted or not."""
+    schema = "common struct<mid:string,uid:string,ar:string,ch:string,vc:string>, ts string"
+    time = _number(F.when(~F.col("ts").isin("", "null"), F.col("ts")), T.LongType()).alias("ts")
+    return json_fields(df, schema, value).select("common.*", time, *[c for c in df.columns if c != value])
 
 
 def route_logs(
-    df: DataFrame, value: str = "value", startup: str = STARTUP_TOPIC, event: str = EVENT_TOPIC
+    df: DataFrame,
+    value: str = "value",
+    startup: str = STARTUP_TOPIC,
+    event: str = EVENT_TOPIC,
+    rejected: str = REJECTED_TOPIC,
 ) -> DataFrame:
     """(topic, value): a log with a non-blank ``start`` goes to the startup topic, others to the event topic.
 
-    A line that is no JSON object is refused, as the log endpoint refuses the request.
+    A line that is no JSON object goes to the rejected topic, where the log
+    endpoint answers with an error. Null and blank lines are no logs.
     """
     fields, options = "start string, _broken string", {"columnNameOfCorruptRecord": "_broken"}
     lines = json_fields(df.where(F.trim(F.col(value)) != "").select(value), fields, value, options)
     blank = F.coalesce(F.col("start").rlike(BLANK), F.lit(True))
-    return lines.where(F.col("_broken").isNull()).select(
-        F.when(blank, event).otherwise(startup).alias("topic"), F.col(value).alias("value")
-    )
+    topic = F.when(F.col("_broken").isNotNull(), rejected).when(blank, event).otherwise(startup)
+    return lines.select(topic.alias("topic"), F.col(value).alias("value"))
 
 
 def route_maxwell(
@@ -86,12 +110,14 @@ def route_maxwell(
 ) -> DataFrame:
     """(topic, value) for change records whose ``data`` is one object.
 
-    Empty objects and tables that are not listed are dropped.
+    Empty objects and tables that are not listed are dropped. A payload has its
+    keys in order of their names; numbers keep all their digits, but trailing zeros.
     """
-    record = json_fields(df.select(F.col(value).alias("_change")), "table string, data string", "_change")
-    listed = F.coalesce(F.col("table").isin(*tables) & F.col("data").isNotNull(), F.lit(False))
+    listed = _changes(df, value).where(F.coalesce(F.col("table").isin(*tables), F.lit(False)))
+    payload = F.explode(F.array(F.variant_get("_change", "$.data", "string"))).alias("data")
+    record = listed.select("table", payload)
     wanted = (
-        F.when(~listed, False)
+        F.when(F.col("data").isNull(), False)
         .when(F.col("data").startswith("{"), F.col("data") != "{}")
         .otherwise(F.raise_error(F.lit("change record: data is no object")))
     )
@@ -100,9 +126,9 @@ def route_maxwell(
 
 def route_canal(df: DataFrame, value: str = "value", prefix: str = ODS_PREFIX) -> DataFrame:
     """(topic, value) for change records whose ``data`` is an array: one message per element."""
-    record = json_fields(df.select(F.col(value).alias("_change")), "table string, data array<string>", "_change")
-    return record.select(
-        F.concat(F.lit(prefix), F.upper("table")).alias("topic"), F.explode("data").alias("value")
+    data = F.variant_get("_change", "$.data", "array<string>")
+    return _changes(df, value).select(
+        F.concat(F.lit(prefix), F.upper("table")).alias("topic"), F.explode(data).alias("value")
     )
 
 

@@ -121,8 +121,7 @@ class Entities:
     # Dimensions.
 
     def trademarks(self) -> DataFrame:
-        """One brand is missing, so that some lookups miss."""
-        brand = self.table("part").where(F.col("p_brand") != "Brand#7").select("p_brand").distinct()
+        brand = self.table("part").select("p_brand").distinct()
         return brand.select(_brand_id().alias("tm_id"), F.col("p_brand").alias("tm_name"))
 
     def categories(self) -> DataFrame:
@@ -161,9 +160,8 @@ class Entities:
         )
 
     def skus(self) -> DataFrame:
-        """The SKU dimension; every tenth SKU is missing."""
-        parts = self.table("part").where(F.col("p_partkey") % 10 != 0)
-        return parts.select(
+        """The SKU dimension."""
+        return self.table("part").select(
             F.col("p_partkey").cast("string").alias("id"),
             F.col("p_name").alias("sku_name"),
             F.col("p_size").cast("string").alias("spu_id"),
@@ -188,8 +186,9 @@ class Entities:
         return user_info(self.user_records(), F.lit(AS_OF).cast("date"))
 
     def user_state(self) -> DataFrame:
-        known = self.table("customer").where(F.col("c_custkey") % 3 == 0)
-        return known.select(F.col("c_custkey").cast("string").alias("user_id"), F.lit("1").alias("if_consumed"))
+        """All customers; every third has ordered before."""
+        consumed = F.when(F.col("c_custkey") % 3 == 0, "1").otherwise("0").alias("if_consumed")
+        return self.table("customer").select(F.col("c_custkey").cast("string").alias("user_id"), consumed)
 
     def provinces(self) -> DataFrame:
         key = F.col("n_nationkey").cast("string")
@@ -203,10 +202,19 @@ class Entities:
     # The wide fact.
 
     def wide(
-        self, sku: bool = False, province: bool = False, user: bool = False, first: bool = False, timed: bool = False
+        self,
+        sku: bool = False,
+        province: bool = False,
+        user: bool = False,
+        first: bool = False,
+        timed: bool = False,
+        day: str | None = None,
     ) -> DataFrame:
-        """Wide rows with the attributes that are asked for; ``timed`` joins by arrival."""
+        """Wide rows with the attributes that are asked for; ``timed`` joins by arrival, ``day`` takes one day's orders."""
         orders, details = self.orders(located=province), self.details()
+        if day:
+            # An order has one day: the others need not reach the joins and the split.
+            orders = orders.where(F.col("create_date") == day)
         if first:
             orders = flag_first_order(orders, self.user_state())
         orders = enrich_order(orders, self.provinces() if province else None, self.users() if user else None)
@@ -215,10 +223,10 @@ class Entities:
         times = {"order_time": "arrived", "line_time": "arrived"} if timed else {}
         return join_orders(orders, details, **times)
 
-    def split_wide(self, timed: bool = False, **attributes: bool) -> DataFrame:
+    def split_wide(self, timed: bool = False, day: str | None = None, **attributes: bool) -> DataFrame:
         """Wide rows with paid shares; the sums over an order's lines need none of the attributes."""
-        bare = self.wide(timed=timed) if any(attributes.values()) else None
-        return split_amount(self.wide(timed=timed, **attributes), sums_from=bare)
+        bare = self.wide(timed=timed, day=day) if any(attributes.values()) else None
+        return split_amount(self.wide(timed=timed, day=day, **attributes), sums_from=bare)
 
     # Messages.
 

@@ -63,7 +63,7 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "brands": (
         (),
-        "SELECT DISTINCT regexp_extract(p_brand, '\\d+') AS tm_id, p_brand AS tm_name FROM part WHERE p_brand <> 'Brand#7'",
+        "SELECT DISTINCT regexp_extract(p_brand, '\\d+') AS tm_id, p_brand AS tm_name FROM part",
     ),
     "parts": (
         (),
@@ -88,7 +88,7 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         """
         SELECT p_partkey, p_partkey::VARCHAR AS id, p_name AS sku_name, p_size AS spu_id, 'SPU_' || p_size AS spu_name,
                type_id::BIGINT AS category3_id, p_type AS category3_name, brand_id::BIGINT AS tm_id, p_brand AS tm_name
-        FROM parts WHERE p_partkey % 10 <> 0
+        FROM parts
         """,
     ),
     "user_records": (
@@ -324,6 +324,16 @@ ORACLE: dict[str, str] = {
     ),
     "read_dim": "SELECT p_partkey, p_name FROM part WHERE p_size IN (1, 5, 9)",
     "order_detail_enriched": _sql("SELECT * EXCLUDE (replay_id, arrived) FROM rich_details", "rich_details"),
+    "lookup_miss": _sql(
+        """
+        SELECT d.* EXCLUDE (replay_id, arrived, sku_id), CASE WHEN d.sku_num > 5 THEN d.sku_id ELSE -1 - d.sku_id END AS sku_id,
+               COALESCE(s.spu_id, 0)::BIGINT AS spu_id, s.spu_name, COALESCE(s.tm_id, 0) AS tm_id, s.tm_name,
+               COALESCE(s.category3_id, 0) AS category3_id, s.category3_name
+        FROM details d LEFT JOIN skus s ON s.p_partkey = d.sku_id AND d.sku_num > 5
+        """,
+        "details",
+        "skus",
+    ),
     "first_order_flag": _sql(
         """
         SELECT id, user_id, create_time, CASE WHEN row_number() OVER (PARTITION BY user_id ORDER BY create_time, id) = 1

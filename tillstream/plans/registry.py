@@ -208,6 +208,14 @@ def order_detail_enriched(spark: SparkSession, folder: str) -> DataFrame:
     return enrich_detail(e.details(), e.skus()).drop("arrived")
 
 
+@query("lookup_miss")
+def lookup_miss(spark: SparkSession, folder: str) -> DataFrame:
+    """All lines, those of small numbers with SKU ids that the dimension does not have."""
+    e = Entities(spark, folder)
+    known = F.when(F.col("sku_num") > 5, F.col("sku_id")).otherwise(-1 - F.col("sku_id"))
+    return enrich_detail(e.details().withColumn("sku_id", known), e.skus()).drop("arrived")
+
+
 @query("first_order_flag")
 def first_order_flag(spark: SparkSession, folder: str) -> DataFrame:
     flagged = flag_first_order(Entities(spark, folder).orders())
@@ -373,17 +381,17 @@ def dau_hour(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("order_amount")
 def order_amount(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.order_amount(Entities(spark, folder).split_wide(), SALES_DAY)
+    return reports.order_amount(Entities(spark, folder).split_wide(day=SALES_DAY), SALES_DAY)
 
 
 @query("order_amount_hour")
 def order_amount_hour(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.order_amount_hour(Entities(spark, folder).split_wide(), SALES_DAY)
+    return reports.order_amount_hour(Entities(spark, folder).split_wide(day=SALES_DAY), SALES_DAY)
 
 
 @query("realtime_total")
 def realtime_total(spark: SparkSession, folder: str) -> DataFrame:
-    wide = Entities(spark, folder).split_wide()
+    wide = Entities(spark, folder).split_wide(day=SALES_DAY)
     return reports.realtime_total(_dau(spark, folder, EVENTS_TO_SALES), wide, SALES_DAY)
 
 
