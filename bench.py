@@ -8,6 +8,7 @@ before the first one keeps the start of the JVM out of the figures.
 from __future__ import annotations
 
 import json
+import logging
 import os
 import sys
 import time
@@ -42,11 +43,15 @@ HEADLINES = [
     "stream_wide",
     "stream_dau",
     "stream_stats",
+    "stream_replayed_stats",
     "stream_first_order",
 ]
 
 
 def main() -> None:
+    # Streams log the time and the state of each batch.
+    logging.basicConfig(stream=sys.stderr, format="%(message)s", level=logging.WARNING)
+    logging.getLogger("tillstream").setLevel(logging.INFO)
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = os.environ.get("BENCH_QUERIES")

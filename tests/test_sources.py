@@ -7,7 +7,7 @@ from tillstream import schemas
 from tillstream.session import work_dir
 from tillstream.sources.keyed import KeyedTable, keys_of, upsert_latest
 from tillstream.sources.readers import jdbc_read_options, kafka_options, read_dau, read_dim, read_jdbc, read_stream, read_wide
-from tillstream.sources.writers import JDBC_WRITE, append_daily, append_exactly_once, kafka_sink_options, send_messages, write_jdbc
+from tillstream.sources.writers import JDBC_WRITE, append_daily, append_exactly_once, kafka_sink_options, send_messages, topic_sink, write_jdbc
 
 STATUS = schemas.rows("id bigint, status string")
 
@@ -63,6 +63,42 @@ def test_compaction_changes_nothing_but_the_files_read(keyed, table, rows):
     assert rows(keyed.read()) == [(1, "new"), (2, "new"), (3, "new")]
 
 
+def test_what_a_job_reads_stays_bounded(spark, table, rows, plan):
+    """100 batches: the folders and files that a read has to look at don't grow, and nothing is lost."""
+    keyed = KeyedTable(spark, work_dir(spark, "keyed"), STATUS, ["id"], buckets=4, every=10)
+    opened = []
+    for n in range(100):
+        keyed.tidy(n)
+        keyed.upsert(table("id bigint, status string", (n, "new"), (n // 2, f"v{n}")).coalesce(1), n, [])
+        if n % 10 == 8:
+            opened.append(len(keyed.read(before=n + 1).inputFiles()))
+    changes, states = (keyed._finished(kind) for kind in ("changes", "compacted"))
+    assert len(changes) <= 20 and len(states) <= 2
+    assert max(opened) <= 10 + 4  # changes and buckets
+    assert "PartitionFilters: [(NOT (_buckets" in plan(keyed.read(only=table("id bigint", (49,))))
+    expected = {n // 2: f"v{n}" for n in range(100)} | {n: "new" for n in range(50, 100)}
+    assert dict(rows(keyed.read())) == expected
+    # A batch that is run again sees the table as it was before it.
+    assert rows(keyed.read(before=99, only=table("id bigint", (49,), (99,)))) == [(49, "v98")]
+
+
+def test_another_number_of_buckets(spark, table, rows):
+    path = work_dir(spark, "keyed")
+    keyed = KeyedTable(spark, path, STATUS, ["id"], buckets=4)
+    keyed.upsert(table("id bigint, status string", *[(n, "a") for n in range(50)]), 0, [])
+    keyed.compact(before=1)
+    changed = KeyedTable(spark, path, STATUS, ["id"], buckets=7)
+    assert rows(changed.read(only=table("id bigint", (3,), (44,)))) == [(3, "a"), (44, "a")]
+
+
+def test_sums_expire_when_compacted(spark, table, rows):
+    keyed = KeyedTable(spark, work_dir(spark, "keyed"), STATUS, ["id"], every=2)
+    for n in range(3):
+        keyed.tidy(n, lambda: F.col("id") > 0)
+        keyed.upsert(table("id bigint, status string", (n, "a")), n, [])
+    assert rows(keyed.read()) == [(1, "a"), (2, "a")]
+
+
 def test_an_unfinished_write_is_not_read(keyed, table, rows, spark):
     keyed.upsert(table("id bigint, status string", (1, "a")), 0, [])
     option = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
@@ -115,6 +151,31 @@ def test_messages_by_topic(spark, table, rows):
     assert rows(spark.read.parquet(f"{path}/batch_id=*/topic=B"), "value") == [("2",)]
 
 
+def test_messages_are_sent_once(spark, table, rows):
+    """A batch that is run again leaves its files alone; one that was not finished does not show."""
+    path = work_dir(spark, "topics")
+    table("value string", ("half",)).write.parquet(f"{path}/_drafts/batch_id=0")
+    assert rows(spark.read.schema("value string").parquet(path)) == []
+    send_messages(table("value string", ("1",)), path, 0)
+    files = spark.read.parquet(path).inputFiles()
+    send_messages(table("value string", ("1",)), path, 0)
+    assert spark.read.parquet(path).inputFiles() == files and rows(spark.read.parquet(path), "value") == [("1",)]
+
+
+def test_daily_layout(spark, rows):
+    """A day is one folder; a batch that is run again replaces its part of each day."""
+    path = work_dir(spark, "daily")
+    for batch_id, rows_ in ((0, [(1, "a"), (2, "b")]), (1, [(3, "a")]), (1, [(4, "a")])):
+        append_daily(spark.createDataFrame(rows_, "x int, dt string"), path, batch_id)
+    assert rows(spark.read.parquet(path), "x", "dt") == [(1, "a"), (2, "b"), (4, "a")]
+    assert rows(spark.read.parquet(f"{path}/dt=a"), "x") == [(1,), (4,)]
+
+
+def test_topic_sink_reaches_the_broker_writer(spark, table):
+    with pytest.raises(Exception, match="(?i)kafka"):
+        topic_sink("h:9092")(table("topic string, value string", ("A", "1")), 0)
+
+
 def test_kafka_options():
     fresh = kafka_options("h:9092", ["A", "B"], "g")
     assert fresh == {

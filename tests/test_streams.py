@@ -197,7 +197,7 @@ def test_first_orders_over_batches_and_a_failure(spark, work, table, rows, monke
             raise RuntimeError("driver lost")
 
     monkeypatch.setattr(KeyedTable, "upsert", fail_once)
-    run = lambda: finish(jobs.order_info_job(messages.stream(), **tables, path=f"{work}/out", checkpoint=f"{work}/cp"), 300)
+    run = lambda: finish(jobs.order_info_job(messages.stream(), **tables, send=f"{work}/out", checkpoint=f"{work}/cp"), 300)
     with pytest.raises(Exception, match="driver lost"):
         run()
     run()
@@ -313,7 +313,7 @@ def test_last_write_wins_in_a_batch(spark, work, table, rows):
     tables = order_tables(spark, work, table)
     when = "2024-01-01 10:00:00"
     orders = topic("orders", order_message(1, 5, when, order_status="1001"), order_message(1, 5, when, order_status="1002"))
-    finish(jobs.order_info_job(orders, **tables, path=f"{work}/out", checkpoint=f"{work}/cp"), 300)
+    finish(jobs.order_info_job(orders, **tables, send=f"{work}/out", checkpoint=f"{work}/cp"), 300)
     assert rows(tables["orders"].read(), "id", "order_status", "if_first_order") == [(1, "1002", "1")]
     flags = [json.loads(r.value)["if_first_order"] for r in spark.read.parquet(f"{work}/out").collect()]
     assert flags == ["1"]

@@ -9,6 +9,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +34,7 @@ from tillstream.plans.entities import AS_OF, Entities
 from tillstream.session import tune, work_dir
 from tillstream.sources.keyed import KeyedTable, upsert_latest
 from tillstream.sources.readers import MESSAGE, read_dau, read_dim, read_log_lines, read_stream, read_wide
-from tillstream.sources.writers import append_daily, append_exactly_once, finish, send_messages, write_stream
+from tillstream.sources.writers import append_daily, append_exactly_once, finish, folder_sink, send_messages, write_stream
 from tillstream.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -406,6 +407,20 @@ def daily_index(spark: SparkSession, folder: str) -> DataFrame:
     return read_dau(spark, path).groupBy("dt").agg(F.count("*").alias("total"))
 
 
+@query("append_daily_wide")
+def daily_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """Split wide rows of two batches stored by day, the second twice, and read back: paid per day."""
+    path = work_dir(spark, "daily_wide")
+    wide = Entities(spark, folder).split_wide()
+    halves = [F.col("order_id") % 2 == 0, F.col("order_id") % 2 != 0]
+    for batch_id in (0, 1, 1):
+        append_daily(wide.where(halves[batch_id]), path, batch_id)
+    stored = read_wide(spark, path)
+    return stored.groupBy("dt").agg(
+        F.count("*").alias("lines"), money_sum(F.col("final_detail_amount")).cast("double").alias("paid")
+    )
+
+
 @query("append_exactly_once")
 def replayed_append(spark: SparkSession, folder: str) -> DataFrame:
     """Statistics of two batches; the second is stored twice and counts once."""
@@ -480,6 +495,37 @@ def stream_stat(spark: SparkSession, folder: str) -> DataFrame:
     return stored.groupBy("id", "name").agg(money_sum(F.col("amount")).cast("double").alias("amount"))
 
 
+@query("stream_replayed_stats")
+def stream_replayed_stat(spark: SparkSession, folder: str) -> DataFrame:
+    """Wide messages sent on by a job that fails once after it has sent a batch; the statistics count each once."""
+    work = work_dir(spark, "stream_replayed_stat")
+    wide = Entities(spark, folder, spread=True).wide(sku=True)
+    messages = _follow(spark, f"{work}/messages", to_messages(wide, columns=schemas.ORDER_WIDE.names), files=4)
+    send, failed = folder_sink(f"{work}/sent"), []
+
+    def fail_once(df: DataFrame, batch_id: int) -> None:
+        send(df, batch_id)
+        if not failed:
+            failed.append(batch_id)
+            raise RuntimeError(f"stopped after batch {batch_id}")
+
+    def statistics() -> None:
+        sent = read_stream(spark, "parquet", {}, f"{work}/sent/batch_id=*", MESSAGE)
+        finish(jobs.stat_job(sent, "category", f"{work}/stat", f"{work}/cp2", as_coded=True))
+
+    def passed_on(df: DataFrame) -> DataFrame:
+        return df.select("key", "value")
+
+    try:
+        finish(jobs.message_job(messages, passed_on, fail_once, f"{work}/cp1"))
+    except StreamingQueryException:
+        statistics()
+    finish(jobs.message_job(messages, passed_on, fail_once, f"{work}/cp1"))
+    statistics()
+    stored = spark.read.parquet(f"{work}/stat")
+    return stored.groupBy("id", "name").agg(money_sum(F.col("amount")).cast("double").alias("amount"))
+
+
 @query("stream_stat_windowed")
 def stream_stat_windowed(spark: SparkSession, folder: str) -> DataFrame:
     """Amounts per window of arrival time on a stream: each window is written when the watermark has passed it."""

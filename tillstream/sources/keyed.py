@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstream.operators.dws import first_seen
+from tillstream.sources.files import delete, finished_batches
 
 
 def _newest_first(columns: Sequence[str]) -> list[Column]:
@@ -35,10 +36,25 @@ class KeyedTable:
     keeps a replayed batch from seeing what it wrote itself. One job writes a
     table, and table and checkpoint belong together: batch numbers start again
     with a new checkpoint.
+
+    ``tidy`` compacts when ``every`` changes have come together. The compacted rows
+    lie in ``buckets`` folders by a hash of the key, and a read of some keys opens
+    the folders of these keys only, so a batch reads the changes since the last
+    compaction and its share of the state, however long the job runs. A table whose
+    number of buckets was changed is read whole until the next compaction.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: T.StructType,
+        keys: Sequence[str],
+        buckets: int = 64,
+        every: int = 50,
+    ):
         self.spark, self.path, self.schema, self.keys = spark, path.rstrip("/"), schema, list(keys)
+        self.buckets, self.every = buckets, every
 
     def upsert(self, rows: DataFrame, batch_id: int, version: Sequence[str]) -> None:
         """Write one batch; of several rows with one key the greatest ``version`` stays: the last write wins.
@@ -53,12 +69,15 @@ class KeyedTable:
     def read(self, before: int | None = None, only: DataFrame | None = None) -> DataFrame:
         """The latest row of each key, of all batches or of those below ``before``.
 
-        ``only`` holds keys: other rows are dropped before the latest are looked for.
+        ``only`` holds distinct keys: folders and rows of other keys are left out.
         """
         base, changes = self._batches(before)
         rows = self._rows("changes", changes)
         if base:
-            rows = self._rows("compacted", base).unionByName(rows)
+            state = self._rows("compacted", base, ["_buckets", "_bucket"])
+            if only is not None:
+                state = state.where((F.col("_buckets") != self.buckets) | F.col("_bucket").isin(self._touched(only)))
+            rows = state.drop("_buckets", "_bucket").unionByName(rows)
         if only is not None:
             rows = rows.join(only, self.keys, "left_semi")
         return first_seen(rows, self.keys, _newest_first(["batch_id"])).select(*self.schema.names)
@@ -66,24 +85,58 @@ class KeyedTable:
     def compact(self, before: int, keep: Column | None = None) -> None:
         """Store the table as of batch ``before``, so that later reads need only newer changes.
 
-        ``keep`` drops expired rows. Change folders stay until an operator removes them.
+        ``keep`` drops expired rows. A state that is there already stays as it is:
+        others may be reading it.
         """
+        if before - 1 in self._finished("compacted"):
+            return
         rows = self.read(before)
         rows = rows if keep is None else rows.where(keep)
-        _write(rows, f"{self.path}/compacted/batch_id={before - 1}")
+        rows = rows.withColumns({"_buckets": F.lit(self.buckets), "_bucket": self._bucket()})
+        rows = rows.repartition(self.buckets, "_bucket")
+        _write(rows, f"{self.path}/compacted/batch_id={before - 1}", ["_buckets", "_bucket"])
+
+    def tidy(self, batch_id: int, keep: Callable[[], Column] | None = None) -> None:
+        """Called by the job that writes the table, before it writes ``batch_id``: compact when it is time.
+
+        What nobody needs any more is removed: batches below ``batch_id`` can't be
+        replayed, and readers of the state before the last one have had the time of
+        ``every`` batches to end.
+        """
+        _, changes = self._batches(batch_id)
+        if len(changes) < self.every:
+            return
+        self.compact(batch_id, keep and keep())
+        *old, oldest, _ = [-1, *self._finished("compacted")]
+        delete(self.spark, [f"{self.path}/compacted/batch_id={n}" for n in old if n >= 0])
+        covered = [n for n in self._finished("changes") if n <= oldest]
+        delete(self.spark, [f"{self.path}/changes/batch_id={n}" for n in covered])
+
+    def _bucket(self) -> Column:
+        keys = [F.col(k).cast(self.schema[k].dataType) for k in self.keys]
+        return F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
+
+    def _touched(self, only: DataFrame) -> list[int]:
+        """The buckets of some keys: at most ``buckets`` numbers."""
+        return [r[0] for r in only.select(self._bucket()).distinct().collect()]
+
+    def _finished(self, kind: str) -> list[int]:
+        return finished_batches(self.spark, f"{self.path}/{kind}")
 
     def _batches(self, before: int | None) -> tuple[list[int], list[int]]:
         """The newest compacted state below ``before``, and the changes since."""
 
         def finished(kind):
-            return [n for n in _finished_batches(self.spark, f"{self.path}/{kind}") if before is None or n < before]
+            return [n for n in self._finished(kind) if before is None or n < before]
 
-        base = finished("compacted")[-1:]
-        return base, [n for n in finished("changes") if not base or n > base[0]]
+        # Changes first: a state that is compacted meanwhile has them too.
+        changes, base = finished("changes"), finished("compacted")[-1:]
+        return base, [n for n in changes if not base or n > base[0]]
 
-    def _rows(self, kind: str, batches: list[int]) -> DataFrame:
-        """One scan over the folders of some batches; the folder's name gives ``batch_id``."""
-        schema = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
+    def _rows(self, kind: str, batches: list[int], folders: Sequence[str] = ()) -> DataFrame:
+        """One scan over the folders of some batches; the folders' names give ``batch_id`` and ``folders``."""
+        extra = [T.StructField("batch_id", T.LongType()), *[T.StructField(c, T.IntegerType()) for c in folders]]
+        schema = T.StructType([*self.schema.fields, *extra])
         if not batches:
             return self.spark.createDataFrame([], schema)
         root = f"{self.path}/{kind}"
@@ -91,21 +144,7 @@ class KeyedTable:
         return reader.parquet(*[f"{root}/batch_id={n}" for n in batches])
 
 
-def _write(rows: DataFrame, path: str) -> None:
+def _write(rows: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     """Replace a folder; its success file says that all of it is there."""
     marked = rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
-    marked.mode("overwrite").parquet(path)
-
-
-def _finished_batches(spark: SparkSession, folder: str) -> list[int]:
-    """Numbers of the ``batch_id=N`` folders whose write was committed."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(path):
-        return []
-    names = [s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()]
-    numbers = [int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id=")]
-    return sorted(
-        n for n in numbers if files.exists(jvm.org.apache.hadoop.fs.Path(f"{folder}/batch_id={n}/_SUCCESS"))
-    )
+    marked.option("partitionOverwriteMode", "static").mode("overwrite").partitionBy(*by).parquet(path)

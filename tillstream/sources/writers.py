@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import logging
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.session import rocksdb_state
+from tillstream.sources.files import exists, move
+
+Send = Callable[[DataFrame, int], None]
+log = logging.getLogger(__name__)
 
 ADAPTIVE = "spark.sql.adaptive.enabled"
 
@@ -15,7 +21,7 @@ ADAPTIVE = "spark.sql.adaptive.enabled"
 JDBC_WRITE = {"batchsize": "100", "isolationLevel": "NONE"}
 
 
-def append_exactly_once(df: DataFrame, path: str, batch_id: int, by: Sequence[str] = ()) -> None:
+def append_exactly_once(df: DataFrame, path: str, batch_id: int) -> None:
     """Add the rows of one micro-batch.
 
     The rows and the fact that the batch is done are one thing: the folder
@@ -23,21 +29,49 @@ def append_exactly_once(df: DataFrame, path: str, batch_id: int, by: Sequence[st
     is stored once. An empty batch adds no row. (It is not skipped here: asking a
     stateful batch whether it is empty would run its state twice.)
     """
-    df.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/batch_id={batch_id}")
+    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
 def append_daily(df: DataFrame, path: str, batch_id: int) -> None:
-    """Add rows to the folder of their own day.
+    """Add rows to the folder of their own day, ``dt=D/batch_id=N``, so that a report of a day lists one folder.
 
     Rows are brought together by day, so that a day is not cut into one small file
-    per task; adaptive execution splits a day that is too large for one task.
+    per task; adaptive execution splits a day that is too large for one task. A
+    batch that is run again has the same days, and replaces its own folder in each.
     """
-    append_exactly_once(df.hint("rebalance", "dt"), path, batch_id, by=["dt"])
+    rows = df.withColumn("batch_id", F.lit(batch_id)).hint("rebalance", "dt")
+    writer = rows.write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
+    writer.partitionBy("dt", "batch_id").parquet(path)
 
 
 def send_messages(messages: DataFrame, path: str, batch_id: int) -> None:
-    """Write one batch of messages to a folder that a file stream can read, by topic where there is one."""
-    append_exactly_once(messages, path, batch_id, by=["topic"] if "topic" in messages.columns else [])
+    """Write one batch of messages to a folder that a file stream can read, by topic where there is one.
+
+    A stream that follows the folder takes every new file as new messages. So a
+    batch shows up whole, by a rename, and one that has been sent is not sent again
+    when it is run again after a failure.
+    """
+    spark, folder = messages.sparkSession, f"{path}/batch_id={batch_id}"
+    if exists(spark, folder):
+        return
+    draft = f"{path}/_drafts/batch_id={batch_id}"
+    by = ["topic"] if "topic" in messages.columns else []
+    messages.write.option("partitionOverwriteMode", "static").mode("overwrite").partitionBy(*by).parquet(draft)
+    move(spark, draft, folder)
+
+
+def folder_sink(path: str) -> Send:
+    """Messages of a job go to a folder."""
+    return lambda messages, batch_id: send_messages(messages, path, batch_id)
+
+
+def topic_sink(servers: str, topic: str | None = None) -> Send:
+    """Messages of a job go to a broker, at least once: a batch that is run again sends them again.
+
+    Every table that reads them keeps the last write of a key, so only statistics
+    need to know; ``folder_sink`` sends each message once.
+    """
+    return lambda messages, batch_id: send_to_kafka(messages, servers, topic)
 
 
 def send_to_kafka(messages: DataFrame, servers: str, topic: str | None = None) -> None:
@@ -61,7 +95,7 @@ def write_jdbc(
     df.write.format("jdbc").options(**options).mode(mode).save()
 
 
-def _adaptive(sink: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+def _adaptive(sink: Send) -> Send:
     """Run a micro-batch function with adaptive execution, which Spark turns off for streams.
 
     The stateful part of the batch is planned before the function is called; the
@@ -105,10 +139,16 @@ def write_stream(
 
 
 def finish(query: StreamingQuery, seconds: int | None = None) -> StreamingQuery:
-    """Wait for a query that ends by itself, as long as it takes; with ``seconds``, stop it and fail after them."""
+    """Wait for a query that ends by itself, as long as it takes; with ``seconds``, stop it and fail after them.
+
+    The time and the rows of state of its last batches go to the log.
+    """
     if seconds is None:
         query.awaitTermination()
     elif not query.awaitTermination(seconds):
         query.stop()
         raise TimeoutError(f"stream {query.name or query.id} did not end in {seconds} s")
+    for batch in query.recentProgress:
+        state = sum(operator["numRowsTotal"] for operator in batch["stateOperators"])
+        log.info("batch %s: %s ms, %s rows in, %s rows of state", batch["batchId"], batch["batchDuration"], batch["numInputRows"], state)
     return query

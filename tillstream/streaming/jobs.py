@@ -2,7 +2,8 @@
 
 Each job is one streaming query whose checkpoint carries offsets and state. Its
 ``foreachBatch`` function writes folders named by the batch, so that a batch which
-is run again after a failure leaves the same result.
+is run again after a failure leaves the same result. Messages go to a folder, or to
+what the caller gives in its place, such as ``topic_sink``.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -31,7 +32,7 @@ from tillstream.operators.dws import first_arrived, first_seen, join_orders, ord
 from tillstream.operators.ods import parse_records, to_messages
 from tillstream.sources.keyed import KeyedTable, keys_of
 from tillstream.sources.readers import ARRIVAL
-from tillstream.sources.writers import append_daily, append_exactly_once, send_messages, write_stream
+from tillstream.sources.writers import Send, append_daily, append_exactly_once, folder_sink, write_stream
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -39,6 +40,10 @@ DEDUP_LIFE = "24 hours"
 SPLIT_LIFE = "1 hour"
 
 
+def _sink(send: str | Send) -> Send:
+    return send if callable(send) else folder_sink(send)
+
+
 @contextmanager
 def _reused(df: DataFrame):
     """One batch that several outputs read."""
@@ -54,9 +59,11 @@ def _arrived(batch: DataFrame) -> DataFrame:
     return batch if ARRIVAL in batch.columns else batch.withColumn(ARRIVAL, F.monotonically_increasing_id())
 
 
-def message_job(messages: DataFrame, route: Transform, path: str, checkpoint: str, **run) -> StreamingQuery:
-    """Route or reshape messages and write them to ``path`` by topic: the log and change-record routers."""
-    return write_stream(route(messages), lambda df, n: send_messages(df, path, n), checkpoint, **run)
+def message_job(
+    messages: DataFrame, route: Transform, send: str | Send, checkpoint: str, **run
+) -> StreamingQuery:
+    """Route or reshape messages and send them on by topic: the log and change-record routers."""
+    return write_stream(route(messages), _sink(send), checkpoint, **run)
 
 
 def dim_job(
@@ -68,6 +75,7 @@ def dim_job(
         with _reused(_arrived(batch).select("value", ARRIVAL)) as messages:
             if messages.isEmpty():
                 return
+            table.tidy(n)
             records = parse_records(messages, schema)
             last = first_seen(records, table.keys, [F.col(ARRIVAL).desc()]).drop(ARRIVAL)
             table.upsert(last if build is None else build(last), n, [])
@@ -81,7 +89,7 @@ def order_info_job(
     orders: KeyedTable,
     province: KeyedTable,
     user: KeyedTable,
-    path: str,
+    send: str | Send,
     checkpoint: str,
     **run,
 ) -> StreamingQuery:
@@ -92,19 +100,21 @@ def order_info_job(
         with _reused(add_create_parts(latest_orders(parsed, ARRIVAL).drop(ARRIVAL))) as records:
             if records.isEmpty():
                 return
+            orders.tidy(n)
+            user_state.tidy(n)
             seen = user_state.read(before=n, only=keys_of(records, "user_id", user_state))
             users = user.read(only=keys_of(records, "user_id", user))
             rich = enrich_order(flag_first_order(records, seen), province.read(), users)
             with _reused(rich.select(*schemas.ORDER_INFO.names)) as facts:
                 orders.upsert(facts, n, [])
-                send_messages(to_messages(facts, key="id"), path, n)
+                _sink(send)(to_messages(facts, key="id"), n)
                 user_state.upsert(user_state_updates(facts), n, [])
 
     return write_stream(messages, each, checkpoint, **run)
 
 
 def order_detail_job(
-    messages: DataFrame, sku: KeyedTable, details: KeyedTable, path: str, checkpoint: str, **run
+    messages: DataFrame, sku: KeyedTable, details: KeyedTable, send: str | Send, checkpoint: str, **run
 ) -> StreamingQuery:
     """Order-line facts with the attributes of their SKU."""
 
@@ -113,10 +123,11 @@ def order_detail_job(
         with _reused(first_seen(parsed, ["id"], [F.col(ARRIVAL).desc()]).drop(ARRIVAL)) as lines:
             if lines.isEmpty():
                 return
+            details.tidy(n)
             rich = enrich_detail(lines, sku.read(only=keys_of(lines, "sku_id", sku)))
             with _reused(rich.select(*schemas.ORDER_DETAIL.names)) as facts:
                 details.upsert(facts, n, [])
-                send_messages(to_messages(facts, key="id"), path, n)
+                _sink(send)(to_messages(facts, key="id"), n)
 
     return write_stream(messages, each, checkpoint, **run)
 
@@ -136,20 +147,27 @@ def wide_stream(
     return first_arrived(joined, ["order_detail_id"], within_watermark, salts)
 
 
+def _alive(oldest, life: str) -> Column:
+    """Sums that lines from ``oldest`` on may still need."""
+    return F.col("last_time") + F.expr(f"INTERVAL {life}") >= F.lit(oldest)
+
+
 def order_wide_job(
     wide: DataFrame,
     totals: KeyedTable,
     path: str,
     checkpoint: str,
-    messages: str | None = None,
+    messages: str | Send | None = None,
     life: str = SPLIT_LIFE,
+    late: str = "1 hour",
     daily: bool = True,
     **run,
 ) -> StreamingQuery:
     """Split the paid totals over the lines of a wide stream and store the rows, by day with ``daily``.
 
     The sums of an order whose lines are still coming in are kept in ``totals`` and
-    count for ``life`` after the last line.
+    count for ``life`` after the last line. They are dropped when they are older than
+    that and ``late``, by which a batch may lie behind an earlier one.
     """
     store = append_daily if daily else append_exactly_once
 
@@ -157,6 +175,7 @@ def order_wide_job(
         with _reused(batch) as batch:
             if batch.isEmpty():
                 return
+            totals.tidy(n, lambda: _alive(batch.agg(F.min("event_time")).first()[0], f"{life} {late}"))
             known = totals.read(before=n, only=keys_of(batch, "order_id", totals))
             since = batch.groupBy("order_id").agg(F.min("event_time").alias("_since"))
             alive = known.join(since, "order_id").where(
@@ -165,7 +184,7 @@ def order_wide_job(
             with _reused(alive.drop("_since")) as prior, _reused(split_amount(batch, prior=prior)) as rows:
                 store(rows.drop("event_time"), path, n)
                 if messages:
-                    send_messages(to_messages(rows, columns=schemas.ORDER_WIDE.names), messages, n)
+                    _sink(messages)(to_messages(rows, columns=schemas.ORDER_WIDE.names), n)
                 totals.upsert(order_totals(rows, prior), n, [])
 
     return write_stream(wide, each, checkpoint, **run)
