@@ -443,9 +443,6 @@ ORACLE: dict[str, str] = {
         f"SELECT order_id, COUNT(*) AS lines, {_money('amount')}::DOUBLE AS paid FROM met_shares GROUP BY order_id",
         "met_shares",
     ),
-    "append_daily_wide": _sql(
-        f"SELECT dt, COUNT(*) AS lines, {_money('amount')}::DOUBLE AS paid FROM shares GROUP BY dt", "shares"
-    ),
     "stream_dau": _sql("SELECT dt, mid, uid FROM dau", "dau"),
     "resume": _sql("SELECT dt, mid, uid FROM dau", "dau"),
     "stream_stat_windowed": _sql(
