@@ -16,8 +16,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of near-duplicates."""
-    return minhash.deduplicated(docs)
+    """Keeps the document with the smallest doc_id of each group of near-duplicates: five words, similarity 0.8 or more."""
+    return minhash.deduplicated(docs, threshold=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

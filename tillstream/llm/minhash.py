@@ -35,6 +35,8 @@ from tillstream.llm.packing import mixed
 from tillstream.llm.tables import kept, read_table
 
 REGISTERS, ROWS, WIDTH = 144, 6, 5
+#: The most that a pair exactly at the threshold may share no band with.
+MISS = 2e-5
 #: Sketch parameters: base, rate and the largest value less 1.
 BASE, RATE, LIMIT = 1.001, 20.0, 2**16 - 2
 #: Odd multipliers, one hash function per register.
@@ -69,11 +71,19 @@ def sketch(elements: np.ndarray) -> np.ndarray:
     return np.clip(np.floor(1 - np.log(smallest) / math.log(BASE)), 0, LIMIT + 1).astype("<u2")
 
 
-def band_keys(registers: np.ndarray) -> np.ndarray:
-    """A hash of each band of a sketch, which differs between bands."""
-    bands = registers.astype(np.uint64).reshape(-1, ROWS)
+def band_rows(threshold: int) -> int:
+    """The most registers a band may have so that a pair exactly at ``threshold`` misses all bands with ``MISS`` at most."""
+    for rows in range(REGISTERS, 1, -1):
+        if (1 - (threshold / 100) ** rows) ** (REGISTERS // rows) <= MISS:
+            return rows
+    return 1
+
+
+def band_keys(registers: np.ndarray, rows: int = ROWS) -> np.ndarray:
+    """A hash of each band of ``rows`` registers of a sketch, which differs between bands; an incomplete last one is left out."""
+    bands = registers[: len(registers) // rows * rows].astype(np.uint64).reshape(-1, rows)
     key = np.arange(1, len(bands) + 1, dtype=np.uint64)
-    for i in range(ROWS):
+    for i in range(rows):
         key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + bands[:, i])
     return key.view(np.int64)
 
@@ -104,7 +114,7 @@ def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np
     return (low + high) / 2
 
 
-def sketched(docs: DataFrame) -> DataFrame:
+def sketched(docs: DataFrame, band: int = ROWS) -> DataFrame:
     """(doc_id, n, node, registers, keys): size, 128-bit fingerprint, sketch and band keys of each document's set."""
     names = ["doc_id", "n", "node", "registers", "keys"]
 
@@ -124,7 +134,7 @@ def sketched(docs: DataFrame) -> DataFrame:
                 prints.append(mark)
                 if mark is not None and mark not in done:
                     own = sketch(elements)
-                    done[mark] = (own.tobytes(), band_keys(own))
+                    done[mark] = (own.tobytes(), band_keys(own, band))
                 own_registers, own_keys = done[mark] if mark is not None else (None, None)
                 registers.append(own_registers)
                 keys.append(own_keys)
@@ -254,10 +264,11 @@ def classes(docs: DataFrame, threshold: int = 85) -> DataFrame:
     compared once. An empty table gives an empty result. Other columns are not
     read.
 
-    A pair exactly at the threshold shares no band with probability 1.2e-5; its
-    estimate puts it out if it is 4 standard deviations off.
+    The rows of a band follow from the threshold: a pair exactly at it shares no
+    band with probability 1.2e-5 at 85 (24 bands of 6) and 1.5e-5 at 80 (28 of
+    5); its estimate puts it out if it is 4 standard deviations off.
     """
-    rows = sketched(docs)
+    rows = sketched(docs, band_rows(threshold))
     able = rows.where(F.col("doc_id").isNotNull() & F.col("node").isNotNull())
     sets_of = able.groupBy("node").agg(F.min("doc_id").alias("rep"))
     reps = able.join(sets_of, "node").where("doc_id = rep").dropDuplicates(["node"])
