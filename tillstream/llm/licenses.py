@@ -1,11 +1,11 @@
 """Operator 3: find licence statements by a positional index of their rare words.
 
 Built from SQL functions alone. The words of a text that occur in any licence
-template are looked up with their positions. For each template, the rarest of
-its words (by document frequency over the whole table) that the file has is
-the anchor: each of its places proposes where the template would begin. The
-template's other postings are intersected by relative position, and the
-statement counts if its mandatory key phrase stands at its place.
+template are looked up with their positions. A statement counts only if its
+mandatory key phrase stands at its place, so the rarest word of the key phrase
+(by document frequency over the whole table) is the anchor: each of its places
+proposes where the template would begin, and no statement begins elsewhere. The
+template's other words are compared by relative position.
 """
 
 from __future__ import annotations
@@ -83,6 +83,11 @@ def word_array(text: Column) -> Column:
 COMMON = frozenset("the to of in and or with without a an any for is are be this that it under by into 0 1 2 3 4 v".split())
 
 
+def proposing(template: Template) -> list[str]:
+    """The words of the key phrase that can propose a place: those that are not common, or all if there are no others."""
+    return [w for w in template.key_words if w not in COMMON] or template.key_words
+
+
 def vocabulary(templates: tuple[Template, ...]) -> list[str]:
     return sorted({w for t in templates for w in t.words})
 
@@ -91,7 +96,7 @@ def indexed(docs: DataFrame, templates: tuple[Template, ...]) -> DataFrame:
     """(doc_id, n_words, seen, words): ``seen`` has the template words of the file, and ``words`` all of its words if
     one of them can propose a place, else null."""
     every = vocabulary(templates)
-    rare = F.array(*[F.lit(w) for w in every if w not in COMMON])
+    rare = F.array(*[F.lit(w) for w in sorted({w for t in templates for w in proposing(t)})])
     # An exploded array of one is read, not computed again, by what follows.
     rows = docs.select("doc_id", F.explode(F.array(word_array(F.col("text")))).alias("words"))
     rows = rows.select(
@@ -115,17 +120,16 @@ def rarity(rows: DataFrame, templates: tuple[Template, ...]) -> dict[str, float]
     return {w: math.log((total + 1) / (counts.get(w, 0) + 0.5)) + 0.01 for w in vocabulary(templates)}
 
 
+def anchor(template: Template, idf: dict[str, float]) -> str:
+    """The rarest word of the key phrase that can propose a place."""
+    return max(proposing(template), key=lambda w: (idf[w], w))
+
+
 def proposals(template: Template, idf: dict[str, float]) -> Column:
-    """Where the template would begin, by each place of the anchor: its rarest word that the file has."""
-    words = template.words
-    order = sorted({w for w in words if w not in COMMON}, key=lambda w: (-idf[w], w))
-    starts = F.array().cast("array<int>")
-    for word in reversed(order):
-        places = [i for i, w in enumerate(words) if w == word]
-        here = F.filter("hits", lambda h: h["w"] == word)
-        from_here = F.flatten(F.transform(here, lambda h: F.array(*[h["i"] - p for p in places])))
-        starts = F.when(F.array_contains("seen", word), from_here).otherwise(starts)
-    return F.array_sort(F.array_distinct(starts))
+    """Where the template would begin, by each place of the anchor, in order."""
+    word = anchor(template, idf)
+    place = template.key_at + template.key_words.index(word)
+    return F.transform(F.filter("hits", lambda h: h["w"] == word), lambda h: h["i"] - place)
 
 
 def standing(template: Template, idf: dict[str, float], starts: Column) -> Column:
@@ -173,10 +177,10 @@ def scan(
     every = (*counted, *templates)
     rows = indexed(docs, every)
     idf = rarity(rows, every)
-    rare = [w for w in vocabulary(every) if w not in COMMON]
+    anchors = sorted({anchor(t, idf) for t in every})
     numbers = F.sequence(F.lit(0), F.size("words") - 1)
     hits = F.transform(
-        F.filter(numbers, lambda i: F.get("words", i).isin(rare)),
+        F.filter(numbers, lambda i: F.get("words", i).isin(anchors)),
         lambda i: F.struct(i.alias("i"), F.get("words", i).alias("w")),
     )
     none = F.array().cast("array<struct<i:int,w:string>>")
