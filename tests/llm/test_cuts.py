@@ -1,0 +1,16 @@
+"""Cuts within rows of the same id and text."""
+
+from test_mixing import SCHEMA
+
+from tillstream.llm.mixing import allocate, mix
+
+
+def test_equal_rows_stay_within_the_budget(spark):
+    rows = [(7, "a b c d e f g h i j", "s")] * 5 + [(8, "a b c", "t")] * 2 + [(None, "k l m n", "u")] * 40
+    df = spark.createDataFrame([(i, t, s, "", 0, "n") for i, t, s in rows], SCHEMA)
+    found = allocate(df, share=0.7).collect()
+    for i, k in ((7, 5), (8, 2), (None, 40)):
+        own = [r for r in found if r.doc_id == i]
+        assert len(own) == k and 0 <= int(own[0].target + 1e-6) - sum(r.taken for r in own) < k
+    mixed = sum(len(r.text.split()) for r in mix(df, share=0.7).collect())
+    assert mixed == sum(r.taken for r in found)

@@ -82,13 +82,12 @@ def cuts(sized: DataFrame, goals: DataFrame, bits: int = 12) -> DataFrame:
         "left", F.floor(F.col("target") - F.col("epochs") * F.col("total")).cast("long")
     )
     goals = kept(goals, "goals")
-    spread = sized.withColumn("bucket", hash_bucket(F.col("place.key"), bits))
-    summed = running_total(spread, ["src"], "bucket", ["place", "size"], "size", "before")
+    # All rows of a place at once: the cut shares what is left among them, also those behind the budget.
+    places = sized.groupBy("src", "place", "size").agg(F.count("*").alias("n"))
+    spread = places.withColumn("bucket", hash_bucket(F.col("place.key"), bits)).withColumn("words", F.col("size") * F.col("n"))
+    summed = running_total(spread, ["src"], "bucket", ["place", "size"], "words", "before")
     inside = joined_small(summed, goals.select("src", "left"), "src").where(F.col("before") < F.col("left"))
-    ends = inside.groupBy("src", "place").agg(
-        F.min("before").alias("before"), F.count("*").alias("n"), F.first("left").alias("left")
-    )
-    last = ends.groupBy("src").agg(F.max(F.struct("place", "before", "n", "left")).alias("end"))
+    last = inside.groupBy("src").agg(F.max(F.struct("place", "before", "n", "left")).alias("end"))
     at_cut = F.floor((F.col("end.left") - F.col("end.before")) / F.col("end.n")).cast("long")
     last = last.select("src", F.col("end.place").alias("cut"), at_cut.alias("at_cut"))
     return kept(goals.join(last, "src", "left").drop("left"), "cuts")
