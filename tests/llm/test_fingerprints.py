@@ -1,0 +1,116 @@
+"""Document fingerprints against the exact texts and the exact shares of shingles."""
+
+import hashlib
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tillstream.llm.fingerprints import BINS, BITS, edited, fingerprinted, likeness, op11_fingerprints, printed
+
+FOLDER = "/root/testdata/sf0.01"
+SCHEMA = "doc_id long, text string, node string, place int, fingerprint string"
+
+
+def shingle_set(text):
+    words = [w for w in re.split(r"[\x20\x09-\x0d]+", text.lower()) if w]
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or ({tuple(words)} if words else set())
+
+
+def jaccard(a, b):
+    a, b = shingle_set(a), shingle_set(b)
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def plain(rows):
+    """(doc_id, text, edited text, next text) with repeated rows one after the other."""
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), hashlib.sha256((r[1] or "").encode()).hexdigest()))
+    texts = [(i, t or "") for i, t in order]
+    out = []
+    for k, (i, text) in enumerate(texts):
+        after, half = texts[(k + 1) % len(texts)][1], len(text) // 2
+        out.append((i, text, text[: len(text) - half] + after[:half], after))
+    return out
+
+
+def test_whole_table(spark, plan):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    df = op11_fingerprints(spark, FOLDER)
+    assert "Python" not in plan(df) and "Arrow" not in plan(df) and "Pandas" not in plan(df)
+    found = {r.doc_id: r for r in df.collect()}
+    wanted = plain(rows)
+    assert len(found) == len(wanted)
+    errors, prints = [], {}
+    for i, text, changed, after in wanted:
+        r = found[i]
+        assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(changed.encode()).hexdigest())
+        assert len(r.fingerprint) in (0, BINS * BITS // 4) and prints.setdefault(text, r.fingerprint) == r.fingerprint
+        errors += [r.near_edited - jaccard(text, changed), r.near_next - jaccard(text, after)]
+    # An estimate from 128 bins has a standard error of 0.044 at most.
+    assert abs(np.mean(errors)) < 0.01 and np.std(errors) < 0.045 and max(map(abs, errors)) < 0.25
+
+
+def test_equal_texts_and_the_share_of_chance(spark):
+    """Unrelated texts of any length are not alike; copies in other rows, with more columns, are."""
+    rng = np.random.default_rng(1)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 10**9, n)) for n in (1, 3, 5, 6, 9, 20, 60, 150, 400, 3000) for _ in range(6)]
+    df = spark.createDataFrame([(i, t, "x", 1, "y") for i, t in enumerate(texts * 2)], SCHEMA).repartition(7)
+    marks = [r.f for r in fingerprinted(df, "text", "f").orderBy("doc_id").collect()]
+    assert marks[: len(texts)] == marks[len(texts) :] and len(set(map(tuple, marks))) == len(texts)
+    schema = "i long, j long, a array<bigint>, b array<bigint>"
+    pairs = [(i, j, marks[i], marks[j]) for i in range(len(texts)) for j in range(i + 1)]
+    near = spark.createDataFrame(pairs, schema).select("i", "j", likeness(F.col("a"), F.col("b")).alias("s")).collect()
+    assert all(r.s == 1 for r in near if r.i == r.j)
+    apart = [r.s for r in near if r.i != r.j]
+    assert np.mean(apart) < 0.003 and max(apart) < 0.05
+
+
+def test_estimates_are_not_biased_for_short_texts(spark):
+    """Empty bins take values of others; the estimate stays right on average."""
+    rng = np.random.default_rng(2)
+    rows, true = [], []
+    for k in range(300):
+        words = [f"a{k}w{i}" for i in range(int(rng.integers(12, 60)))]
+        other = words[: len(words) // 2] + [f"b{k}w{i}" for i in range(len(words) // 3)]
+        rows.append((" ".join(words), " ".join(other)))
+        true.append(jaccard(*rows[-1]))
+    df = fingerprinted(fingerprinted(spark.createDataFrame(rows, "x string, y string"), "x", "a"), "y", "b")
+    found = [r.s for r in df.select(likeness(F.col("a"), F.col("b")).alias("s")).collect()]
+    assert abs(np.mean(found) - np.mean(true)) < 0.01
+
+
+def odd_rows():
+    long = " ".join(f"x{i}" for i in range(20_000))
+    return [
+        (7, "one two three four five six"), (7, "one two three four five six"), (7, "one two three four five six"),
+        (7, "another text"), (3, None), (3, ""), (2, " \t\n"), (1, "ä€𝄞x"), (0, long), (None, "no id"), (None, None), (None, "no id"),
+    ]
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_odd_rows(spark, parts):
+    rows = odd_rows()
+    df = spark.createDataFrame([(i, t, "n", 5, "f") for i, t in rows], SCHEMA).repartition(parts)
+    found = edited(df).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    got = sorted(((r.doc_id, r.n_chars, r.edited_sha256) for r in found), key=key)
+    wanted = [(i, len(t), hashlib.sha256(e.encode()).hexdigest()) for i, t, e, _ in plain(rows)]
+    assert got == sorted(wanted, key=key)
+    ends = {(r.doc_id, r.n_chars): r for r in found}
+    assert ends[3, 0].fingerprint == ends[2, 3].fingerprint == "" != ends[1, 4].fingerprint
+    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in found)
+    same = [r for r in found if r.doc_id == 7 and r.n_chars == 27]
+    assert sorted(r.near_next for r in same)[1:] == [1.0, 1.0]
+
+
+def test_small_tables(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert edited(empty).collect() == []
+    one = edited(spark.createDataFrame([(4, "a b c d e f", "", 1, "")], SCHEMA)).collect()
+    assert [(r.doc_id, r.near_next, r.edited_sha256) for r in one] == [(4, 1.0, hashlib.sha256(b"a b c a b c").hexdigest())]
+
+
+def test_printed_has_all_digits(spark):
+    df = spark.createDataFrame([([0, -1] * 8,)], "f array<bigint>").select(printed(F.col("f")).alias("p"))
+    assert df.first().p == ("0" * 16 + "f" * 16) * 8

@@ -17,7 +17,7 @@ def shingle_set(text):
     return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4))
 
 
-def brute(rows):
+def brute(rows, threshold=85):
     """Sorted (doc_id, size, component, kept) by comparing all sets that share a shingle."""
     sets = [shingle_set(t) for _, t in rows]
     root = list(range(len(rows)))
@@ -34,7 +34,7 @@ def brute(rows):
             continue
         for j in {j for s in own for j in holders.get(s, ())}:
             both = len(own & sets[j])
-            if 100 * both >= 85 * (len(own) + len(sets[j]) - both):
+            if 100 * both >= threshold * (len(own) + len(sets[j]) - both):
                 root[find(i)] = find(j)
         for s in own:
             holders.setdefault(s, []).append(i)

@@ -29,7 +29,7 @@ def test_every_stage(spark):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     docs = kept(dedup(spark, docs, FOLDER), "t2")
     assert docs.columns == COLUMNS
-    assert sorted(r.doc_id for r in docs.collect()) == sorted(r[0] for r in brute(rows) if r[3])
+    assert sorted(r.doc_id for r in docs.collect()) == sorted(r[0] for r in brute(rows, 80) if r[3])
 
     before = docs.collect()
     docs = kept(mixing(spark, docs, FOLDER), "t3")
@@ -59,5 +59,6 @@ def test_empty_documents(spark):
     assert docs.count() == 0
 
 
-def test_ten_operators_are_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+def test_every_operator_is_registered_once():
+    numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
+    assert numbers == list(range(1, len(numbers) + 1)) and len(numbers) >= 11

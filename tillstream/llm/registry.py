@@ -5,6 +5,7 @@ from __future__ import annotations
 from tillstream.llm import (
     bpe,
     embedding_dedup,
+    fingerprints,
     licenses,
     lm,
     minhash,
@@ -15,7 +16,7 @@ from tillstream.llm import (
     toxicity,
 )
 
-MODULES = (embedding_dedup, neighbours, licenses, lm, mixing, tokencounts, sharding, minhash, toxicity, bpe)
+MODULES = (embedding_dedup, neighbours, licenses, lm, mixing, tokencounts, sharding, minhash, toxicity, bpe, fingerprints)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
-#: None of the ten can be said in SQL; tests/llm compares each with a brute-force version.
+#: tests/llm compares those that can't be said in SQL with a brute-force version.
 ORACLE: dict[str, str] = {}
