@@ -1,0 +1,151 @@
+"""Collocations against counting all phrases; the SQL twin is compared on whole tables by tests/test_queries.py."""
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from check import connect, difference
+from tillstream.llm import phrases
+from tillstream.llm.phrases import Filter, Words, by_language, collocations, op12_phrases, stretches
+
+SCHEMA = "doc_id long, text string, lang string, size int, phrase string, f long, n long"
+FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def pieces(text):
+    for piece in re.split(r"[.,;:!?\x0a-\x0d]", (text or "").translate(FOLD)):
+        yield [w for w in re.split(r"[\x20\x09]+", piece) if w]
+
+
+def counted(rows):
+    f, n = Counter(), Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        for words in pieces(text):
+            n[lang] += len(words)
+            for size in range(1, 5):
+                f.update((lang, tuple(words[i : i + size])) for i in range(len(words) - size + 1))
+    return f, n
+
+
+def brute(rows, least=30, covered=80, most=2000):
+    f, n = counted(rows)
+    frequent = {k: v for k, v in f.items() if v >= least and len(k[1]) > 1}
+    inside = {}
+    for (lang, words), v in frequent.items():
+        for size in range(2, len(words)):
+            for i in range(len(words) - size + 1):
+                key = (lang, words[i : i + size])
+                inside[key] = max(inside.get(key, 0), v)
+    out = {}
+    for (lang, words), a in frequent.items():
+        if 100 * inside.get((lang, words), -1) >= covered * a:
+            continue
+        cuts = []
+        for k in range(1, len(words)):
+            left, right = f[lang, words[:k]], f[lang, words[k:]]
+            cuts.append((2000000 * a // (left + right), k, left, right))
+        score, _, left, right = min(cuts)
+        out.setdefault(lang, []).append((-score, -a, " ".join(words).encode(), left, right))
+    return sorted(
+        (lang, rank, p.decode(), -a, x, y, n[lang], -score)
+        for lang, found in out.items()
+        for rank, (score, a, p, x, y) in enumerate(sorted(found)[:most], 1)
+    )
+
+
+def made_rows(rng, docs=120):
+    vocabulary = ["New", "york", "é", "ÉCOLE", "big", "a", "the", "of", "x" * 9, "x" * 8 + "y", "naïve", "longerthansixteenbytes", "𝄞"]
+    rows = []
+    for k in range(docs):
+        words = []
+        for _ in range(rng.randrange(80)):
+            words.append(rng.choice(vocabulary[: rng.randrange(2, len(vocabulary))]))
+            words.append(rng.choice([" ", " ", " ", "  ", "\t", " \t ", ". ", ",", "\n", "\x0b", "! ", "\xa0"]))
+        rows.append(("".join(words), rng.choice(["en", "en", "en", "fr", None, ""])))
+    return [*rows, (None, "en"), ("", "fr"), (" \t", None), ("..", "zz"), *[("the New York Big a", "en")] * 40]
+
+
+@pytest.mark.parametrize("least, covered, most", [(30, 80, 2000), (3, 60, 25), (1, 101, 7)])
+def test_equals_brute_force(spark, least, covered, most):
+    rows = made_rows(random.Random(least))
+    df = spark.createDataFrame([(i % 7 or None, t, x, 1, "p", 2, 3) for i, (t, x) in enumerate(rows)], SCHEMA).repartition(5)
+    found = collocations(df, least, covered, most)
+    assert found.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    assert sorted(map(tuple, found.collect())) == brute(rows, least, covered, most)
+
+
+def test_empty_tables(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert collocations(empty).collect() == []
+    assert collocations(spark.createDataFrame([(1, "a b c", None, 1, "", 1, 1)], SCHEMA)).collect() == []
+
+
+def test_whole_table(spark):
+    folder = "/root/testdata/sf0.01"
+    df = op12_phrases(spark, folder)
+    assert df.count() > 100
+    assert difference(df, connect(folder), phrases.ORACLE["op12_phrases"]) is None
+
+
+def batch(rows):
+    return pa.RecordBatch.from_arrays([pa.array([r[1] for r in rows]), pa.array([r[0] for r in rows])], ["lang", "text"])
+
+
+def in_chunks(rows):
+    """Counts of all phrases, by fingerprint groups within chunks."""
+    f = Counter()
+    for lang, words in by_language(iter([batch(rows)])):
+        for size in range(1, 5):
+            prints = words.prints(size)
+            at = np.flatnonzero(words.together(size))
+            at, counts = words.groups(at, size, prints)
+            for text, count in zip(words.phrases(at, size), counts):
+                f[lang, tuple(text.decode().split(" "))] += int(count)
+    return f
+
+
+@pytest.mark.parametrize("chunk", [16, 100, 1 << 22])
+def test_chunks_lose_and_repeat_nothing(monkeypatch, chunk):
+    """Pieces that are longer than a chunk are cut between words."""
+    monkeypatch.setattr(phrases, "CHUNK", chunk)
+    rng = random.Random(chunk)
+    rows = [(t or "", x or "und") for t, x in made_rows(rng, 30)]
+    rows += [("".join(rng.choice(["aa", "b", "ccc"]) + rng.choice([" ", "   ", "\t"]) for _ in range(2000)), "en"), ("x" * 500 + " y", "fr")]
+    assert in_chunks(rows) == counted(rows)[0]
+
+
+def test_stretches_are_bounded(monkeypatch):
+    monkeypatch.setattr(phrases, "CHUNK", 64)
+    data = np.frombuffer(b"ab cd ef. " * 100 + b"ab cd " * 100, np.uint8)
+    found = list(stretches(data))
+    assert [b for b, _, _ in found] == [0, *[own for _, own, _ in found[:-1]]] and found[-1][1] == len(data)
+    assert all(end - begin <= 2 * 64 + 30 for begin, _, end in found)
+
+
+def test_shared_fingerprints_do_no_harm(monkeypatch):
+    """With four fingerprints for all phrases, groups are told apart by their words."""
+    monkeypatch.setattr(phrases, "mixed", lambda values: values & np.uint64(3))
+    rows = [(t or "", x or "und") for t, x in made_rows(random.Random(9), 30)]
+    assert in_chunks(rows) == counted(rows)[0]
+
+
+def test_fingerprints_are_those_of_the_words():
+    one = Words(np.frombuffer(b"the big apple of the big  apple", np.uint8), 99)
+    two = Words(np.frombuffer(b"x. The\tbig apple", np.uint8), 99)
+    for size in (1, 2, 3):
+        assert one.prints(size)[0] == one.prints(size)[4] == two.prints(size)[1]
+        assert len(set(one.prints(size)[: 8 - size].tolist())) == min(4, 8 - size)
+
+
+def test_filter_never_says_no_wrongly(spark):
+    values = np.random.default_rng(1).integers(-(2**63), 2**63, 30_000)
+    inside = Filter(spark.createDataFrame([(int(v),) for v in values[:20_000]], "fp long"))
+    assert inside.may_have(values[:20_000].view(np.uint64)).all()
+    assert inside.may_have(values[20_000:].view(np.uint64)).mean() < 0.05
+    nothing = Filter(spark.createDataFrame([], "fp long"))
+    assert not nothing.may_have(values.view(np.uint64)).any()

@@ -11,12 +11,13 @@ from tillstream.llm import (
     minhash,
     mixing,
     neighbours,
+    phrases,
     sharding,
     tokencounts,
     toxicity,
 )
 
-MODULES = (embedding_dedup, neighbours, licenses, lm, mixing, tokencounts, sharding, minhash, toxicity, bpe, fingerprints)
+MODULES = (embedding_dedup, neighbours, licenses, lm, mixing, tokencounts, sharding, minhash, toxicity, bpe, fingerprints, phrases)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 #: tests/llm compares those that can't be said in SQL with a brute-force version.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {**phrases.ORACLE}
