@@ -1,0 +1,192 @@
+"""Repaired conversations against trying all edits."""
+
+import functools
+import hashlib
+import random
+import re
+import sys
+import zlib
+from collections import defaultdict
+
+import pytest
+from tillstream.llm import dialogues
+from tillstream.llm.dialogues import Grammar, by_row, damaged, grammar, op13_dialogues, product, repair, repaired, symbol_matrix
+
+SCHEMA = "conv_id long, turn long, role string, text string, place long, n int, part string"
+sys.setrecursionlimit(20_000)
+SPACE = " \t\n\x0b\x0c\r"
+
+
+def damage(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if kind == 0:
+            continue
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        out += [(conv, turn, "user" if kind == 4 else role, text)] * (2 if kind == 3 else 1)
+    return out
+
+
+def cheapest(rows):
+    """(cost, audit, repaired rows) by a plain recursion over all edits."""
+    seen, faults = set(), []
+    for role, text in rows:
+        end = text.rstrip(SPACE)
+        faults.append("blank" if not end else "duplicate" if (role, text) in seen else "truncated" if end[-1] not in ".!?" else "")
+        seen.add((role, text))
+    step = {("0", "s"): "s", ("0", "u"): "u", ("s", "u"): "u", ("a", "u"): "u", ("u", "a"): "a"}
+
+    @functools.cache
+    def best(i, state, inserted=0):
+        found = [(0, "", ())] if i == len(rows) and state in "0a" else []
+        for role in ("user", "assistant"):
+            after = step.get((state, role[0]))
+            if after and inserted < 2:
+                cost, audit, out = best(i, after, inserted + 1)
+                found.append((5 + cost, "I" + audit, ((role, ""), *out)))
+        if i < len(rows):
+            role, text = rows[i]
+            cost, audit, out = best(i + 1, state)
+            found.append((2 + cost, "D" + audit, out))
+            if faults[i] not in ("blank", "duplicate"):
+                more = 5 * (faults[i] == "truncated")
+                for new, letter, price in ((role, "K", 0), ("user", "R", 1), ("assistant", "R", 1)):
+                    after = step.get((state, new[:1]))
+                    if after:
+                        cost, audit, out = best(i + 1, after)
+                        found.append((price + more + cost, letter + audit, ((new, text), *out)))
+        return min(found, default=(10**9, "~", ()))
+
+    cost, audit, out = best(0, "0")
+    return faults, cost, audit, out
+
+
+def brute(rows, damaging=True):
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r[0]]
+    for r in damage(rows) if damaging else [(c, t, " " if r is None else r, " " if x is None else x) for c, t, r, x in rows]:
+        groups[r[0]].append(r)
+    out = {}
+    for conv, own in groups.items():
+        own.sort(key=lambda r: (r[1] is not None, r[1] or 0, r[2].encode(), r[3].encode()))
+        turns = {r[1] for r in own if r[1] is not None}
+        gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+        faults, cost, audit, new = cheapest(tuple((r[2], r[3]) for r in own))
+        pairs = [a[2][:1] + b[2][:1] for a, b in zip(own, own[1:])]
+        text = "\n".join(f"{r}:{t}" for r, t in new)
+        out[conv] = (
+            gaps, *[faults.count(f) for f in ("blank", "duplicate", "truncated")], sum(p not in ("su", "ua", "au") for p in pairs),
+            cost, audit, hashlib.sha256(text.encode()).hexdigest(),
+        )
+    return out
+
+
+def random_rows(rng, conversations, most=9):
+    rows = []
+    for conv in range(conversations):
+        for turn in range(rng.randrange(most)):
+            role = rng.choice(["user", "assistant", "user", "assistant", "system", "tool", "User", None, ""])
+            text = rng.choice(["Yes.", "No!", "why? \n", "cut", "", " \t", None, "a.b", "é", f"t{turn}.", f"t{turn}."])
+            rows.append((conv, rng.choice([turn, turn, turn, turn + 1, None]), role, text))
+    return rows
+
+
+def frame(spark, rows, parts=5):
+    return spark.createDataFrame([(*r, 1, 2, "x") for r in rows], SCHEMA).repartition(parts)
+
+
+def check(spark, rows):
+    """Every number, edit and repaired row of the operator on ``rows`` as they are."""
+    found = repair(frame(spark, rows))
+    wanted = brute(rows, False)
+    got = {r.conv_id: tuple(r)[1:] for r in found.report.collect()}
+    assert got == {c: w[:7] for c, w in wanted.items()}
+    texts = defaultdict(list)
+    for r in sorted(repaired(found.rows, found.edits).collect(), key=lambda r: (r.place, r.nth)):
+        texts[r.conv_id].append(f"{r.role}:{r.text}")
+    assert {c: hashlib.sha256("\n".join(texts[c]).encode()).hexdigest() for c in wanted} == {c: w[7] for c, w in wanted.items()}
+
+
+def test_random_conversations(spark):
+    rng = random.Random(3)
+    rows = random_rows(rng, 250)
+    check(spark, [*rows, *rng.choices(rows, k=60), (None, 1, "user", "no id."), (None, None, None, None)])
+
+
+def test_one_conversation_has_most_rows(spark):
+    rng = random.Random(4)
+    long = [(7, k, rng.choice(["user", "assistant", "system"]), rng.choice([f"t{k}.", f"t{k}", "same."])) for k in range(700)]
+    check(spark, [*random_rows(rng, 40), *long, *[(5, 1, "user", "copied.")] * 400, *[(6, 1, "tool", "")] * 300])
+
+
+@pytest.mark.parametrize("size", [1, 3])
+def test_blocks_of_any_size(spark, monkeypatch, size):
+    """Blocks and grammar change the work, not the result; rules are applied to what workers get."""
+    rng = random.Random(size)
+    for _ in range(150):
+        symbols = "".join(rng.choice("suaoSUAOxy") for _ in range(rng.randrange(1, 14)))
+        plain = Grammar([])
+        rules = [a + b for a, b in zip("uaxsua"[::size], "auyuaa"[::size])]
+        packed = Grammar([*rules, chr(dialogues.FIRST_RULE) * 2])
+        a, b = plain.products(symbols)[-1], packed.products(packed.compress(symbols))[-1]
+        assert (a.cost, a.rank) == (b.cost, b.rank)
+        for q in range(4):
+            for r in range(4):
+                if a.cost[4 * q + r] < dialogues.NONE:
+                    assert plain.spell(symbols, q, r) == packed.spell(packed.compress(symbols), q, r)
+        half = rng.randrange(1, len(symbols) + 1)
+        if half < len(symbols):
+            joined = product(plain.products(symbols[:half])[-1], plain.products(symbols[half:])[-1])
+            assert (joined.cost, joined.rank) == (a.cost, a.rank)
+
+
+def test_long_conversations_are_cut_in_blocks(spark):
+    """More rows than a block has, and more copies of one row."""
+    rows = [(1, k, "user" if k % 2 == 0 else "assistant", f"t{k}.") for k in range(9001)]
+    rows += [(2, 0, "user", "hello.")] * 9000 + [(2, 1, "assistant", "hi.")]
+    found = repair(frame(spark, rows))
+    got = {r.conv_id: r for r in found.report.collect()}
+    assert (got[1].cost, got[1].audit, got[1].illegal) == (2, "K" * 9000 + "D", 0)
+    assert (got[2].cost, got[2].audit, got[2].illegal, got[2].duplicate) == (2 * 8999, "K" + "D" * 8999 + "K", 8999, 8999)
+    texts = sorted((r.place, r.nth, r.role, r.text) for r in repaired(found.rows, found.edits).where("conv_id = 2").collect())
+    assert [t[2:] for t in texts] == [("user", "hello."), ("assistant", "hi.")]
+
+
+def test_rows_of_a_block():
+    assert list(by_row("xyuya", 10, 0, "DDKDK")) == [(11, 0, "KD"), (12, 2, "K")]
+    assert list(by_row("oxu", 5, 3, "RDIKI")) == [(5, 3, "R"), (7, 2, "IKI")]
+    assert symbol_matrix("x").edits[0] == "D"
+
+
+def test_grammar_counts_all_sequences(spark):
+    seqs = spark.createDataFrame([("uaua", 100), ("suua", 10), ("oo", 1)], "seq string, n long").repartition(3)
+    rules = grammar(seqs)
+    assert rules.rules[0] == "ua" and len(rules.compress("uaua")) <= 2 and rules.compress("oo") == "oo"
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_whole_tables(spark, folder):
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    found = {r.conv_id: tuple(r)[1:] for r in op13_dialogues(spark, folder).collect()}
+    assert found == brute(rows)
+
+
+def test_damage(spark):
+    rng = random.Random(8)
+    rows = random_rows(rng, 200)
+    found = damaged(frame(spark, rows)).collect()
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, damage(rows)))
+
+
+def test_empty_tables(spark, tmp_path):
+    empty = spark.createDataFrame([], SCHEMA)
+    found = repair(empty)
+    assert found.report.collect() == [] and repaired(found.rows, found.edits).collect() == []
+    # A conversation of which all rows are dropped.
+    dropped = next(i for i in range(1000) if zlib.crc32(f"{i}:0".encode()) % 20 == 0)
+    frame(spark, [(dropped, 0, "user", "x")]).write.parquet(f"{tmp_path}/conversations.parquet")
+    nothing = hashlib.sha256(b"").hexdigest()
+    assert [tuple(r) for r in op13_dialogues(spark, str(tmp_path)).collect()] == [(dropped, 0, 0, 0, 0, 0, 0, "", nothing)]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tillstream.llm import (
     bpe,
+    dialogues,
     embedding_dedup,
     fingerprints,
     licenses,
@@ -17,7 +18,7 @@ from tillstream.llm import (
     toxicity,
 )
 
-MODULES = (embedding_dedup, neighbours, licenses, lm, mixing, tokencounts, sharding, minhash, toxicity, bpe, fingerprints, phrases)
+MODULES = (embedding_dedup, neighbours, licenses, lm, mixing, tokencounts, sharding, minhash, toxicity, bpe, fingerprints, phrases, dialogues)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 #: tests/llm compares those that can't be said in SQL with a brute-force version.
 ORACLE: dict[str, str] = {**phrases.ORACLE}
