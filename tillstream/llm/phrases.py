@@ -1,17 +1,20 @@
 """Operator 12: phrases whose words stand together more often than apart.
 
 Every n-gram has a Rabin-Karp fingerprint, taken by differences from a
-polynomial over all words before it. Sizes are counted one after the other by
-fingerprint: an n-gram takes part only if all shorter ones in it are frequent,
-which a filter of bounded size tells without a false no. What is left is read
-from the text at its places, compared there, and counted by its words; so a
-fingerprint that two phrases share can only bring a phrase too many into that
-last count, never a wrong number out of it.
+polynomial over all words before it. A shuffle adds up the fingerprints, one
+size after the other: an n-gram takes part only if all shorter ones in it are
+frequent, which a filter of bounded size tells without a false no. For the
+fingerprints that are frequent, a last pass points at their places again, compares
+the words there, reads the phrase from the text at one of them and counts it by its
+words. So a fingerprint that two phrases share can only bring a phrase too many
+into that last count, never a wrong number out of it.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +26,9 @@ from tillstream.llm.packing import mixed
 from tillstream.llm.tables import kept, read_table
 
 #: Bytes of text that are worked on at once.
-CHUNK = 1 << 22
+CHUNK = 1 << 21
+#: Phrases that a task counts before it hands them on.
+HELD = 200_000
 #: Words of the longest phrase.
 LONGEST = 4
 #: The filter has 16 bits for each fingerprint, and this many at most: beyond, it lets more through.
@@ -70,7 +75,8 @@ def polynomials(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.nd
 class Words:
     """The words of a stretch of text. The first ``own`` of them are counted here, the others only end a phrase."""
 
-    def __init__(self, data: np.ndarray, own: int):
+    def __init__(self, data: np.ndarray, own: int, lang: str = ""):
+        self.salt = np.uint64(int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little"))
         self.text = FOLD[data]
         kind = KIND[data]
         inside = np.zeros(len(data) + 2, np.int8)
@@ -89,12 +95,13 @@ class Words:
         return fits & (self.piece[last] == self.piece[: self.own])
 
     def prints(self, size: int) -> np.ndarray:
-        """The fingerprints of the ``size`` words that begin at each word; zeros at the end, where they are not so many."""
+        """The fingerprints of the ``size`` words that begin at each word, by size and language; zeros at the end, where
+        they are not so many."""
         if size == 1:
-            return self.codes
+            return mixed(self.codes ^ self.salt)
         out = np.zeros(len(self.codes), np.uint64)
         at = np.arange(max(len(self.codes) - size + 1, 0))
-        out[: len(at)] = polynomials(self.codes, at, at + size)
+        out[: len(at)] = mixed(polynomials(self.codes, at, at + size) ^ self.salt)
         return out
 
     @functools.cached_property
@@ -175,7 +182,7 @@ def by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words]
             offsets = np.frombuffer(ended.buffers()[1], np.int64)[ended.offset : ended.offset + len(ended) + 1]
             data = np.frombuffer(ended.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
             for begin, own, end in stretches(data):
-                yield lang, Words(data[begin:end], own - begin)
+                yield lang, Words(data[begin:end], own - begin, lang)
 
 
 class Filter:
@@ -221,52 +228,51 @@ def possible(words: Words, filters: dict[int, Filter], size: int, prints: np.nda
     return good
 
 
-def levels(docs: DataFrame, sizes: tuple[int, ...], filters: dict[int, Filter], least: int) -> DataFrame:
-    """(lang, size, fp, f) of the fingerprints that stand ``least`` times or more, and as size 0 the words of each lang."""
+def levels(docs: DataFrame, sizes: tuple[int, ...], filters: dict[int, Filter], least: int) -> Filter:
+    """The fingerprints that stand ``least`` times or more, of phrases of some sizes in which all shorter ones may be frequent."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, words in by_language(batches):
+        for _, words in by_language(batches):
             for size in sizes:
                 prints = words.prints(size)
                 found, counts = np.unique(prints[: words.own][possible(words, filters, size)], return_counts=True)
-                yield _rows(lang, size, found.view(np.int64), counts)
-                if size == 1:
-                    yield _rows(lang, 0, np.zeros(1, np.int64), np.array([words.own]))
-
-    found = docs.select("lang", "text").mapInArrow(hashed, "lang string, size int, fp long, f long")
-    sums = found.groupBy("lang", "size", "fp").agg(F.sum("f").alias("f"))
-    return kept(sums.where((F.col("f") >= least) | (F.col("size") == 0)), "prints")
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts.astype(np.int64))], ["fp", "f"])
 
+    sums = docs.mapInArrow(hashed, "fp long, f long").groupBy("fp").agg(F.sum("f").alias("f"))
+    return Filter(kept(sums.where(F.col("f") >= least).select("fp"), "prints"))
 
-def _rows(lang: str, size: int, values: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    n = len(values)
-    columns = [pa.array([lang]).take(pa.array(np.zeros(n, np.int8))), pa.array(np.full(n, size, np.int32))]
-    return pa.RecordBatch.from_arrays([*columns, pa.array(values), pa.array(counts.astype(np.int64))], ["lang", "size", "fp", "f"])
 
+def frequent(docs: DataFrame, least: int = 30) -> DataFrame:
+    """(lang, size, phrase, f): all phrases of one to four words that stand ``least`` times or more in the texts of a
+    lang; size 0 has the number of all its words. ``docs`` has lang and text, neither null."""
+    docs = docs.select("lang", "text")
+    filters = {1: levels(docs, (1,), {}, least)}
+    filters[2] = levels(docs, (2,), filters, least)
+    filters[3] = filters[4] = levels(docs, (3, 4), filters, least)
 
-def frequent(docs: DataFrame, least: int = 30) -> tuple[DataFrame, DataFrame]:
-    """((lang, size, phrase, f), (lang, n)): all phrases of one to four words that stand ``least`` times or more in the
-    texts of a lang, and the number of all its words. ``docs`` has lang and text, neither null."""
-    counts = levels(docs, (1,), {}, least)
-    total = counts.where("size = 0").select("lang", F.col("f").alias("n"))
-    filters = {1: Filter(counts.where("size = 1").select("fp").distinct())}
-    filters[2] = Filter(levels(docs, (2,), filters, least).where("size = 2").select("fp").distinct())
-    longer = levels(docs, (3, 4), filters, least)
-    filters |= {size: Filter(longer.where(F.col("size") == size).select("fp").distinct()) for size in (3, 4)}
+    def handed(counts: Counter) -> pa.RecordBatch:
+        langs, sizes, phrases = zip(*counts) if counts else ([], [], [])
+        columns = [pa.array(langs, pa.string()), pa.array(sizes, pa.int32()), pa.array(phrases, pa.binary()).cast(pa.string())]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(list(counts.values()), pa.int64())], ["lang", "size", "phrase", "f"])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
         for lang, words in by_language(batches):
+            counts[lang, 0, b""] += words.own
             for size in range(1, LONGEST + 1):
                 prints = words.prints(size)
                 at = np.flatnonzero(possible(words, filters, size, prints))
-                at, counts = words.groups(at, size, prints)
-                batch = _rows(lang, size, np.zeros(len(at), np.int64), counts)
-                text = pa.array(words.phrases(at, size), pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), text, batch.column(3)], ["lang", "size", "phrase", "f"])
-
-    found = docs.select("lang", "text").mapInArrow(read, "lang string, size int, phrase string, f long")
+                at, times = words.groups(at, size, prints)
+                for phrase, n in zip(words.phrases(at, size), times.tolist()):
+                    counts[lang, size, phrase] += n
+            if len(counts) > HELD:
+                yield handed(counts)
+                counts = Counter()
+        yield handed(counts)
+
+    found = docs.mapInArrow(read, "lang string, size int, phrase string, f long")
     sums = found.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
-    return kept(sums.where(F.col("f") >= least), "phrases"), total
+    return kept(sums.where((F.col("f") >= least) | (F.col("size") == 0)), "phrases")
 
 
 def _joined(words: Column, begin: Column, size: Column) -> Column:
@@ -292,7 +298,8 @@ def collocations(docs: DataFrame, least: int = 30, covered: int = 80, most: int
     beyond some megabytes, between words with the next three words looked at.
     """
     docs = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    phrases, total = frequent(docs, least)
+    counted = frequent(docs, least)
+    phrases, total = counted.where("size > 0"), counted.where("size = 0").select("lang", F.col("f").alias("n"))
     words = F.split("phrase", " ")
     cuts = phrases.where("size > 1").select(
         "lang", "phrase", "size", F.col("f").alias("a"), words.alias("words"),
