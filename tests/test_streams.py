@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillstream import schemas
 from tillstream.operators.ads import amount_stat
 from tillstream.operators.dims import user_info
-from tillstream.operators.dws import first_arrived, first_seen, join_orders, split_amount
+from tillstream.operators.dws import first_arrived, first_seen, join_orders, split_amount, wide_row
 from tillstream.operators.ods import route_maxwell, to_messages
 from tillstream.session import SKEW_SETTINGS, STATE_SETTINGS, rocksdb_state, work_dir
 from tillstream.sources.keyed import KeyedTable
@@ -70,8 +70,7 @@ def wide_setup(spark, work, files, n=12):
 
 def run_wide(spark, work, orders, lines, **options):
     wide = jobs.wide_stream(at(orders.stream()), at(lines.stream()), "arrived", "arrived", **options)
-    totals = KeyedTable(spark, f"{work}/totals", schemas.ORDER_TOTALS, ["order_id"])
-    return jobs.order_wide_job(wide, totals, f"{work}/wide", f"{work}/cp", messages=f"{work}/messages")
+    return jobs.order_wide_job(wide, f"{work}/wide", f"{work}/cp", messages=f"{work}/messages")
 
 
 def batch_wide(spark, n=12):
@@ -128,8 +127,7 @@ def test_lines_of_one_order_over_batches(spark, work):
     for j in range(3):
         lines.send((10 + j, 1, 1, 10.0, START + j), (20 + j, 2, 1, 10.0, late if j == 2 else START))
     wide = jobs.wide_stream(at(orders.stream()), at(lines.stream()), "arrived", "arrived")
-    totals = KeyedTable(spark, f"{work}/totals", schemas.ORDER_TOTALS, ["order_id"])
-    finish(jobs.order_wide_job(wide, totals, f"{work}/wide", f"{work}/cp", life="2 seconds"), 300)
+    finish(jobs.order_wide_job(wide, f"{work}/wide", f"{work}/cp", life="2 seconds"), 300)
     got = {r.order_detail_id: r.final_detail_amount for r in read_wide(spark, f"{work}/wide").collect()}
     assert got == {10: 6.67, 11: 6.67, 12: 6.66, 20: 6.67, 21: 6.67, 22: 6.67}
 
@@ -176,7 +174,7 @@ def order_tables(spark, work, table):
     province.upsert(table("id string, name string, area_code string, iso_code string", ("1", "北京", "11", "CN")), 0, [])
     user.upsert(table(schemas.USER_INFO, (5, "1", 40, "30岁以上", "女")), 0, [])
     return {
-        "user_state": make("state", schemas.USER_STATE, "user_id"),
+        "consumed": None,
         "orders": make("orders", schemas.ORDER_INFO, "id"),
         "province": province,
         "user": user,
@@ -192,7 +190,7 @@ def test_first_orders_over_batches_and_a_failure(spark, work, table, rows, monke
 
     def fail_once(self, df, batch_id, *version):
         upsert(self, df, batch_id, *version)
-        if self is tables["user_state"] and batch_id == 1 and not failed:
+        if self is tables["orders"] and batch_id == 1 and not failed:
             failed.append(1)
             raise RuntimeError("driver lost")
 
@@ -207,11 +205,55 @@ def test_first_orders_over_batches_and_a_failure(spark, work, table, rows, monke
         ("北京", "女", "2024-01-01", "10")
     ]
     assert rows(facts.where("id = 4"), "user_gender", "final_total_amount") == [(None, 0.0)]
-    assert rows(tables["user_state"].read()) == [("5", "1"), ("6", "1")]
     sent = [(r.key, json.loads(r.value)["if_first_order"]) for r in spark.read.parquet(f"{work}/out").collect()]
     assert sorted(sent) == [("1", "0"), ("2", "1"), ("3", "0"), ("4", "1")]
 
 
+def test_a_snapshot_tells_who_has_ordered(spark, work, table, rows):
+    """It counts when the query starts for the first time; a user who is not in it becomes known by the first order."""
+    messages, tables = Topic(spark, f"{work}/in"), order_tables(spark, work, table)
+    when = "2024-01-01 10:00:00"
+    messages.send(order_message(1, 5, when), order_message(2, 6, when), order_message(3, 7, when))
+    tables["consumed"] = table(schemas.USER_STATE, ("5", "1"), ("5", "1"), ("9", "1"))
+    run = lambda: finish(jobs.order_info_job(messages.stream(), **tables, send=f"{work}/out", checkpoint=f"{work}/cp"), 300)
+    run()
+    messages.send(order_message(4, 6, when), order_message(5, 8, when), order_message(6, 9, when), order_message(7, 7, when))
+    run()
+    assert rows(tables["orders"].read(), "id", "if_first_order") == [
+        (1, "0"), (2, "1"), (3, "1"), (4, "0"), (5, "1"), (6, "0"), (7, "0")
+    ]
+
+
+def test_sums_live_an_hour_after_the_last_line(spark, work):
+    """Lines an hour apart each time keep the sums alive; after a longer pause they count no more."""
+    wide = Topic(spark, f"{work}/met", "order_id bigint, order_detail_id bigint, sku_num bigint, second bigint")
+    for second, (kept, lost) in ((0, (1, 2)), (3600, (1, None)), (7200, (1, None)), (7201, (None, 2)), (7300, (None, 2))):
+        sent = [(order, 10 * order + second // 3600 + second % 60, 1, START + second) for order in (kept, lost) if order]
+        wide.send(*sent)
+    rows = at(wide.stream()).withColumnRenamed("arrived", "event_time").withColumns(
+        {"sku_price": F.lit(10.0), "original_total_amount": F.lit(30.0), "final_total_amount": F.lit(20.0)}
+    )
+    full = wide_row(rows.withWatermark("event_time", "1 minute"), "event_time")
+    finish(jobs.order_wide_job(full, f"{work}/wide", f"{work}/cp", daily=False), 300)
+    paid = {}
+    for r in read_wide(spark, f"{work}/wide").collect():
+        paid.setdefault(r.order_id, []).append(r.final_detail_amount)
+    assert sorted(paid[1]) == [6.66, 6.67, 6.67] and sorted(paid[2]) == [6.67, 6.67, 6.67]
+
+
+def test_a_device_is_remembered_from_its_last_start(spark, work, rows):
+    """24 hours begin again with each start, whatever the order of rows within a batch."""
+    logs = Topic(spark, f"{work}/logs", "value string, second bigint")
+    sent = {"steady": (0, 20, 40, 60), "pause": (0, 23, 48), "once": (40,), "mixed": (70, 0, 20, 90)}
+    for hours in ((0,), (20, 23), (40, 48), (60, 70, 90)):
+        # A device's own time is its day; arrival is the topic's.
+        logs.send(*[(log(m, 5)[0], START + 3600 * h) for m, own in sent.items() for h in own if h in hours])
+    arrived = logs.stream().withColumn("timestamp", F.timestamp_seconds("second")).drop("second")
+    finish(jobs.dau_job(arrived, f"{work}/dau", f"{work}/cp"), 300)
+    found = [r[0] for r in rows(read_dau(spark, f"{work}/dau"), "mid")]
+    assert found == ["mixed", "mixed", "once", "pause", "pause", "steady"]
+
+
 def test_details_see_the_dimension_of_their_batch(spark, work, table, rows):
     """A SKU that comes later is seen by later lines only."""
     messages = Topic(spark, f"{work}/in")

@@ -163,11 +163,12 @@ def first_arrived(df: DataFrame, keys: Sequence[str], within_watermark: bool = T
     return getattr(df, drop)(list(keys))
 
 
-def _line_cents(number: str = "sku_num", price: str = "sku_price") -> Column:
+def line_cents(number: str = "sku_num", price: str = "sku_price") -> Column:
+    """What a line costs before any reduction."""
     return cents(line_amount(F.col(number), F.col(price)))
 
 
-def _share_cents(as_coded: bool) -> Column:
+def share_cents(as_coded: bool = False) -> Column:
     """One line's share of the paid total, rounded to cents; 0 where the divisor is 0."""
     amount = line_amount(F.col("sku_num"), F.col("sku_price"))
     paid, original = F.col("final_total_amount"), F.col("original_total_amount")
@@ -197,14 +198,14 @@ def split_amount(
     ``as_coded`` is the formula with the ratio the other way round and without a
     remainder, as the original job computes it.
     """
-    shared = wide.withColumn("_share", _share_cents(as_coded))
+    shared = wide.withColumn("_share", share_cents(as_coded))
     if as_coded:
         return shared.withColumn("final_detail_amount", F.col("_share") / 100).drop("_share")
 
     amount = F.col("_amount")
-    summed = shared if sums_from is None else sums_from.withColumn("_share", _share_cents(as_coded))
+    summed = shared if sums_from is None else sums_from.withColumn("_share", share_cents(as_coded))
     totals = (
-        summed.withColumn("_amount", _line_cents())
+        summed.withColumn("_amount", line_cents())
         .groupBy("order_id")
         .agg(
             F.sum(amount).alias("_amount"),
@@ -242,7 +243,7 @@ def split_amount(
 def order_totals(split: DataFrame, prior: DataFrame | None = None, time: str = "event_time") -> DataFrame:
     """Running sums of the orders in ``split``: what ``split_amount`` needs as ``prior`` for later lines."""
     totals = split.groupBy("order_id").agg(
-        F.sum(_line_cents()).alias("line_cents"),
+        F.sum(line_cents()).alias("line_cents"),
         F.sum(cents(F.col("final_detail_amount"))).alias("share_cents"),
         F.max(time).alias("last_time"),
     )

@@ -460,6 +460,15 @@ ORACLE: dict[str, str] = {
         "order_facts",
         "users",
     ),
+    "stream_known_users": _sql(
+        """
+        SELECT o.user_id, u.user_gender, u.user_age_group, COUNT(*) AS orders,
+               CASE WHEN o.user_id % 3 = 0 THEN 0 ELSE 1 END::BIGINT AS first_orders
+        FROM order_facts o LEFT JOIN users u ON u.id = o.user_id GROUP BY ALL
+        """,
+        "order_facts",
+        "users",
+    ),
     "stream_details": _sql("SELECT * EXCLUDE (replay_id, arrived) FROM rich_details", "rich_details"),
     "stream_dims": _sql(SKU_NAMES.format(key="p.p_size::VARCHAR"), "parts", "spus", "brands", "kinds"),
     "message_round_trip": _sql(

@@ -434,28 +434,28 @@ def _follow(
     return read_stream(spark, "parquet", options, path, rows.schema, ordered)
 
 
-def _run_wide(spark: SparkSession, folder: str, work: str, salts: int = 4) -> DataFrame:
-    e = Entities(spark, folder)
+def _in_batches(spark: SparkSession, path: str, rows: DataFrame, batches: int) -> DataFrame:
+    """Rows in the order of their arrival, as a stream of some batches."""
+    rows.repartitionByRange(batches, "arrived").write.parquet(path)
+    return read_stream(spark, "parquet", {"maxFilesPerTrigger": "1"}, path, rows.schema)
+
+
+@query("stream_wide")
+def stream_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders joined with their lines as streams of five batches, all sent twice. Paid shares are summed per order."""
+    work, e = work_dir(spark, "stream_wide"), Entities(spark, folder)
     orders, lines = e.orders(), e.details()
     wide = jobs.wide_stream(
-        _follow(spark, f"{work}/orders", orders.union(orders)),
-        _follow(spark, f"{work}/lines", lines.union(lines)),
+        _in_batches(spark, f"{work}/orders", orders.union(orders), 5),
+        _in_batches(spark, f"{work}/lines", lines.union(lines), 5),
         "arrived",
         "arrived",
         delay=ARRIVAL_DELAY,
-        salts=salts,
+        salts=1,
     )
-    totals = KeyedTable(spark, f"{work}/totals", schemas.ORDER_TOTALS, ["order_id"])
     # The test orders of seven years arrive within minutes: folders by day would hold a few rows each.
-    finish(jobs.order_wide_job(wide, totals, f"{work}/wide", f"{work}/checkpoint", daily=False))
-    return read_wide(spark, f"{work}/wide")
-
-
-@query("stream_wide")
-def stream_wide(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders joined with their lines as streams, all sent twice. Paid shares are summed per order."""
-    wide = _run_wide(spark, folder, work_dir(spark, "stream_wide"))
-    return wide.groupBy("order_id").agg(
+    finish(jobs.order_wide_job(wide, f"{work}/wide", f"{work}/checkpoint", daily=False))
+    return read_wide(spark, f"{work}/wide").groupBy("order_id").agg(
         F.count("*").alias("lines"), money_sum(F.col("final_detail_amount")).cast("double").alias("paid")
     )
 
@@ -534,8 +534,19 @@ def stream_stat_windowed(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("stream_first_order")
 def stream_first_order(spark: SparkSession, folder: str) -> DataFrame:
-    """Order facts over several batches with the user state carried along: orders and first orders per user."""
-    work = work_dir(spark, "stream_first_order")
+    """Order facts over ten batches; who has ordered is state of the query: orders and first orders per user."""
+    return _first_orders(spark, folder, "stream_first_order", 10)
+
+
+@query("stream_known_users")
+def stream_known_users(spark: SparkSession, folder: str) -> DataFrame:
+    """The same over three batches, when a snapshot has every third user as one who ordered before."""
+    known = Entities(spark, folder).user_state().where("if_consumed = '1'")
+    return _first_orders(spark, folder, "stream_known_users", 3, known)
+
+
+def _first_orders(spark: SparkSession, folder: str, name: str, batches: int, known: DataFrame | None = None) -> DataFrame:
+    work = work_dir(spark, name)
     e = Entities(spark, folder, spread=True)
 
     def table(name, schema, keys, rows=None):
@@ -545,11 +556,12 @@ def stream_first_order(spark: SparkSession, folder: str) -> DataFrame:
         return stored
 
     orders = table("order_info", schemas.ORDER_INFO, ["id"])
-    messages = _follow(spark, f"{work}/messages", e.order_messages(quoted=True), files=3, ordered=True)
+    rows = e.order_messages(quoted=True).repartition(batches)
+    messages = _follow(spark, f"{work}/messages", rows, files=1, ordered=True)
     finish(
         jobs.order_info_job(
             messages,
-            table("user_state", schemas.USER_STATE, ["user_id"]),
+            known,
             orders,
             table("province", schemas.PROVINCE_INFO, ["id"], e.provinces()),
             table("user", schemas.USER_INFO, ["id"], e.users()),

@@ -70,6 +70,3 @@ ORDER_WIDE = rows(
 DAU_INFO = rows(
     "mid string, uid string, ar string, ch string, vc string, dt string, hr string, mi string, ts bigint"
 )
-
-# Running totals of an order while its lines come in.
-ORDER_TOTALS = rows("order_id bigint, line_cents bigint, share_cents bigint, last_time timestamp")

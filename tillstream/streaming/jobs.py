@@ -12,7 +12,7 @@ from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -26,13 +26,13 @@ from tillstream.operators.dwd import (
     enrich_order,
     flag_first_order,
     latest_orders,
-    user_state_updates,
 )
-from tillstream.operators.dws import first_arrived, first_seen, join_orders, order_totals, split_amount
+from tillstream.operators.dws import first_arrived, first_seen, join_orders
 from tillstream.operators.ods import parse_records, to_messages
 from tillstream.sources.keyed import KeyedTable, keys_of
 from tillstream.sources.readers import ARRIVAL
 from tillstream.sources.writers import Send, append_daily, append_exactly_once, folder_sink, write_stream
+from tillstream.streaming.state import first_starts, mark_known_users, milliseconds, split_stream
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -85,7 +85,7 @@ def dim_job(
 
 def order_info_job(
     messages: DataFrame,
-    user_state: KeyedTable,
+    consumed: DataFrame | None,
     orders: KeyedTable,
     province: KeyedTable,
     user: KeyedTable,
@@ -93,24 +93,31 @@ def order_info_job(
     checkpoint: str,
     **run,
 ) -> StreamingQuery:
-    """Order facts: first-order flag against the users seen in earlier batches, province and user attributes."""
+    """Order facts: first-order flag against the users seen before, province and user attributes.
+
+    Who has ordered is state of the query. ``consumed`` (user_id) has those who ordered before it was started for
+    the first time; a query that goes on from its checkpoint does not look at it. Of several messages of one order
+    in a batch the last one stays if ``messages`` has the order of the source (``arrival``), else any of them.
+    """
+    columns = [c for c in ("value", ARRIVAL) if c in messages.columns]
+    parsed = parse_records(messages.select(*columns), schemas.ORDER_RECORD)
 
     def each(batch: DataFrame, n: int) -> None:
-        parsed = parse_records(_arrived(batch).select("value", ARRIVAL), schemas.ORDER_RECORD)
-        with _reused(add_create_parts(latest_orders(parsed, ARRIVAL).drop(ARRIVAL))) as records:
-            if records.isEmpty():
+        with _reused(batch) as marked:
+            if marked.isEmpty():
                 return
             orders.tidy(n)
-            user_state.tidy(n)
-            seen = user_state.read(before=n, only=keys_of(records, "user_id", user_state))
-            users = user.read(only=keys_of(records, "user_id", user))
-            rich = enrich_order(flag_first_order(records, seen), province.read(), users)
+            latest = latest_orders(_arrived(marked), ARRIVAL).drop(ARRIVAL)
+            records = flag_first_order(add_create_parts(latest))
+            first = F.when(F.col("known"), "0").otherwise(F.col("if_first_order"))
+            records = records.withColumn("if_first_order", first).drop("known")
+            users = user.read(only=keys_of(marked, "user_id", user))
+            rich = enrich_order(records, province.read(), users)
             with _reused(rich.select(*schemas.ORDER_INFO.names)) as facts:
                 orders.upsert(facts, n, [])
                 _sink(send)(to_messages(facts, key="id"), n)
-                user_state.upsert(user_state_updates(facts), n, [])
 
-    return write_stream(messages, each, checkpoint, **run)
+    return write_stream(mark_known_users(parsed, consumed), each, checkpoint, **run)
 
 
 def order_detail_job(
@@ -147,47 +154,32 @@ def wide_stream(
     return first_arrived(joined, ["order_detail_id"], within_watermark, salts)
 
 
-def _alive(oldest, life: str) -> Column:
-    """Sums that lines from ``oldest`` on may still need."""
-    return F.col("last_time") + F.expr(f"INTERVAL {life}") >= F.lit(oldest)
-
-
 def order_wide_job(
     wide: DataFrame,
-    totals: KeyedTable,
     path: str,
     checkpoint: str,
     messages: str | Send | None = None,
     life: str = SPLIT_LIFE,
-    late: str = "1 hour",
     daily: bool = True,
     **run,
 ) -> StreamingQuery:
     """Split the paid totals over the lines of a wide stream and store the rows, by day with ``daily``.
 
-    The sums of an order whose lines are still coming in are kept in ``totals`` and
-    count for ``life`` after the last line. They are dropped when they are older than
-    that and ``late``, by which a batch may lie behind an earlier one.
+    The sums of an order whose lines are still coming in are state of the query; they count for ``life`` after
+    the order's last line, and then go.
     """
     store = append_daily if daily else append_exactly_once
 
     def each(batch: DataFrame, n: int) -> None:
-        with _reused(batch) as batch:
-            if batch.isEmpty():
+        with _reused(batch) as rows:
+            if rows.isEmpty():
                 return
-            totals.tidy(n, lambda: _alive(batch.agg(F.min("event_time")).first()[0], f"{life} {late}"))
-            known = totals.read(before=n, only=keys_of(batch, "order_id", totals))
-            since = batch.groupBy("order_id").agg(F.min("event_time").alias("_since"))
-            alive = known.join(since, "order_id").where(
-                F.col("last_time") + F.expr(f"INTERVAL {life}") >= F.col("_since")
-            )
-            with _reused(alive.drop("_since")) as prior, _reused(split_amount(batch, prior=prior)) as rows:
-                store(rows.drop("event_time"), path, n)
-                if messages:
-                    _sink(messages)(to_messages(rows, columns=schemas.ORDER_WIDE.names), n)
-                totals.upsert(order_totals(rows, prior), n, [])
+            store(rows, path, n)
+            if messages:
+                _sink(messages)(to_messages(rows, columns=schemas.ORDER_WIDE.names), n)
 
-    return write_stream(wide, each, checkpoint, **run)
+    split = split_stream(wide, milliseconds(wide.sparkSession, life))
+    return write_stream(split, each, checkpoint, **run)
 
 
 def stat_job(
@@ -205,19 +197,22 @@ def stat_job(
     return write_stream(messages, each, checkpoint, **run)
 
 
-def dau_stream(logs: DataFrame, life: str | None = DEDUP_LIFE, zone: str = "UTC", salts: int = 4) -> DataFrame:
-    """The first startup of each device and day. Devices are remembered for ``life``, or for ever with None.
+def dau_stream(
+    logs: DataFrame, life: str | None = DEDUP_LIFE, zone: str = "UTC", salts: int = 4, late: str = "1 hour"
+) -> DataFrame:
+    """The first startup of each device and day. A device is remembered for ``life`` after its last start of the day,
+    or for ever with None.
 
     The time that counts is that of arrival: the topic's ``timestamp`` if ``logs``
     has it, else the clock when the batch is read. A device's own clock only
-    gives the day, so a wrong one loses no other device.
+    gives the day, so a wrong one loses no other device. Logs that arrive later than
+    others by more than ``late`` are dropped.
     """
-    at = F.col("timestamp") if "timestamp" in logs.columns else F.current_timestamp()
-    documents = dau_document(logs.withColumn("_at", at), zone=zone)
     if life is None:
-        return first_arrived(documents.drop("_at"), DAU_KEYS, False, salts)
-    timed = documents.withWatermark("_at", life)
-    return first_arrived(timed, DAU_KEYS, True, salts).drop("_at")
+        return first_arrived(dau_document(logs, zone=zone).select(*schemas.DAU_INFO.names), DAU_KEYS, False, salts)
+    at = F.col("timestamp") if "timestamp" in logs.columns else F.current_timestamp()
+    documents = dau_document(logs.withColumn("_at", at), zone=zone).withWatermark("_at", late)
+    return first_starts(documents.select(*schemas.DAU_INFO.names, "_at"), milliseconds(logs.sparkSession, life), "_at")
 
 
 def dau_job(
