@@ -55,3 +55,9 @@ def test_stage_on_a_whole_table(spark):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     found = sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, FOLDER).collect())
     assert found == staying(rows, 80) != staying(rows, 85)
+
+
+def test_columns_may_have_any_names(spark):
+    rows = [(1, "a b c d e", 7, 1), (2, "a b c d e", 8, 2), (None, "a b c d e", 9, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, gone_ int, own int")
+    assert sorted((r.gone_, r.own) for r in deduplicated(docs).collect()) == [(7, 1), (9, 3)]

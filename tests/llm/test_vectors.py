@@ -127,3 +127,22 @@ def test_few_candidates_and_odd_vectors(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     found = nearest(df, df.where("vec_id in (0, 4, 5)")).collect()
     assert sorted(map(tuple, found)) == [(0, 1, 2, 1.0), (0, 2, 3, 1.0), (0, 3, 7, -1.0)]
+
+
+def test_rows_of_one_id_are_one_node(spark):
+    """The vectors of a repeated id tie their groups together; each row has the links of its own vector."""
+    a, b, c = [1.0, 0.0], [0.0, 1.0], [-1.0, 0.0]
+    rows = [(3, a), (5, a), (5, b), (9, b), (9, b), (7, c)]
+    found = link(spark.createDataFrame([(i, 0, v, 0, "") for i, v in rows], SCHEMA)).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in found) == [
+        (3, 1, 3, True), (5, 1, 3, False), (5, 2, 3, False), (7, 0, 7, True), (9, 2, 3, False), (9, 2, 3, False)
+    ]
+
+
+def test_repeated_queries_are_one(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), *[(i, [1.0, i / 10]) for i in range(1, 8)], (50, [0.0, 1.0]), (50, [-1.0, 0.0])]
+    df = spark.createDataFrame([(i, 0, v, 0, "") for i, v in rows], SCHEMA)
+    found = nearest(df, df.where("vec_id % 50 = 0")).collect()
+    assert sorted((r.rank, r.vec_id) for r in found if r.query_id == 0) == [(i, i) for i in range(1, 6)]
+    own = sorted((r.rank, r.vec_id) for r in found if r.query_id == 50)
+    assert [r for r, _ in own] == sorted([1, 2, 3, 4, 5] * 2) and {v for r, v in own if r == 1} == {7}

@@ -80,7 +80,8 @@ def link(
     of different lengths, and rows without a vec_id link with nothing. Equal
     vectors stand for one another and are compared once; n_links counts rows,
     so a repeated row counts as often as it occurs. Rows that share a vec_id
-    are one node of the graph. An empty table gives an empty result. Columns
+    are one node of the graph, whatever their vectors are, and each of them has the
+    links of its own vector. An empty table gives an empty result. Columns
     other than vec_id and embedding are not read.
 
     No pair becomes a row. A bucket is compared by matrix products in blocks of
@@ -171,7 +172,11 @@ def link(
 
     seen = kept(met.mapInArrow(compared, "node long, rep long, links long, root long"), "links")
     counts = seen.groupBy("node").agg(F.sum("links").alias("links"))
-    groups = components(seen.where("rep <> root").select("rep", "root").distinct())
+    # The vectors of one vec_id are one node: their representatives are tied.
+    own = valid.join(reps, "vec").select("vec_id", "rep")
+    least = own.groupBy("vec_id").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least <> most")
+    tied = own.join(least, "vec_id").where("rep <> least").select("rep", F.col("least").alias("root"))
+    groups = components(seen.where("rep <> root").select("rep", "root").union(tied).distinct())
     named = (
         reps.join(counts, "node", "left")
         .join(groups, reps["rep"] == groups["node"], "left")

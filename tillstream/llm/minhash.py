@@ -316,10 +316,10 @@ def classes(docs: DataFrame, threshold: int = 85) -> DataFrame:
 def deduplicated(docs: DataFrame, threshold: int = 85) -> DataFrame:
     """The documents, with all columns, of which one of each group of near-duplicates stays: the smallest doc_id.
 
-    Rows that repeat a doc_id share its fate; rows without a doc_id stay.
+    Rows that repeat a doc_id share its fate; rows without a doc_id stay. Other columns may have any names.
     """
-    gone = classes(docs, threshold).where("not kept").select(F.col("doc_id").alias("gone_")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone_"), "left_anti")
+    gone = classes(docs, threshold).where("not kept").select("doc_id").distinct()
+    return docs.alias("own").join(gone.alias("gone"), F.col("own.doc_id") == F.col("gone.doc_id"), "left_anti")
 
 
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

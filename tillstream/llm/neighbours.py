@@ -10,6 +10,7 @@ the radius that the windows stand for.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -98,8 +99,10 @@ def nearest(
     vec_id is no candidate. Vectors that are null, empty, zero or hold null or
     non-finite components, and rows without a vec_id, take no part; vectors of
     another length than the query's are no candidates. Equal scores go to the
-    smaller vec_id; a repeated row is a candidate each time. With fewer than k
-    candidates all are returned; empty tables give an empty result.
+    smaller vec_id; a repeated row is a candidate each time. Equal rows of
+    ``queries`` are one query; a vec_id with several vectors is answered for each of
+    them, with ranks of its own. With fewer than k candidates all are returned; empty
+    tables give an empty result.
 
     Queries and vectors are both dealt out in blocks by a hash and each pair of
     blocks is searched in a place of its own, so neither side is ever held
@@ -109,7 +112,7 @@ def nearest(
     """
     valid = F.col("vec").isNotNull() & F.col("vec_id").isNotNull()
     data = kept(packed(table).where(valid), "candidates")
-    asked = kept(packed(queries).where(valid), "queries")
+    asked = kept(packed(queries).where(valid).dropDuplicates(["vec_id", "vec"]), "queries")
     blocks = max(1, -(-data.count() // block))
     query_blocks = max(1, -(-asked.count() // query_block))
 
@@ -130,7 +133,7 @@ def nearest(
     def searched(group: pa.Table) -> pa.Table:
         asks = group.column("asks").to_numpy(zero_copy_only=False)
         ids = group.column("vec_id").to_numpy()
-        found: list[tuple[int, int, float]] = []
+        found: list[tuple[int, int, int, float]] = []
         if asks.any() and not asks.all():
             matrix = unpack(group.column("vec"))
             own = ids[~asks]
@@ -138,21 +141,26 @@ def nearest(
             while radii[-1] <= 2.0:
                 radii.append(radii[-1] * growth)
             windows = [index.windows(matrix[asks], r) if r <= 2.0 else None for r in radii]
+            vectors = group.column("vec").filter(pa.array(asks)).to_pylist()
+            marks = [int.from_bytes(hashlib.blake2b(v, digest_size=8).digest(), "little", signed=True) for v in vectors]
             for i, (query_id, query) in enumerate(zip(ids[asks], matrix[asks])):
                 steps = ((r, w and w[0][i], w and w[1][i]) for r, w in zip(radii, windows))
                 rows, scores = index.search(query, k, own == query_id, own, collide, steps)
-                found += zip([query_id] * len(rows), own[rows], scores)
-        columns = list(zip(*found)) or [[], [], []]
+                found += zip([query_id] * len(rows), [marks[i]] * len(rows), own[rows], scores)
+        columns = list(zip(*found)) or [[], [], [], []]
         return pa.table(
             {
                 "query_id": pa.array(np.array(columns[0], np.int64)),
-                "vec_id": pa.array(np.array(columns[1], np.int64)),
-                "score": pa.array(np.array(columns[2], np.float64)),
+                "mark": pa.array(np.array(columns[1], np.int64)),
+                "vec_id": pa.array(np.array(columns[2], np.int64)),
+                "score": pa.array(np.array(columns[3], np.float64)),
             }
         )
 
-    found = both.groupBy("block", "query_block", "size").applyInArrow(searched, "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = both.groupBy("block", "query_block", "size").applyInArrow(
+        searched, "query_id long, mark long, vec_id long, score double"
+    )
+    best = Window.partitionBy("query_id", "mark").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
