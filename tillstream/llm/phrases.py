@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,9 +26,9 @@ from tillstream.llm.packing import mixed
 from tillstream.llm.tables import kept, read_table
 
 #: Bytes of text that are worked on at once.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 #: Phrases that a task counts before it hands them on.
-HELD = 200_000
+HELD = 1_000_000
 #: Words of the longest phrase.
 LONGEST = 4
 #: The filter has 16 bits for each fingerprint, and this many at most: beyond, it lets more through.
@@ -250,25 +250,27 @@ def frequent(docs: DataFrame, least: int = 30) -> DataFrame:
     filters[2] = levels(docs, (2,), filters, least)
     filters[3] = filters[4] = levels(docs, (3, 4), filters, least)
 
-    def handed(counts: Counter) -> pa.RecordBatch:
-        langs, sizes, phrases = zip(*counts) if counts else ([], [], [])
-        columns = [pa.array(langs, pa.string()), pa.array(sizes, pa.int32()), pa.array(phrases, pa.binary()).cast(pa.string())]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(list(counts.values()), pa.int64())], ["lang", "size", "phrase", "f"])
+    def handed(counts: dict[tuple[str, int], Counter]) -> Iterator[pa.RecordBatch]:
+        for (lang, size), own in counts.items():
+            text = pa.array(list(own), pa.binary()).cast(pa.string())
+            head = [pa.repeat(lang, len(own)), pa.repeat(pa.scalar(size, pa.int32()), len(own))]
+            yield pa.RecordBatch.from_arrays([*head, text, pa.array(list(own.values()), pa.int64())], ["lang", "size", "phrase", "f"])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        counts: dict[tuple[str, int], Counter] = defaultdict(Counter)
         for lang, words in by_language(batches):
-            counts[lang, 0, b""] += words.own
+            counts[lang, 0][b""] += words.own
             for size in range(1, LONGEST + 1):
                 prints = words.prints(size)
                 at = np.flatnonzero(possible(words, filters, size, prints))
                 at, times = words.groups(at, size, prints)
+                own = counts[lang, size]
                 for phrase, n in zip(words.phrases(at, size), times.tolist()):
-                    counts[lang, size, phrase] += n
-            if len(counts) > HELD:
-                yield handed(counts)
-                counts = Counter()
-        yield handed(counts)
+                    own[phrase] += n
+            if sum(map(len, counts.values())) > HELD:
+                yield from handed(counts)
+                counts.clear()
+        yield from handed(counts)
 
     found = docs.mapInArrow(read, "lang string, size int, phrase string, f long")
     sums = found.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
