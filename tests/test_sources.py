@@ -7,7 +7,7 @@ from tillstream import schemas
 from tillstream.session import work_dir
 from tillstream.sources.keyed import KeyedTable, keys_of, upsert_latest
 from tillstream.sources.readers import jdbc_read_options, kafka_options, read_dau, read_dim, read_jdbc, read_stream, read_wide
-from tillstream.sources.writers import JDBC_WRITE, append_daily, append_exactly_once, kafka_sink_options, send_messages, topic_sink, write_jdbc
+from tillstream.sources.writers import JDBC_WRITE, append_daily, append_exactly_once, kafka_sink_options, send_messages, sent_to, topic_sink, write_jdbc
 
 STATUS = schemas.rows("id bigint, status string")
 
@@ -148,13 +148,13 @@ def test_read_dim_pushes_columns_and_filter_down(spark, plan):
 def test_messages_by_topic(spark, table, rows):
     path = work_dir(spark, "topics")
     send_messages(table("topic string, value string", ("A", "1"), ("B", "2")), path, 0)
-    assert rows(spark.read.parquet(f"{path}/batch_id=*/topic=B"), "value") == [("2",)]
+    assert rows(spark.read.parquet(sent_to(path, "B")), "value") == [("2",)]
 
 
 def test_messages_are_sent_once(spark, table, rows):
     """A batch that is run again leaves its files alone; one that was not finished does not show."""
     path = work_dir(spark, "topics")
-    table("value string", ("half",)).write.parquet(f"{path}/_drafts/batch_id=0")
+    table("value string", ("half",)).write.parquet(f"{path}/_drafts/run=none/batch_id=0")
     assert rows(spark.read.schema("value string").parquet(path)) == []
     send_messages(table("value string", ("1",)), path, 0)
     files = spark.read.parquet(path).inputFiles()

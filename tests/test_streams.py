@@ -13,7 +13,7 @@ from tillstream.operators.ods import route_maxwell, to_messages
 from tillstream.session import SKEW_SETTINGS, STATE_SETTINGS, rocksdb_state, work_dir
 from tillstream.sources.keyed import KeyedTable
 from tillstream.sources.readers import read_dau, read_stream, read_wide
-from tillstream.sources.writers import finish, write_stream
+from tillstream.sources.writers import finish, sent_to, write_stream
 from tillstream.streaming import jobs
 
 START = 1_704_067_200
@@ -374,3 +374,25 @@ def test_an_empty_statistics_batch_writes_nothing(spark, work):
     topic.send((None,))
     finish(jobs.stat_job(topic.stream(), "category", f"{work}/stat", f"{work}/cp"), 300)
     assert not spark._jvm.java.io.File(f"{work}/stat".removeprefix("file:")).exists()
+
+
+def test_a_new_checkpoint_loses_and_overwrites_nothing(spark, work, rows):
+    """Another query counts its batches from 0 too; what it sends and stores comes beside what is there."""
+    change = lambda i: (json.dumps({"table": "order_info", "data": {"id": i}}),)
+
+    def follower():
+        schema = spark.createDataFrame([], "value string").schema
+        sent = read_stream(spark, "parquet", {}, sent_to(f"{work}/out", "ODS_ORDER_INFO"), schema)
+        finish(write_stream(sent, "parquet", f"{work}/cp_seen", {"path": f"{work}/seen"}), 300)
+
+    for name in ("a", "b"):
+        changes, logs = Topic(spark, f"{work}/in_{name}"), Topic(spark, f"{work}/logs_{name}")
+        changes.send(change(name))
+        logs.send(log(name, 5))
+        for _ in range(2):
+            # The second start goes on from the checkpoint and has nothing to do.
+            finish(jobs.message_job(changes.stream(), route_maxwell, f"{work}/out", f"{work}/cp_{name}"), 300)
+        finish(jobs.dau_job(logs.stream(), f"{work}/dau", f"{work}/cp_dau_{name}"), 300)
+        follower()
+    assert rows(spark.read.parquet(f"{work}/seen"), "value") == [('{"id":"a"}',), ('{"id":"b"}',)]
+    assert rows(read_dau(spark, f"{work}/dau"), "mid") == [("a",), ("b",)]

@@ -34,7 +34,15 @@ from tillstream.plans.entities import AS_OF, Entities
 from tillstream.session import tune, work_dir
 from tillstream.sources.keyed import KeyedTable, upsert_latest
 from tillstream.sources.readers import MESSAGE, read_dau, read_dim, read_log_lines, read_stream, read_wide
-from tillstream.sources.writers import append_daily, append_exactly_once, finish, folder_sink, send_messages, write_stream
+from tillstream.sources.writers import (
+    append_daily,
+    append_exactly_once,
+    finish,
+    folder_sink,
+    send_messages,
+    sent_to,
+    write_stream,
+)
 from tillstream.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -467,7 +475,7 @@ def stream_routed_dau(spark: SparkSession, folder: str) -> DataFrame:
     logs = Entities(spark, folder, spread=True).logs()
     logs.select("value").write.text(f"{work}/logs")
     finish(jobs.message_job(read_log_lines(spark, f"{work}/logs"), route_logs, f"{work}/topics", f"{work}/cp1"))
-    started = read_stream(spark, "parquet", {}, f"{work}/topics/batch_id=*/topic=STARTUP_LOG", MESSAGE).select("value")
+    started = read_stream(spark, "parquet", {}, sent_to(f"{work}/topics", "STARTUP_LOG"), MESSAGE).select("value")
     finish(jobs.dau_job(started, f"{work}/dau", f"{work}/cp2"))
     return read_dau(spark, f"{work}/dau").select("dt", "mid", "uid")
 
@@ -498,7 +506,7 @@ def stream_replayed_stat(spark: SparkSession, folder: str) -> DataFrame:
             raise RuntimeError(f"stopped after batch {batch_id}")
 
     def statistics() -> None:
-        sent = read_stream(spark, "parquet", {}, f"{work}/sent/batch_id=*", MESSAGE)
+        sent = read_stream(spark, "parquet", {}, sent_to(f"{work}/sent"), MESSAGE)
         finish(jobs.stat_job(sent, "category", f"{work}/stat", f"{work}/cp2", as_coded=True))
 
     def passed_on(df: DataFrame) -> DataFrame:
@@ -582,7 +590,7 @@ def stream_details(spark: SparkSession, folder: str) -> DataFrame:
     e = Entities(spark, folder, spread=True)
     changes = _follow(spark, f"{work}/changes", e.changes())
     finish(jobs.message_job(changes, route_maxwell, f"{work}/topics", f"{work}/cp1"))
-    records = read_stream(spark, "parquet", {}, f"{work}/topics/batch_id=*/topic=ODS_ORDER_DETAIL", MESSAGE, True)
+    records = read_stream(spark, "parquet", {}, sent_to(f"{work}/topics", "ODS_ORDER_DETAIL"), MESSAGE, True)
     sku = KeyedTable(spark, f"{work}/sku", schemas.SKU_INFO, ["id"])
     sku.upsert(e.skus(), 0, [])
     details = KeyedTable(spark, f"{work}/details", schemas.ORDER_DETAIL, ["id"])

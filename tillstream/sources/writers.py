@@ -21,27 +21,40 @@ ADAPTIVE = "spark.sql.adaptive.enabled"
 JDBC_WRITE = {"batchsize": "100", "isolationLevel": "NONE"}
 
 
+def run_of(df: DataFrame) -> str:
+    """The id of the streaming query that a micro-batch belongs to, which its checkpoint keeps; else ``none``.
+
+    A query that starts on a new checkpoint counts its batches from 0 again. Folders
+    named by the query and the batch keep what another query wrote before.
+    """
+    return df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+
+
+def _batch_folder(df: DataFrame, batch_id: int) -> str:
+    return f"run={run_of(df)}/batch_id={batch_id}"
+
+
 def append_exactly_once(df: DataFrame, path: str, batch_id: int) -> None:
     """Add the rows of one micro-batch.
 
     The rows and the fact that the batch is done are one thing: the folder
-    ``batch_id=N``. When a batch is run again its folder is replaced, so each row
-    is stored once. An empty batch adds no row. (It is not skipped here: asking a
+    ``run=Q/batch_id=N``. When a batch is run again its folder is replaced, so each
+    row is stored once. An empty batch adds no row. (It is not skipped here: asking a
     stateful batch whether it is empty would run its state twice.)
     """
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    df.write.mode("overwrite").parquet(f"{path}/{_batch_folder(df, batch_id)}")
 
 
 def append_daily(df: DataFrame, path: str, batch_id: int) -> None:
-    """Add rows to the folder of their own day, ``dt=D/batch_id=N``, so that a report of a day lists one folder.
+    """Add rows to the folder of their own day, ``dt=D/run=Q/batch_id=N``, so that a report of a day lists one folder.
 
     Rows are brought together by day, so that a day is not cut into one small file
     per task; adaptive execution splits a day that is too large for one task. A
     batch that is run again has the same days, and replaces its own folder in each.
     """
-    rows = df.withColumn("batch_id", F.lit(batch_id)).hint("rebalance", "dt")
+    rows = df.withColumns({"run": F.lit(run_of(df)), "batch_id": F.lit(batch_id)}).hint("rebalance", "dt")
     writer = rows.write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
-    writer.partitionBy("dt", "batch_id").parquet(path)
+    writer.partitionBy("dt", "run", "batch_id").parquet(path)
 
 
 def send_messages(messages: DataFrame, path: str, batch_id: int) -> None:
@@ -49,17 +62,23 @@ def send_messages(messages: DataFrame, path: str, batch_id: int) -> None:
 
     A stream that follows the folder takes every new file as new messages. So a
     batch shows up whole, by a rename, and one that has been sent is not sent again
-    when it is run again after a failure.
+    when it is run again after a failure. A job on a new checkpoint is another query
+    with folders of its own: none of its batches is taken for one of the old job's.
     """
-    spark, folder = messages.sparkSession, f"{path}/batch_id={batch_id}"
+    spark, name = messages.sparkSession, _batch_folder(messages, batch_id)
+    folder, draft = f"{path}/{name}", f"{path}/_drafts/{name}"
     if exists(spark, folder):
         return
-    draft = f"{path}/_drafts/batch_id={batch_id}"
     by = ["topic"] if "topic" in messages.columns else []
     messages.write.option("partitionOverwriteMode", "static").mode("overwrite").partitionBy(*by).parquet(draft)
     move(spark, draft, folder)
 
 
+def sent_to(path: str, topic: str | None = None) -> str:
+    """What a stream that follows ``folder_sink(path)`` reads: all messages, or those of one topic."""
+    return f"{path}/run=*/batch_id=*" + (f"/topic={topic}" if topic else "")
+
+
 def folder_sink(path: str) -> Send:
     """Messages of a job go to a folder."""
     return lambda messages, batch_id: send_messages(messages, path, batch_id)
