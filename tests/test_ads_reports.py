@@ -2,8 +2,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillstream.operators import reports
-from tillstream.operators.ads import STATS, amount_stat, amount_stat_windowed, sliding_amount
+from tillstream.operators.ads import STATS, all_amount_stats, amount_stat, amount_stat_windowed, sliding_amount
 from tillstream.operators.dws import wide_row
+from tillstream.session import work_dir
+from tillstream.sources.readers import read_wide
+from tillstream.sources.writers import append_daily
 
 WIDE = (
     "order_id bigint, order_detail_id bigint, tm_id bigint, tm_name string, user_gender string, "
@@ -37,6 +40,32 @@ def test_every_statistic_has_its_columns(wide):
         assert amount_stat(wide, name).columns == ["stat_time", *stat.by, "amount"]
 
 
+@pytest.mark.parametrize("as_coded", [False, True])
+def test_all_statistics_at_once(wide, rows, plan, as_coded):
+    """Each statistic as by itself: a null group of one is told apart from the columns that another does not group by."""
+    single = set()
+    for name, stat in STATS.items():
+        for r in amount_stat(wide, name, as_coded, "t").collect():
+            single.add((name, r["id" if "id" in stat.by else "key"], r["name"] if "name" in stat.by else None, r["amount"]))
+    together = all_amount_stats(wide, as_coded, "t")
+    assert together.columns == ["stat_time", "stat", "id", "name", "amount"]
+    assert sorted(single, key=repr) == rows(together, "stat", "id", "name", "amount")
+    assert plan(together).count("Exchange") == 1 and "partial_sum" in plan(together)
+    assert rows(all_amount_stats(wide.limit(0))) == []
+
+
+def test_reports_read_the_days_of_a_table(spark, wide, rows, plan):
+    path = work_dir(spark, "stored")
+    for batch_id, part in ((0, F.col("order_detail_id") < 3), (1, F.col("order_detail_id") >= 3)):
+        append_daily(wide.where(part), f"{path}/wide", batch_id)
+    days = [("2020-06-01", "yes"), ("2020-06-02", "no"), ("2021-01-01", "yes"), ("2020-06-01", "yes")]
+    spark.createDataFrame(days, "dt string, report string").write.parquet(f"{path}/days")
+    wanted = spark.read.parquet(f"{path}/days").where("report = 'yes'")
+    report = reports.order_amount_days(read_wide(spark, f"{path}/wide"), wanted)
+    assert "dynamicpruning" in plan(report)
+    assert rows(report) == [("2020-06-01", 3, 35.0)]
+
+
 def test_sums_combine_before_the_shuffle(wide, plan):
     assert "partial_sum" in plan(amount_stat(wide, "trademark"))
 

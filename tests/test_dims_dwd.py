@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tillstream.operators.dims import enrich, reduce_dim, sku_info, spu_info, user_info
+from tillstream.operators.dims import as_of_lookup, enrich, reduce_dim, sku_info, spu_info, user_info
 from tillstream.operators.dwd import enrich_detail, enrich_order, flag_first_order, user_state_updates
 
 NAME = {"name": "n"}
@@ -137,3 +137,36 @@ def test_enrich_detail(table):
     columns = ["id", "spu_id", "spu_name", "tm_id", "tm_name", "category3_id", "category3_name"]
     got = {r.id: tuple(r)[1:] for r in out.select(*columns).collect()}
     assert got == {10: (2, "spu", 4, None, 3, "cat"), 11: (0, None, 0, None, 0, None)}
+
+
+def test_as_of_lookup(spark, table, rows):
+    """The version that was valid at a fact's time, across ranges and salts; compared with a search over all versions."""
+    facts = [(i, k, s, "own") for i, (k, s) in enumerate((k, s) for k in ("a", "b", "c", None) for s in (None, *range(0, 400, 7)))]
+    facts += facts[:20]
+    versions = [
+        ("a", 5, "a1"),
+        ("a", 11, "a2"),
+        ("a", 11, "a3"),
+        ("a", 12, "a4"),
+        ("a", 300, None),
+        ("b", 1, "b1"),
+        ("b", 200, "b2"),
+        ("b", 200, "b2"),
+        (None, 1, "none"),
+        ("c", None, "never"),
+        ("other", 3, "x"),
+    ]
+
+    def expected(key, at):
+        known = [v for v in versions if key is not None and at is not None and v[0] == key and v[1] is not None and v[1] <= at]
+        return max(known, key=lambda v: (v[1], v[2] or ""))[2] if known else None
+
+    left = table("fid int, k string, s int, name string", *facts).withColumn("at", F.timestamp_seconds("s"))
+    right = table("id string, s int, name string", *versions).withColumn("since", F.timestamp_seconds("s"))
+    want = sorted(((f, k, s, expected(k, s)) for f, k, s, _ in facts), key=repr)
+    for seconds, salts in ((10, 1), (60, 3), (3600, 8)):
+        got = as_of_lookup(left, right, "k", "id", "at", "since", ["name"], seconds, salts)
+        assert rows(got, "fid", "k", "s", "name") == want
+        assert rows(as_of_lookup(left.limit(0), right, "k", "id", "at", "since", ["name"], seconds, salts)) == []
+    missing = as_of_lookup(left, right.limit(0), "k", "id", "at", "since", ["name"])
+    assert {r.name for r in missing.collect()} == {None} and missing.count() == len(facts)

@@ -44,6 +44,37 @@ def amount_stat(wide: DataFrame, stat: str, as_coded: bool = False, stat_time: s
     return sums.select(stamp.alias("stat_time"), *by, "amount")
 
 
+def all_amount_stats(wide: DataFrame, as_coded: bool = False, stat_time: str | None = None) -> DataFrame:
+    """All statistics in one pass: (stat_time, stat, id, name, amount), where a ``key`` stands as ``id`` without a name.
+
+    The groups are grouping sets, so the wide rows are read and joined once; each task
+    adds up its own rows of every set before the one shuffle.
+    """
+    columns = list(dict.fromkeys(c for stat in STATS.values() for c in stat.by.values()))
+    measures = list(dict.fromkeys(s.as_coded if as_coded else "final_detail_amount" for s in STATS.values()))
+    groups = wide.select(*[F.col(c).cast("string").alias(c) for c in columns], *measures)
+    sums = groups.groupingSets([[F.col(c) for c in s.by.values()] for s in STATS.values()], *columns).agg(
+        F.grouping_id(*columns).alias("_set"), *[money_sum(F.col(m)).cast("double").alias(m) for m in measures]
+    )
+
+    def pick(value) -> Column:
+        """``value`` of the statistic whose columns are the ones that a row is grouped by."""
+        chosen = F.lit(None).cast("string")
+        for name, stat in STATS.items():
+            absent = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in stat.by.values())
+            chosen = F.when(F.col("_set") == absent, value(name, stat)).otherwise(chosen)
+        return chosen
+
+    stamp = stat_stamp() if stat_time is None else F.lit(stat_time)
+    return sums.select(
+        stamp.alias("stat_time"),
+        pick(lambda name, stat: F.lit(name)).alias("stat"),
+        pick(lambda name, stat: F.col(next(iter(stat.by.values())))).alias("id"),
+        pick(lambda name, stat: F.col(stat.by["name"]) if "name" in stat.by else F.lit(None)).alias("name"),
+        pick(lambda name, stat: F.col(stat.as_coded if as_coded else "final_detail_amount")).cast("double").alias("amount"),
+    )
+
+
 def _windowed(wide: DataFrame, by: Sequence[str], measure: str, window: Column) -> DataFrame:
     sums = wide.groupBy(window.alias("_window"), *by).agg(money_sum(F.col(measure)).cast("double").alias("amount"))
     return sums.select(F.col("_window.start").alias("window_start"), *by, "amount")

@@ -30,6 +30,18 @@ def order_amount_hour(wide: DataFrame, dt: str) -> DataFrame:
     return wide.where(F.col("dt") == dt).groupBy(hour).agg(_amount().cast("double").alias("order_amount"))
 
 
+def order_amount_days(wide: DataFrame, days: DataFrame) -> DataFrame:
+    """(dt, lines, order_amount) of the days of a table (``dt``), for a wide fact that is stored by day.
+
+    A day without sales has no row, a day that stands twice counts once. The days are
+    known only when the query runs; where Spark finds their table small enough to
+    broadcast, and it is filtered by a comparison (a bare boolean column does not
+    count as one), only the folders of its days are read.
+    """
+    wanted = wide.join(days.select("dt"), "dt", "left_semi")
+    return wanted.groupBy("dt").agg(F.count("*").alias("lines"), _amount().cast("double").alias("order_amount"))
+
+
 def dau_total(dau: DataFrame, dt: str) -> DataFrame:
     """Number of devices that were active on a day."""
     return dau.where(F.col("dt") == dt).agg(F.count("*").alias("total"))

@@ -443,6 +443,31 @@ ORACLE: dict[str, str] = {
         f"SELECT order_id, COUNT(*) AS lines, {_money('amount')}::DOUBLE AS paid FROM met_shares GROUP BY order_id",
         "met_shares",
     ),
+    "stored_day_reports": _sql(
+        f"""
+        SELECT substr(dt, 1, 8) || '01' AS dt, COUNT(*) AS lines, {_money('amount')}::DOUBLE AS order_amount
+        FROM met_shares WHERE dt LIKE '%-06-%' GROUP BY ALL
+        """,
+        "met_shares",
+    ),
+    "as_of_lookup": _sql(
+        """
+        SELECT d.id, d.sku_id, d.sku_num, d.arrived, v.sku_name FROM details d
+        ASOF LEFT JOIN (
+          SELECT p_partkey AS id, 1704067200 AS since, p_name || ' v1' AS sku_name FROM part WHERE p_partkey % 3 <> 0
+          UNION ALL SELECT p_partkey, 1704067200 + p_partkey % 300 + 1, p_name || ' v2' FROM part
+          UNION ALL SELECT p_partkey, 1704067200 + p_partkey % 300 + 300, p_name || ' v3' FROM part
+        ) v ON v.id = d.sku_id AND d.arrived >= v.since
+        """,
+        "details",
+    ),
+    "stat_clock": _sql(
+        f"""
+        SELECT user_gender AS key, {_money('amount')}::DOUBLE AS amount, TRUE AS well_formed, TRUE AS is_now
+        FROM shares GROUP BY user_gender
+        """,
+        "shares",
+    ),
     "stream_dau": _sql("SELECT dt, mid, uid FROM dau", "dau"),
     "resume": _sql("SELECT dt, mid, uid FROM dau", "dau"),
     "stream_stat_windowed": _sql(
@@ -495,3 +520,25 @@ for _name, _stat in STATS.items():
         ORACLE[f"stat_{_name}_as_coded"] = _sql(
             f"{_head}, {_money(_stat.as_coded)}::DOUBLE AS amount FROM wide GROUP BY ALL", "wide"
         )
+
+# Statistic, its id and its name, in the SQL of all of them.
+_ALL = (
+    ("trademark", "tm_id", "tm_name"),
+    ("category", "category3_id", "category3_name"),
+    ("spu", "spu_id", "spu_name"),
+    ("province", "province_area_code", "province_name"),
+    ("gender", "user_gender", "NULL"),
+    ("age", "user_age_group", "NULL"),
+)
+
+
+def _all_stats(measure: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '2026-01-01 00:00:00' AS stat_time, '{stat}' AS stat, {key}::VARCHAR AS id, {name}::VARCHAR AS name, "
+        f"{_money('amount' if stat == 'trademark' else measure)}::DOUBLE AS amount FROM shares GROUP BY ALL"
+        for stat, key, name in _ALL
+    )
+
+
+ORACLE["stat_all"] = _sql(_all_stats("amount"), "shares")
+ORACLE["stat_all_as_coded"] = _sql(_all_stats("final_total_amount"), "shares")

@@ -10,7 +10,7 @@ import functools
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream import schemas
@@ -18,7 +18,7 @@ from tillstream.functions.dates import add_create_parts, diff_ms
 from tillstream.functions.money import cents, money_sum
 from tillstream.operators import ads, reports
 from tillstream.operators.dau import DAU_KEYS, dau_document
-from tillstream.operators.dims import reduce_dim, sku_info, spu_info
+from tillstream.operators.dims import as_of_lookup, reduce_dim, sku_info, spu_info
 from tillstream.operators.dwd import enrich_detail, enrich_order, flag_first_order, user_state_updates
 from tillstream.operators.dws import first_seen, join_orders, order_totals, split_amount
 from tillstream.operators.ods import (
@@ -30,7 +30,7 @@ from tillstream.operators.ods import (
     route_maxwell,
     to_messages,
 )
-from tillstream.plans.entities import AS_OF, Entities
+from tillstream.plans.entities import ARRIVAL, AS_OF, Entities
 from tillstream.session import tune, work_dir
 from tillstream.sources.keyed import KeyedTable, upsert_latest
 from tillstream.sources.readers import MESSAGE, read_dau, read_dim, read_log_lines, read_stream, read_wide
@@ -225,6 +225,26 @@ def lookup_miss(spark: SparkSession, folder: str) -> DataFrame:
     return enrich_detail(e.details().withColumn("sku_id", known), e.skus()).drop("arrived")
 
 
+@query("as_of_lookup")
+def sku_names_as_of(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with the name that their SKU had when they arrived: names change twice, and every third SKU comes later."""
+    e = Entities(spark, folder)
+    skus, number = e.table("part").select("p_partkey", "p_name"), F.col("p_partkey")
+
+    def version(n: int, since: Column, rows: DataFrame) -> DataFrame:
+        name = F.concat("p_name", F.lit(f" v{n}")).alias("sku_name")
+        return rows.select(number.alias("id"), F.timestamp_seconds(F.lit(ARRIVAL) + since).alias("since"), name)
+
+    versions = (
+        version(1, F.lit(0), skus.where(number % 3 != 0))
+        .union(version(2, number % 300 + 1, skus))
+        .union(version(3, number % 300 + 300, skus))
+    )
+    lines = e.details().select("id", "sku_id", "sku_num", "sku_name", "arrived")
+    found = as_of_lookup(lines, versions, "sku_id", "id", "arrived", "since", ["sku_name"], seconds=60)
+    return found.withColumn("arrived", F.unix_seconds("arrived"))
+
+
 @query("first_order_flag")
 def first_order_flag(spark: SparkSession, folder: str) -> DataFrame:
     flagged = flag_first_order(Entities(spark, folder).orders())
@@ -344,6 +364,28 @@ for _name, _one in ads.STATS.items():
         register(f"stat_{_name}_as_coded", _stat(_name, True))
 
 
+@query("stat_all")
+def all_stats(spark: SparkSession, folder: str) -> DataFrame:
+    """The six statistics by grouping sets."""
+    wide = Entities(spark, folder).split_wide(sku=True, province=True, user=True)
+    return ads.all_amount_stats(wide, stat_time=STAT_TIME)
+
+
+@query("stat_all_as_coded")
+def all_stats_as_coded(spark: SparkSession, folder: str) -> DataFrame:
+    wide = Entities(spark, folder).split_wide(sku=True, province=True, user=True)
+    return ads.all_amount_stats(wide, True, STAT_TIME)
+
+
+@query("stat_clock")
+def stat_clock(spark: SparkSession, folder: str) -> DataFrame:
+    """A statistic with the time at which it is made: whether that has its format and lies within a day of now."""
+    stat = ads.amount_stat(Entities(spark, folder).split_wide(user=True), "gender")
+    form = F.col("stat_time").rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$")
+    apart = F.abs(F.unix_timestamp("stat_time") - F.unix_timestamp())
+    return stat.select("key", "amount", form.alias("well_formed"), (apart < 86_400).alias("is_now"))
+
+
 def _epoch(df: DataFrame) -> DataFrame:
     return df.withColumn("window_start", F.unix_seconds("window_start"))
 
@@ -468,6 +510,28 @@ def stream_wide(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("stored_day_reports")
+def stored_day_reports(spark: SparkSession, folder: str) -> DataFrame:
+    """Wide rows stored by day by a stream of two batches; paid amounts of the days that a table marks for the report."""
+    work, e = work_dir(spark, "stored_day_reports"), Entities(spark, folder)
+    # The test orders are few a day over seven years: here, those of a month have its first day.
+    orders = e.orders().withColumn("create_date", F.concat(F.substring("create_date", 1, 8), F.lit("01")))
+    wide = jobs.wide_stream(
+        _in_batches(spark, f"{work}/orders", orders, 2),
+        _in_batches(spark, f"{work}/lines", e.details(), 2),
+        "arrived",
+        "arrived",
+        delay=ARRIVAL_DELAY,
+        salts=1,
+    )
+    finish(jobs.order_wide_job(wide, f"{work}/wide", f"{work}/checkpoint"))
+    day = orders.select(F.col("create_date").alias("dt")).distinct()
+    which = F.when(F.col("dt").endswith("-06-01"), "june").otherwise("other")
+    day.withColumn("report", which).write.parquet(f"{work}/days")
+    days = spark.read.parquet(f"{work}/days").where("report = 'june'")
+    return reports.order_amount_days(read_wide(spark, f"{work}/wide"), days)
+
+
 @query("stream_dau")
 def stream_routed_dau(spark: SparkSession, folder: str) -> DataFrame:
     """Log lines routed by one job; the first startup per device and day by the next, in several batches."""
