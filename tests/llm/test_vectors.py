@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from tillstream.llm.embedding_dedup import link, op1_embedding_dedup, table_plan
-from tillstream.llm.neighbours import nearest, op2_neighbours
+from tillstream.llm.neighbours import Lines, nearest, op2_neighbours
 from tillstream.llm.vectors import unit
 
 SCHEMA = "vec_id long, label int, embedding array<float>, links int, vec string"
@@ -115,6 +115,24 @@ def test_recall_on_random_vectors(spark):
     assert recall(found, rows, queries) >= 0.93
 
 
+def test_few_vectors_are_verified(spark):
+    """Vectors of 64 random components, and 400 copies of one of them: the copies are found whole."""
+    rng = np.random.default_rng(8)
+    m = rng.standard_normal((4000, 64))
+    m[100:500] = m[0]
+    ids, index, hits, shares = np.arange(len(m)), Lines(m, 128, 2), 0, []
+    asked = np.r_[0, 600:700]
+    for q, steps in zip(asked, index.steps(m[asked], 0.4, 1.4)):
+        rows, scores, verified = index.search(m[q], 5, ids == q, ids, 0.6, 0.2, steps)
+        exact = unit(m) @ unit(m[q : q + 1])[0]
+        exact[q] = -9
+        hits += len(set(rows) & set(np.lexsort((ids, -exact.round(12)))[:5]))
+        shares.append(verified / len(m))
+        assert q or list(rows) == [100, 101, 102, 103, 104]
+    # All copies at once are a tenth of the block: a query may verify them above its share.
+    assert hits >= 0.9 * 5 * len(asked) and np.mean(shares) < 0.3 and max(shares) < 0.4 and shares[0] < 0.11
+
+
 def test_neighbours_in_clusters_and_ties(spark, clustered):
     df = spark.createDataFrame([(i, 0, v, 7, "x") for i, v in clustered], SCHEMA)
     found = nearest(df, df.where("vec_id % 5 = 0"), block=64, query_block=16).collect()

@@ -5,7 +5,9 @@ has a sorted array of projections; a query opens a window around its own
 projection on every line and widens the windows step by step (virtual
 rehashing). A vector that lies in enough windows is verified by its exact
 cosine. A query stops widening when its k-th best verified distance is within
-the radius that the windows stand for.
+the radius that the windows stand for, or when it has verified its share of the
+block; those in most windows come first, and vectors that are in equally many
+are verified together.
 """
 
 from __future__ import annotations
@@ -20,8 +22,10 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tillstream.llm.tables import kept, read_table
 from tillstream.llm.vectors import packed, unit, unpack
 
-#: A window is this many radii wide to each side; a vector at the radius is in it with probability 0.77.
-HALF = 1.2
+#: A window is this many radii wide to each side; a vector at the radius is in it with probability 0.71.
+HALF = 1.05
+#: A query verifies this many vectors of a block, however small its share of it.
+FEWEST = 100
 
 
 class Lines:
@@ -42,17 +46,31 @@ class Lines:
         high = [np.searchsorted(s, p + HALF * radius, "right") for s, p in zip(self.sorted, spots)]
         return np.array(low).T, np.array(high).T
 
+    def steps(
+        self, queries: np.ndarray, radius: float, growth: float
+    ) -> Iterator[Iterator[tuple[float, np.ndarray, np.ndarray]]]:
+        """For each query the radii with its windows; the last radius is above 2 and needs none."""
+        radii, none = [], np.zeros((len(queries), 0), int)
+        while radius <= 2.0:
+            radii.append((radius, *self.windows(queries, radius)))
+            radius *= growth
+        radii.append((radius, none, none))
+        for i in range(len(queries)):
+            yield ((r, begin[i], end[i]) for r, begin, end in radii)
+
     def search(
-        self, query: np.ndarray, k: int, barred: np.ndarray, ids: np.ndarray, collide: float,
+        self, query: np.ndarray, k: int, barred: np.ndarray, ids: np.ndarray, collide: float, share: float,
         steps: Iterator[tuple[float, np.ndarray, np.ndarray]],
-    ) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and cosines of the k nearest found, nearest first, ties to smaller ids; ``barred`` rows take no part.
+    ) -> tuple[np.ndarray, np.ndarray, int]:
+        """Rows and cosines of the k nearest found, nearest first, ties to smaller ids, and how many were verified.
 
-        ``steps`` gives ever larger radii with the query's windows, and at last one that holds everything.
+        ``barred`` rows take no part. ``steps`` gives ever larger radii with the query's windows, and at last one that
+        holds everything.
         """
         lines, n = self.order.shape
         counts = np.zeros(n, np.int64)
         checked, need = barred.copy(), int(np.ceil(collide * lines))
+        room, verified = k + max(FEWEST, int(share * n)), 0
         rows, scores = np.zeros(0, int), np.zeros(0)
         norm = np.sqrt((query * query).sum())
         low: list[int] | None = None
@@ -69,28 +87,33 @@ class Lines:
                 low, high = begin, end
                 counts += np.bincount(np.concatenate(spans), minlength=n)
             new = np.flatnonzero(~checked if everything else (counts >= need) & ~checked)
+            if not everything and len(new) > room - verified:
+                level = np.partition(counts[new], verified - room)[verified - room]
+                new = new[counts[new] >= level]
             if len(new):
                 checked[new] = True
+                verified += len(new)
                 # Row by row, so that equal vectors have equal cosines wherever they stand.
                 cosine = (self.matrix[new] * query).sum(1) / (self.norms[new] * norm)
                 rows, scores = np.concatenate([rows, new]), np.concatenate([scores, cosine])
                 best = np.lexsort((ids[rows], -scores))[:k]
                 rows, scores = rows[best], scores[best]
-            if len(rows) == k and 2 - 2 * scores[-1] <= radius * radius:
+            if len(rows) == k and (verified >= room or 2 - 2 * scores[-1] <= radius * radius):
                 break
-        return rows, scores
+        return rows, scores, verified
 
 
 def nearest(
     table: DataFrame,
     queries: DataFrame,
     k: int = 5,
-    lines: int = 96,
-    collide: float = 0.66,
-    radius: float = 0.35,
+    lines: int = 128,
+    collide: float = 0.6,
+    share: float = 0.2,
+    radius: float = 0.4,
     growth: float = 1.4,
-    block: int = 4096,
-    query_block: int = 512,
+    block: int = 8192,
+    query_block: int = 1024,
     seed: int = 2,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest vectors of ``table`` by cosine for every row of ``queries``.
@@ -106,9 +129,12 @@ def nearest(
 
     Queries and vectors are both dealt out in blocks by a hash and each pair of
     blocks is searched in a place of its own, so neither side is ever held
-    whole; the k best of each block are merged. ``lines`` and ``collide`` set
-    the recall: a vector at the final radius is in a line's window with
-    probability 0.77 and is verified if it is in the share ``collide``.
+    whole; the k best of each block are merged. ``lines``, ``collide`` and
+    ``share`` set the recall: a vector at the final radius is in a line's window
+    with probability 0.71 and is verified if it is in the share ``collide`` of
+    its windows. A query that finds nothing near stops at the share ``share`` of a
+    block (at least 100 vectors and k), where vectors in equally many windows,
+    so all copies of one vector, are verified or left together.
     """
     valid = F.col("vec").isNotNull() & F.col("vec_id").isNotNull()
     data = kept(packed(table).where(valid), "candidates")
@@ -137,15 +163,12 @@ def nearest(
         if asks.any() and not asks.all():
             matrix = unpack(group.column("vec"))
             own = ids[~asks]
-            index, radii = Lines(matrix[~asks], lines, seed), [radius]
-            while radii[-1] <= 2.0:
-                radii.append(radii[-1] * growth)
-            windows = [index.windows(matrix[asks], r) if r <= 2.0 else None for r in radii]
+            index = Lines(matrix[~asks], lines, seed)
+            searches = index.steps(matrix[asks], radius, growth)
             vectors = group.column("vec").filter(pa.array(asks)).to_pylist()
             marks = [int.from_bytes(hashlib.blake2b(v, digest_size=8).digest(), "little", signed=True) for v in vectors]
-            for i, (query_id, query) in enumerate(zip(ids[asks], matrix[asks])):
-                steps = ((r, w and w[0][i], w and w[1][i]) for r, w in zip(radii, windows))
-                rows, scores = index.search(query, k, own == query_id, own, collide, steps)
+            for i, (query_id, query, steps) in enumerate(zip(ids[asks], matrix[asks], searches)):
+                rows, scores, _ = index.search(query, k, own == query_id, own, collide, share, steps)
                 found += zip([query_id] * len(rows), [marks[i]] * len(rows), own[rows], scores)
         columns = list(zip(*found)) or [[], [], [], []]
         return pa.table(
