@@ -122,7 +122,7 @@ def test_few_vectors_are_verified(spark):
     m[100:500] = m[0]
     ids, index, hits, shares = np.arange(len(m)), Lines(m, 128, 2), 0, []
     asked = np.r_[0, 600:700]
-    for q, steps in zip(asked, index.steps(m[asked], 0.4, 1.4)):
+    for q, steps in zip(asked, index.steps(m[asked], 0.55, 1.4)):
         rows, scores, verified = index.search(m[q], 5, ids == q, ids, 0.6, 0.2, steps)
         exact = unit(m) @ unit(m[q : q + 1])[0]
         exact[q] = -9

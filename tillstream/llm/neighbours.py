@@ -110,7 +110,7 @@ def nearest(
     lines: int = 128,
     collide: float = 0.6,
     share: float = 0.2,
-    radius: float = 0.4,
+    radius: float = 0.55,
     growth: float = 1.4,
     block: int = 8192,
     query_block: int = 1024,
