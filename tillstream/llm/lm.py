@@ -299,7 +299,7 @@ def score(
     held_fold: int = 0,
     order: int = 3,
     prior: float = 5.0,
-    block_bytes: int = 1 << 23,
+    block_bytes: int = 12 << 20,
     bucket_tokens: int = 1 << 21,
     stretch: int = 256,
 ) -> DataFrame:
