@@ -127,7 +127,7 @@ def ngrams(hashes: np.ndarray, stream: np.ndarray, lengths: np.ndarray, order: i
     """The n-grams of sizes 1 to ``order``. The number of words stands for the beginning of a text, which is the first
     word of an n-gram or none of it."""
     n = len(hashes)
-    inside = np.arange(len(stream)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    inside = (np.arange(len(stream)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
     found = [Grams(np.arange(n), hashes, stream)]
     left, number = np.append(hashes, np.uint64(START)), stream
     for size in range(2, order + 1):
@@ -135,10 +135,14 @@ def ngrams(hashes: np.ndarray, stream: np.ndarray, lengths: np.ndarray, order: i
         before = number[there - 1].astype(np.int64)
         if size == 2:
             before[inside == 0] = n
-        codes, index = np.unique(before * n + stream[there], return_inverse=True)
+        before *= n
+        before += stream[there]
+        codes, index = np.unique(before, return_inverse=True)
+        del before
         left = mixed(mixed(left[codes // n]) + np.uint64(0x9E3779B97F4A7C15) * hashes[codes % n])
         number = np.full(len(stream), -1, np.int32)
         number[there] = index
+        del index
         found.append(Grams(codes, left, number))
     return found
 
@@ -223,13 +227,13 @@ class Automaton:
         total = np.concatenate([[0], *contexts])
         self.exists = total > 0
         self.backoff = np.log10(prior / (total + prior))
-        self.failure = np.zeros(len(total), np.int64)
+        self.failure = np.zeros(len(total), np.int32)
         self.weights, self.targets = [base], [self.state(1, np.arange(self.words))]
         chance = 10.0**base
         for size in range(2, self.order + 1):
             own, shorter = grams[size - 1], grams[size - 2]
             there = own.number >= 0
-            suffix = np.zeros(len(own.codes), np.int64)
+            suffix = np.zeros(len(own.codes), np.int32)
             suffix[own.number[there]] = shorter.number[there]
             total = contexts[size - 2][own.codes // self.words]
             chance = (counts[size - 1] + prior * chance[suffix]) / (total + prior)
@@ -244,13 +248,14 @@ class Automaton:
     def state(self, size: int, number: np.ndarray) -> np.ndarray:
         """The states of n-grams, the root where the training text lacks one or states are shorter."""
         if size >= self.order:
-            return np.zeros(len(number), np.int64)
-        states = self.first[size - 1] + number
-        return np.where(self.exists[states], states, 0)
+            return np.zeros(len(number), np.int32)
+        states = (number + self.first[size - 1]).astype(np.int32)
+        states[~self.exists[states]] = 0
+        return states
 
     def step(self, states: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The next states and what is added on the way."""
-        states, weights, after = states.copy(), np.zeros(len(states)), np.zeros(len(states), np.int64)
+        states, weights, after = states.astype(np.int64), np.zeros(len(states)), np.zeros(len(states), np.int64)
         open_ = np.ones(len(states), bool)
         for size in range(self.order, 1, -1):
             at = np.flatnonzero(open_ & (states >= self.first[size - 2]))
@@ -329,10 +334,11 @@ def score(
         grams, counts = ngrams(hashes, stream, lengths, order), []
         for kind, own in enumerate(grams, 1):
             in_order = np.zeros(len(own.keys), np.int64)
+            parts = asked.pop(kind)
             if len(in_order):
-                parts = [asked[kind][b] for b in sorted(asked[kind])]
-                in_order[np.argsort(own.keys, kind="stable")] = np.concatenate(parts)
+                in_order[np.argsort(own.keys, kind="stable")] = np.concatenate([parts[b] for b in sorted(parts)])
             counts.append(in_order)
+            grams[kind - 1] = own._replace(keys=own.keys[:0].copy())
         words = counts[0]
         base = np.log10((words + 0.1) / below)
         path = Automaton(grams, counts, base, train_docs, prior).traverse(stream, lengths, stretch)
