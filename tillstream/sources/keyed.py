@@ -56,11 +56,15 @@ class KeyedTable:
         self.spark, self.path, self.schema, self.keys = spark, path.rstrip("/"), schema, list(keys)
         self.buckets, self.every = buckets, every
 
-    def upsert(self, rows: DataFrame, batch_id: int, version: Sequence[str]) -> None:
+    def upsert(self, rows: DataFrame, batch_id: int, version: Sequence[str] | None) -> None:
         """Write one batch; of several rows with one key the greatest ``version`` stays: the last write wins.
 
-        ``version`` may be empty only for rows whose keys are unique.
+        With an empty ``version`` the other columns decide. None is for rows whose keys are known to be unique,
+        such as those of ``first_seen``: they are written as they are, without another shuffle by key.
         """
+        if version is None:
+            _write(rows.select(*self.schema.names), f"{self.path}/changes/batch_id={batch_id}")
+            return
         # The other columns settle ties, so that a replay keeps the same row.
         order = [*_newest_first(version), *[F.col(c) for c in self.schema.names]]
         latest = first_seen(rows, self.keys, order).select(*self.schema.names)
