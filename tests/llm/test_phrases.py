@@ -149,3 +149,31 @@ def test_filter_never_says_no_wrongly(spark):
     assert inside.may_have(values[20_000:].view(np.uint64)).mean() < 0.05
     nothing = Filter(spark.createDataFrame([], "fp long"))
     assert not nothing.may_have(values.view(np.uint64)).any()
+
+
+def test_rows_handed_on_grow_with_the_text(spark, monkeypatch):
+    """Pairs that are frequent in the larger table only: five times the text, five times the rows of each pass, no more."""
+    made = []
+
+    def counts(pieces_in_all):
+        rng = random.Random(4)
+        texts = [". ".join(f"w{rng.randrange(40)} v{rng.randrange(40)}" for _ in range(4000)) for _ in range(pieces_in_all // 4000)]
+        df = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string").repartition(len(texts)).localCheckpoint()
+        plain = type(df).mapInArrow
+
+        def noted(self, *args, **more):
+            made.append(plain(self, *args, **more))
+            return made[-1]
+
+        made.clear()
+        with monkeypatch.context() as patch:
+            patch.setattr(type(df), "mapInArrow", noted)
+            found = phrases.frequent(df, 30)
+        assert {tuple(r) for r in found.collect()} == {
+            (lang, len(w), " ".join(w), n) for (lang, w), n in counted([(t, "en") for t in texts])[0].items() if n >= 30
+        } | {("en", 0, "", 2 * pieces_in_all)}
+        return [x.count() for x in made if "f" in x.columns]
+
+    small, large = counts(16_000), counts(80_000)
+    assert sum(large) > 20_000 and len(small) == len(large)
+    assert all(y <= 6 * x for x, y in zip(small, large))

@@ -1,20 +1,19 @@
 """Operator 12: phrases whose words stand together more often than apart.
 
 Every n-gram has a Rabin-Karp fingerprint, taken by differences from a
-polynomial over all words before it. A shuffle adds up the fingerprints, one
-size after the other: an n-gram takes part only if all shorter ones in it are
-frequent, which a filter of bounded size tells without a false no. For the
-fingerprints that are frequent, a last pass points at their places again, compares
-the words there, reads the phrase from the text at one of them and counts it by its
-words. So a fingerprint that two phrases share can only bring a phrase too many
-into that last count, never a wrong number out of it.
+polynomial over all words before it. One size after the other is counted: an
+n-gram takes part only if all shorter ones in it are frequent, which a filter of
+fingerprints of bounded size tells without a false no. Within a stretch of text,
+the places of one fingerprint are compared word by word and the phrase is read at
+one of them; a shuffle adds up the counts by the text of the phrase. So a
+fingerprint that two phrases share can only bring a phrase too many into a count,
+never a wrong number out of it, and no phrase is counted twice over.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +26,8 @@ from tillstream.llm.tables import kept, read_table
 
 #: Bytes of text that are worked on at once.
 CHUNK = 1 << 20
-#: Phrases that a task counts before it hands them on.
-HELD = 1_000_000
+#: Bytes of a batch whose languages are told apart at once.
+PART = 8 << 20
 #: Words of the longest phrase.
 LONGEST = 4
 #: The filter has 16 bits for each fingerprint, and this many at most: beyond, it lets more through.
@@ -67,7 +66,8 @@ def powers(base: int, n: int) -> np.ndarray:
 def polynomials(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hashes of ``values[begin:end]``, each from two places of one running polynomial."""
     running = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values.astype(np.uint64) * powers(BASE, len(values)), out=running[1:])
+    np.multiply(values, powers(BASE, len(values)), out=running[1:], dtype=np.uint64)
+    np.cumsum(running, out=running)
     shifted = (running[end] - running[begin]) * powers(INVERSE, len(values) + 1)[begin]
     return mixed(shifted + (end - begin).astype(np.uint64))
 
@@ -172,9 +172,19 @@ def stretches(data: np.ndarray) -> Iterator[tuple[int, int, int]]:
         begin = own
 
 
+def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of about PART bytes, so that what is made of a batch is not as large as the batch again."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    begin = 0
+    while begin < len(ends):
+        end = max(int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + PART, "right")), begin + 1)
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words]]:
-    """The words of (lang, text) rows; texts of one language and batch are worked on together."""
-    for batch in batches:
+    """The words of (lang, text) rows; texts of one language and part of a batch are worked on together."""
+    for batch in (part for whole in batches for part in parts(whole)):
         langs, texts = batch.column(0).dictionary_encode(), batch.column(1).cast(pa.large_binary())
         for number, lang in enumerate(langs.dictionary.to_pylist()):
             mine = pc.equal(langs.indices, number)
@@ -228,53 +238,50 @@ def possible(words: Words, filters: dict[int, Filter], size: int, prints: np.nda
     return good
 
 
-def levels(docs: DataFrame, sizes: tuple[int, ...], filters: dict[int, Filter], least: int) -> Filter:
-    """The fingerprints that stand ``least`` times or more, of phrases of some sizes in which all shorter ones may be frequent."""
+def counted(docs: DataFrame, sizes: tuple[int, ...], filters: dict[int, Filter], least: int) -> DataFrame:
+    """(lang, phrase, f): the phrases of some sizes that stand ``least`` times or more in the texts of a lang, of those in
+    which all shorter ones may be frequent. With size 1, an empty phrase has the number of all words of a lang."""
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, words in by_language(batches):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, words in by_language(batches):
+            found, counts = [b""] if 1 in sizes else [], [[words.own]] if 1 in sizes else []
             for size in sizes:
                 prints = words.prints(size)
-                found, counts = np.unique(prints[: words.own][possible(words, filters, size)], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts.astype(np.int64))], ["fp", "f"])
+                at, times = words.groups(np.flatnonzero(possible(words, filters, size)), size, prints)
+                found += words.phrases(at, size)
+                counts.append(times)
+            text = pa.array(found, pa.binary()).cast(pa.string())
+            f = pa.array(np.concatenate(counts).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(found)), text, f], ["lang", "phrase", "f"])
+
+    found = docs.mapInArrow(read, "lang string, phrase string, f long")
+    # Most phrases stand in one stretch only: sums before the shuffle would fill a task's memory and spare few rows.
+    sums = found.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    return kept(sums.where((F.col("f") >= least) | (F.col("phrase") == "")), "phrases")
 
-    sums = docs.mapInArrow(hashed, "fp long, f long").groupBy("fp").agg(F.sum("f").alias("f"))
-    return Filter(kept(sums.where(F.col("f") >= least).select("fp"), "prints"))
+
+def filtered(phrases: DataFrame, size: int) -> Filter:
+    """A filter of the fingerprints of phrases, all of ``size`` words."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, words in by_language(batches):
+            prints = words.prints(size)[: words.own][words.together(size)]
+            yield pa.RecordBatch.from_arrays([pa.array(prints.view(np.int64))], ["fp"])
+
+    return Filter(kept(phrases.select("lang", "phrase").mapInArrow(hashed, "fp long"), "prints"))
 
 
 def frequent(docs: DataFrame, least: int = 30) -> DataFrame:
     """(lang, size, phrase, f): all phrases of one to four words that stand ``least`` times or more in the texts of a
     lang; size 0 has the number of all its words. ``docs`` has lang and text, neither null."""
     docs = docs.select("lang", "text")
-    filters = {1: levels(docs, (1,), {}, least)}
-    filters[2] = levels(docs, (2,), filters, least)
-    filters[3] = filters[4] = levels(docs, (3, 4), filters, least)
-
-    def handed(counts: dict[tuple[str, int], Counter]) -> Iterator[pa.RecordBatch]:
-        for (lang, size), own in counts.items():
-            text = pa.array(list(own), pa.binary()).cast(pa.string())
-            head = [pa.repeat(lang, len(own)), pa.repeat(pa.scalar(size, pa.int32()), len(own))]
-            yield pa.RecordBatch.from_arrays([*head, text, pa.array(list(own.values()), pa.int64())], ["lang", "size", "phrase", "f"])
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[tuple[str, int], Counter] = defaultdict(Counter)
-        for lang, words in by_language(batches):
-            counts[lang, 0][b""] += words.own
-            for size in range(1, LONGEST + 1):
-                prints = words.prints(size)
-                at = np.flatnonzero(possible(words, filters, size, prints))
-                at, times = words.groups(at, size, prints)
-                own = counts[lang, size]
-                for phrase, n in zip(words.phrases(at, size), times.tolist()):
-                    own[phrase] += n
-            if sum(map(len, counts.values())) > HELD:
-                yield from handed(counts)
-                counts.clear()
-        yield from handed(counts)
-
-    found = docs.mapInArrow(read, "lang string, size int, phrase string, f long")
-    sums = found.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
-    return kept(sums.where((F.col("f") >= least) | (F.col("size") == 0)), "phrases")
+    ones = counted(docs, (1,), {}, least)
+    filters = {1: filtered(ones, 1)}
+    twos = counted(docs, (2,), filters, least)
+    filters[2] = filtered(twos, 2)
+    more = counted(docs, (3, 4), filters, least)
+    size = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
+    return ones.unionByName(twos).unionByName(more).select("lang", size.alias("size"), "phrase", "f")
 
 
 def _joined(words: Column, begin: Column, size: Column) -> Column:
