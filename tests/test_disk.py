@@ -5,8 +5,10 @@ import time
 
 from pyspark.sql import functions as F
 
+from tillstream import schemas
 from tillstream.operators.dws import first_arrived, join_orders
 from tillstream.session import no_shuffles_left, work_dir
+from tillstream.sources.keyed import KeyedTable
 from tillstream.sources.readers import read_stream
 from tillstream.sources.writers import finish, write_stream
 from tillstream.streaming import jobs
@@ -95,3 +97,33 @@ def test_copies_of_lines_are_no_state_of_the_join(spark, rows):
         found[thin] = rows(spark.read.parquet(f"{at}/out"), "order_detail_id")
     assert found[True] == found[False] and len(found[True]) == 299
     assert 0 < size[True] < 0.8 * size[False]
+
+
+def test_details_keep_only_keys_while_they_run(spark, table, rows, monkeypatch):
+    work, kept, reused = work_dir(spark, "details"), [], jobs._reused
+    sku = KeyedTable(spark, f"{work}/sku", schemas.SKU_INFO, ["id"])
+    sku.upsert(table(schemas.SKU_INFO, ("7", "s", "2", "spu", "3", "cat", "4", "tm")), 0, [])
+    details = KeyedTable(spark, f"{work}/details", schemas.ORDER_DETAIL, ["id"])
+
+    def record(df):
+        kept.append(df.columns)
+        return reused(df)
+
+    monkeypatch.setattr(jobs, "_reused", record)
+    texts = ['{"id":1,"sku_id":7,"sku_name":"x"}', '{"id":2,"sku_id":8}', '{"id":2,"sku_id":8}', None]
+    messages = follow(spark, f"{work}/in", table("value string", *[(t,) for t in texts]), 1)
+    finish(jobs.order_detail_job(messages, sku, details, f"{work}/out", f"{work}/cp"), 300)
+    assert kept and set(map(tuple, kept)) == {("id",)}
+    assert rows(details.read(), "id", "spu_id", "spu_name") == [(1, 2, "spu"), (2, 0, None)]
+    assert rows(spark.read.parquet(f"{work}/out"), "key") == [("1",), ("2",)]
+
+
+def test_a_table_of_one_batch_is_read_without_a_shuffle(spark, plan, rows):
+    keyed = KeyedTable(spark, work_dir(spark, "one"), schemas.rows("id bigint, v string"), ["id"])
+    new = lambda v: spark.range(100).select("id", F.lit(v).alias("v"))
+    keyed.upsert(new("a").union(new("b")), 0, ["v"])
+    assert "Exchange" not in plan(keyed.read()) and set(rows(keyed.read(), "v")) == {("b",)}
+    keyed.upsert(new("c"), 1, [])
+    assert "Exchange" in plan(keyed.read()) and len(rows(keyed.read())) == 100 and set(rows(keyed.read(), "v")) == {("c",)}
+    keyed.compact(before=2)
+    assert "Exchange" not in plan(keyed.read()) and len(rows(keyed.read())) == 100

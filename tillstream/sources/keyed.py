@@ -76,7 +76,7 @@ class KeyedTable:
         ``only`` holds distinct keys: folders and rows of other keys are left out.
         """
         base, changes = self._batches(before)
-        rows = self._rows("changes", changes)
+        rows, single = self._rows("changes", changes), len(base) + len(changes) < 2
         if base:
             state = self._rows("compacted", base, ["_buckets", "_bucket"])
             if only is not None:
@@ -84,8 +84,15 @@ class KeyedTable:
             rows = state.drop("_buckets", "_bucket").unionByName(rows)
         if only is not None:
             rows = rows.join(only, self.keys, "left_semi")
+        if single:
+            # Each folder has a key once: no shuffle is needed.
+            return rows.select(*self.schema.names)
         return first_seen(rows, self.keys, _newest_first(["batch_id"])).select(*self.schema.names)
 
+    def written(self, batch_id: int) -> DataFrame:
+        """What ``upsert`` has stored of a batch."""
+        return self._rows("changes", [batch_id]).select(*self.schema.names)
+
     def compact(self, before: int, keep: Column | None = None) -> None:
         """Store the table as of batch ``before``, so that later reads need only newer changes.
 
@@ -150,5 +157,5 @@ class KeyedTable:
 
 def _write(rows: DataFrame, path: str, by: Sequence[str] = ()) -> None:
     """Replace a folder; its success file says that all of it is there."""
-    marked = rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+    marked = rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").option("compression", "zstd")
     marked.option("partitionOverwriteMode", "static").mode("overwrite").partitionBy(*by).parquet(path)
